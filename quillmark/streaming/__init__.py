@@ -1,0 +1,5 @@
+"""No streaming operator is needed.
+
+Every column function in ``quillmark.functions`` is stateless, so it runs unchanged
+on a streaming DataFrame (``tests/test_streaming.py``).
+"""
