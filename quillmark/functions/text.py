@@ -10,16 +10,12 @@ from quillmark.functions.fixed_values import HEADLINE_MARK
 # Python's str.isspace set, derived rather than listed; all of it lies below U+3001.
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
-
-def _char_class(chars: str) -> str:
-    return "".join(f"\\x{{{ord(c):x}}}" for c in chars)
-
-
-_WS = _char_class(WHITESPACE)
-_WS_NOT_BLANK = _char_class(WHITESPACE.replace(" ", ""))
+# The same set as a pattern: Java's Unicode class lacks the four separators.
+_WS = r"[\s\x1c-\x1f]"
+_WS_NOT_BLANK = r"[\s\x1c-\x1f&&[^ ]]"
 
 # Lone blanks are the common case and need no replacement, so they are not matched at all.
-_RUNS = f"[{_WS_NOT_BLANK}][{_WS}]*| [{_WS}]+"
+_RUNS = f"(?U){_WS_NOT_BLANK}{_WS}*| {_WS}+"
 
 # The third branch swallows a brace that never closes on its line and puts it back ($1).
 # Without it every such brace would scan to the end of the line again.
@@ -36,9 +32,15 @@ def collapse_whitespace(text: Column) -> Column:
     return F.regexp_replace(strip(text), _RUNS, " ")
 
 
+def split_words(text: Column, limit: int = -1) -> Column:
+    """``text.split()``, at most ``limit`` pieces of which the last holds the rest."""
+    return F.split(strip(text), f"(?U){_WS}+", limit)
+
+
 def remove_braces(text: Column) -> Column:
     """Drop ``{...}`` (shortest match within one line) and stray ``}``; an unclosed ``{`` stays."""
-    return F.regexp_replace(text, _BRACES, "$1")
+    braced = F.contains(text, F.lit("{")) | F.contains(text, F.lit("}"))
+    return F.when(braced, F.regexp_replace(text, _BRACES, "$1")).otherwise(text)
 
 
 def clean_text(text: Column) -> Column:
@@ -84,7 +86,7 @@ def is_yes(reply: Column, strip_punct: bool = False) -> Column:
     ``strip_punct`` ignores punctuation around the word.
     """
     edge = r"\p{Punct}*" if strip_punct else ""
-    pattern = rf"^[{_WS}]*{edge}(?i:yes){edge}([{_WS}]|\z)"
+    pattern = rf"(?U)^{_WS}*{edge}[yY][eE][sS]{edge}({_WS}|\z)"
     return F.coalesce(F.regexp_like(reply, F.lit(pattern)), F.lit(False))
 
 

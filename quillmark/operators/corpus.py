@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.functions import fixed_values as V
-from quillmark.functions.text import clean_text, collapse_whitespace, has_any
+from quillmark.functions.text import clean_text, has_any, split_words
 
 _LONG_TEXT = 32_768
 
@@ -25,34 +25,42 @@ def page_records(
     """
     allowed = pages.where(~has_any(F.col("summary"), tuple(blocked))) if blocked else pages
     pieces = F.concat(F.array("summary"), F.transform("sections", lambda s: s["text"]))
-    exploded = allowed.select(*keep, "title", F.posexplode(pieces).alias("piece", "raw"))
+    # The outer form keeps the optimizer from testing the size of the array first, which would
+    # build it twice; rows without a piece fall to the length rule.
+    exploded = allowed.select(*keep, "title", F.posexplode_outer(pieces).alias("piece", "raw"))
     longer = exploded.where(F.length("raw") > F.length("title"))
     text = F.concat("title", F.lit(V.TITLE_SEPARATOR), clean_text(F.col("raw")))
     return longer.select(*keep, "title", "piece", text.alias("text"))
 
 
-def _char_chunks(text: Column, size: int, overlap: int) -> Column:
+def _count(length: Column, size: int, overlap: int) -> Column:
+    return F.greatest(F.ceil((length - overlap) / (size - overlap)), F.lit(1)).cast("int")
+
+
+def _char_chunks(df: DataFrame, text_col: str, keep: Sequence[str], size: int, overlap: int) -> DataFrame:
     stride = size - overlap
-    count = F.greatest(F.ceil((F.length(text) - overlap) / stride), F.lit(1)).cast("int")
-    numbers = F.sequence(F.lit(0), count - 1)
-    short = F.transform(numbers, lambda i: F.substring(text, i * stride + 1, F.lit(size)))
-    # Substring counts from the start each time. Long texts are cut once into strides,
-    # and a chunk is its stride followed by the strides its overlap reaches into.
+    text, cut = F.col(text_col), F.col("_strides")
+    count = _count(F.length(text), size, overlap)
+    short = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(text, i * stride + 1, F.lit(size)))
+    if overlap > stride:
+        return df.select(*keep, short.alias("_chunks"))
+    # Substring counts from the start each time, which is quadratic in the length. A long text
+    # is cut into strides in one go; a chunk is its stride and the head of the next one.
     strides = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
-    reach = -(-overlap // stride) + 1
-    long = F.transform(
-        numbers, lambda i: F.substring(F.array_join(F.slice(strides, i + 1, F.lit(reach)), ""), 1, size)
-    )
-    return F.when(F.length(text) > _LONG_TEXT, long).otherwise(short)
+    staged = df.select(*keep, text_col, F.when(F.length(text) > _LONG_TEXT, strides).alias("_strides"))
+    following = F.slice(cut, F.lit(2), F.size(cut))
+    joined = F.zip_with(cut, following, lambda a, b: F.concat(a, F.coalesce(F.substring(b, 1, overlap), F.lit(""))))
+    long = F.slice(joined, F.lit(1), count)
+    return staged.select(*keep, F.when(cut.isNotNull(), long).otherwise(short).alias("_chunks"))
 
 
-def _word_chunks(text: Column, size: int, overlap: int) -> Column:
+def _word_chunks(df: DataFrame, text_col: str, keep: Sequence[str], size: int, overlap: int) -> DataFrame:
     stride = size - overlap
-    words = F.split(collapse_whitespace(text), " ")
-    count = F.greatest(F.ceil((F.size(words) - overlap) / stride), F.lit(1)).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), count - 1), lambda i: F.array_join(F.slice(words, i * stride + 1, F.lit(size)), " ")
-    )
+    words = F.col("_words")
+    staged = df.select(*keep, split_words(F.col(text_col)).alias("_words"))
+    numbers = F.sequence(F.lit(0), _count(F.size(words), size, overlap) - 1)
+    windows = F.transform(numbers, lambda i: F.array_join(F.slice(words, i * stride + 1, F.lit(size)), " "))
+    return staged.select(*keep, windows.alias("_chunks"))
 
 
 def chunk_text(
@@ -71,13 +79,14 @@ def chunk_text(
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
     cutter = {"chars": _char_chunks, "words": _word_chunks}[unit]
-    return df.select(*keep, F.posexplode(cutter(F.col(text_col), size, overlap)).alias("chunk_no", "chunk"))
+    chunked = cutter(df, text_col, keep, size, overlap)
+    # Outer, or the optimizer would compute the chunks once more to test that there are any.
+    return chunked.select(*keep, F.posexplode_outer("_chunks").alias("chunk_no", "chunk")).where("chunk_no is not null")
 
 
 def truncate_words(text: Column, budget: int) -> Column:
     """First ``budget`` whitespace-separated words. Splitting stops once the budget is reached."""
-    words = F.slice(F.split(collapse_whitespace(text), " ", budget + 1), 1, budget)
-    return F.array_join(words, " ")
+    return F.array_join(F.slice(split_words(text, budget + 1), 1, budget), " ")
 
 
 def truncate_tokens(tokens: Column, budget: int) -> Column:

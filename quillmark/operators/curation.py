@@ -35,14 +35,16 @@ def rating_batches(df: DataFrame, pairs_col: str, keep: list[str], size: int = R
     pairs = F.col(pairs_col)
     starts = F.sequence(F.lit(0), F.ceil(F.size(pairs) / size).cast("int") - 1)
     groups = F.transform(starts, lambda i: F.to_json(F.slice(pairs, i * size + 1, F.lit(size))))
-    filled = df.where(F.size(pairs) > 0)
-    return filled.select(*keep, F.posexplode(groups).alias("group_no", "pairs_json"))
+    grouped = df.select(*keep, F.when(F.size(pairs) > 0, groups).alias("_groups"))
+    exploded = grouped.select(*keep, F.posexplode_outer("_groups").alias("group_no", "pairs_json"))
+    return exploded.where("group_no is not null")
 
 
 def explode_pairs(df: DataFrame, pairs_col: str, keep: list[str]) -> DataFrame:
     """One row per pair with its position."""
-    exploded = df.select(*keep, F.posexplode(pairs_col).alias("pair_no", "_pair"))
-    return exploded.select(*keep, "pair_no", "_pair.*")
+    # Outer, or the array would be parsed once more to test its size.
+    exploded = df.select(*keep, F.posexplode_outer(pairs_col).alias("pair_no", "_pair"))
+    return exploded.where("pair_no is not null").select(*keep, "pair_no", "_pair.*")
 
 
 def keep_rated(df: DataFrame, rating: str = "rating", threshold: float = RATING_THRESHOLD) -> DataFrame:

@@ -30,6 +30,7 @@ from quillmark.sources import files, sinks, tables
 SYSTEM_TEXT = "You answer questions about the collection."
 SEED_CATEGORY = "R1"
 SHARD_ROWS = 64
+BLOCKED = ("track(1",)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -195,7 +196,7 @@ def title_extract(spark, sf_dir):
 
 @query
 def page_records(spark, sf_dir):
-    records = corpus.page_records(fixtures.pages(spark, sf_dir), blocked=("track(1",), keep=["page_id"])
+    records = corpus.page_records(fixtures.pages(spark, sf_dir), blocked=BLOCKED, keep=["page_id"])
     return records.select("page_id", "piece", F.length("text").alias("n_chars"), _md5("text"))
 
 
@@ -325,6 +326,7 @@ def conversation_synthesis(spark, sf_dir):
         standins.pair_rater,
         SYSTEM_TEXT,
         run_dir(spark, "synthesis"),
+        blocked=BLOCKED,
     )
     return ready.select("conv_id", "split", _roles(), _contents())
 

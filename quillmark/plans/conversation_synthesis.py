@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,13 +42,14 @@ def synthesize(
     path: str,
     threshold: float = V.RATING_THRESHOLD,
     seed: int = 0,
+    blocked: Sequence[str] = V.BLOCKED_SUMMARY_WORDS,
 ) -> DataFrame:
     """``conv_id, split, messages``: rated, split, given the system turn, then filtered.
 
     The split comes before the filter. Model output is written below ``path`` before reuse.
     """
     keep = [page_id, "piece", "chunk_no"]
-    records = corpus.page_records(pages, keep=[page_id])
+    records = corpus.page_records(pages, blocked, keep=[page_id])
     chunks = corpus.chunk_text(records, "text", [page_id, "piece"])
     rated = rate_pairs(write_pairs(chunks, keep, writer), keep, rater)
     kept = materialize(curation.keep_rated(rated, threshold=threshold), f"{path}/pairs")
