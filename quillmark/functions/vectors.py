@@ -9,12 +9,12 @@ from quillmark.functions.fixed_values import SIMILARITY_THRESHOLD
 
 
 def _dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
 
 
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two vectors of one row; null if a vector has no length."""
+    a, b = a.cast("array<double>"), b.cast("array<double>")
     return F.try_divide(_dot(a, b), F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
 
 

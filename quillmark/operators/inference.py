@@ -13,6 +13,9 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+SPREAD_SMALL = "spread small inputs"
+_SCAN_TASK_BYTES = 128 * 1024 * 1024
+
 ModelFactory = Callable[[], Callable[[list], list]]
 
 
@@ -24,14 +27,15 @@ def run_model(
     batch_size: int = 16,
     out_type: str = "string",
     error_col: str | None = None,
-    partitions: int | None = None,
+    partitions: int | str | None = SPREAD_SMALL,
 ) -> DataFrame:
     """Add ``out_col`` with the model's result for each row.
 
     One input column gives the model plain values, several give tuples. Columns are handed
     through as Arrow; only the inputs become Python objects. ``error_col`` keeps rows whose
     call fails, alone and after its batch failed, with the message; without it the task fails
-    and Spark retries it. ``partitions`` spreads few large files over more model workers.
+    and Spark retries it. ``partitions`` is a number of model workers' shares, None to keep the
+    input's partitions, or the default: see ``spread_small``.
     """
     columns = [inputs] if isinstance(inputs, str) else list(inputs)
     single = isinstance(inputs, str)
@@ -77,8 +81,23 @@ def run_model(
                 names.append(error_col)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    spread = df.repartition(partitions) if partitions else df
-    return spread.mapInArrow(call, schema)
+    if partitions == SPREAD_SMALL:
+        df = spread_small(df)
+    elif partitions:
+        df = df.repartition(partitions)
+    return df.mapInArrow(call, schema)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread an input too small to give every core a scan task of its own.
+
+    Model calls cost far more than moving a row, and one small file is one task otherwise. A
+    table of many scan tasks keeps its partitions, so nothing large is shuffled here.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if estimate < cores * _SCAN_TASK_BYTES else df
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:

@@ -61,14 +61,15 @@ def _verdict() -> Column:
 
 def _answers_with_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected, generated = F.col("expected_answer"), F.col("generated_answer")
-    similarity = vectors.cosine(fixtures.letter_vector(expected), fixtures.letter_vector(generated))
-    return fixtures.qa_results(spark, sf_dir).select(
+    rows = fixtures.qa_results(spark, sf_dir).select(
         "difficulty",
         _keyword().alias("is_correct_keyword"),
-        vectors.at_least(similarity, 0.7).alias("is_correct_semantic"),
         _verdict().alias("is_correct_ai_eval"),
         vectors.perplexity(fixtures.word_scores(expected), F.lit(0)).alias("perplexity"),
+        fixtures.letter_vector(expected).alias("e"),
+        fixtures.letter_vector(generated).alias("g"),
     )
+    return rows.withColumn("is_correct_semantic", vectors.at_least(vectors.cosine(F.col("e"), F.col("g")), 0.7))
 
 
 @query

@@ -27,7 +27,7 @@ def rate_pairs(
     """One row per rated pair. Four neighbours share a prompt, so no row moves for it."""
     groups = curation.rating_batches(written, "pairs", keep, batch)
     prompted = groups.select(*keep, "group_no", prompts.rating_prompt(F.col("pairs_json")).alias("_prompt"))
-    replied = run_model(prompted, "_prompt", "_reply", rater).drop("_prompt")
+    replied = run_model(prompted, "_prompt", "_reply", rater, partitions=None).drop("_prompt")
     rated = replied.withColumn("_rated", curation.parse_ratings(F.col("_reply")))
     rows = curation.explode_pairs(rated.drop("_reply"), "_rated", [*keep, "group_no"])
     return rows.withColumn("pair_no", F.col("group_no") * batch + F.col("pair_no")).drop("group_no")

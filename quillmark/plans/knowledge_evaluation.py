@@ -45,7 +45,7 @@ def score_references(answered: DataFrame, score: ModelFactory) -> DataFrame:
 def compare_embeddings(answered: DataFrame, embed: ModelFactory) -> DataFrame:
     """Similarity of expected and generated answer: one row, two vectors, no pair table."""
     both = run_model(answered, "expected_answer", "_expected", embed, out_type="array<float>")
-    both = run_model(both, "generated_answer", "_generated", embed, out_type="array<float>")
+    both = run_model(both, "generated_answer", "_generated", embed, out_type="array<float>", partitions=None)
     similar = both.withColumn("semantic_similarity", cosine(F.col("_expected"), F.col("_generated")))
     return similar.drop("_expected", "_generated")
 
