@@ -81,7 +81,7 @@ def chunk_text(
     cutter = {"chars": _char_chunks, "words": _word_chunks}[unit]
     chunked = cutter(df, text_col, keep, size, overlap)
     # Outer, or the optimizer would compute the chunks once more to test that there are any.
-    return chunked.select(*keep, F.posexplode_outer("_chunks").alias("chunk_no", "chunk")).where("chunk_no is not null")
+    return chunked.select(*keep, F.posexplode_outer("_chunks").alias("chunk_no", "chunk")).where("chunk is not null")
 
 
 def truncate_words(text: Column, budget: int) -> Column:
