@@ -47,21 +47,26 @@ def render_segments(
     return segments.withColumn(out, chat.render(F.col("messages"), template))
 
 
-def keep_useful(segments: DataFrame, phrases: tuple[str, ...] = STOP_PHRASES) -> DataFrame:
+def keep_useful(
+    segments: DataFrame,
+    phrases: tuple[str, ...] = STOP_PHRASES,
+    turns: DataFrame | None = None,
+    size: int = SEGMENT_TURNS,
+) -> DataFrame:
     """Drop every conversation in which any turn holds a stop phrase.
 
     The verdict of a conversation is spread to its segments before the anti join, so the join
-    key is unique and no conversation gathers in one task.
+    key is unique and no conversation gathers in one task. With the flat ``turns`` the segments
+    were packed from, verdicts come from a scan of them and no text is shuffled for it.
     """
-    verdicts = segments.select(
-        "conv_id", "segment", (~chat.is_useful(F.col("messages"), phrases)).alias("bad")
-    )
-    dropped = (
-        verdicts.groupBy("conv_id")
-        .agg(F.bool_or("bad").alias("bad"), F.max("segment").alias("last"))
-        .where("bad")
-        .select("conv_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last"))).alias("segment"))
-    )
+    if turns is None:
+        found = segments.select("conv_id", "segment", (~chat.is_useful(F.col("messages"), phrases)).alias("bad"))
+    else:
+        flag = chat.stop_phrase_in(F.col("content"), phrases)
+        found = turns.select("conv_id", segment_of(F.col("turn"), size).alias("segment"), flag.alias("bad"))
+    verdicts = found.groupBy("conv_id").agg(F.bool_or("bad").alias("bad"), F.max("segment").alias("last"))
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.col("last"))
+    dropped = verdicts.where("bad").select("conv_id", F.explode(numbers).alias("segment"))
     return segments.join(dropped, ["conv_id", "segment"], "left_anti")
 
 

@@ -1,8 +1,9 @@
 """Seeded order, exact ranks, splits and samples.
 
-Order is the hash of seed and row id, so it does not depend on partitioning. Ids must be
-unique. Ranks never need one sorted partition: rows are counted by hash prefix (at most
-65,536 counters), and only the bucket that holds the wanted rank is looked into.
+Order is the hash of seed and row id, so it does not depend on partitioning. Ids are taken to
+be unique; rows that share one fall on the same side of a cut. Ranks never need one sorted
+partition: rows are counted by hash prefix (at most 65,536 counters), and only the bucket
+that holds the wanted rank is looked into.
 """
 
 from __future__ import annotations
@@ -47,8 +48,8 @@ def with_global_rank(df: DataFrame, id_col: str, seed: int, rank_col: str = "ran
 def cutoffs(keys: DataFrame, wanted: Callable[[Column], Column], by: Sequence[str] = ()) -> DataFrame:
     """Key of the last row to take per group: the ``wanted(n)``-th smallest of its n keys.
 
-    ``keys`` has the group columns and a unique ``key``. A group of which nothing is wanted
-    has no row. The result holds one row per group.
+    ``keys`` has the group columns and ``key``. A group of which nothing is wanted has no row.
+    The result holds one row per group.
     """
     by = list(by)
     keyed = keys.select(*by, "key", _bucket(F.col("key")).alias("_bucket"))
@@ -67,9 +68,14 @@ def cutoffs(keys: DataFrame, wanted: Callable[[Column], Column], by: Sequence[st
     )
     if not by:
         edge = F.broadcast(edge)  # one row at most
-    position = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("key"))
-    inside = keyed.join(edge, [*by, "_bucket"]).withColumn("_at", position)
-    return inside.where("_at = _position").select(*by, F.col("key").alias("cutoff"))
+    # Copies of one key are counted before they meet, however many there are.
+    inside = keyed.join(edge, [*by, "_bucket"]).groupBy(*by, "_bucket", "_position", "key").agg(
+        F.count(F.lit(1)).alias("_copies")
+    )
+    reached = F.sum("_copies").over(Window.partitionBy(*by, "_bucket").orderBy("key"))
+    located = inside.withColumn("_reached", reached)
+    at_position = (F.col("_reached") >= F.col("_position")) & (F.col("_reached") - F.col("_copies") < F.col("_position"))
+    return located.where(at_position).select(*by, F.col("key").alias("cutoff"))
 
 
 def first_k(df: DataFrame, id_col: str, k: int, seed: int) -> DataFrame:
@@ -79,31 +85,6 @@ def first_k(df: DataFrame, id_col: str, k: int, seed: int) -> DataFrame:
     return df.where(key <= last.select("cutoff").scalar())
 
 
-def train_eval_cutoff(
-    ids: DataFrame, id_col: str, seed: int, eval_share: float = EVAL_SHARE, limit: int | None = None
-) -> DataFrame:
-    """One row: last key of the train part, last key of the eval part.
-
-    Of the first ``k = min(limit, n)`` rows, ``int(k * eval_share)`` go to eval, the rest to train.
-    """
-    keys = ids.select(order_key(F.col(id_col), seed).alias("key"))
-
-    def used(n: Column) -> Column:
-        return F.least(n, F.lit(limit)) if limit is not None else n
-
-    def train(n: Column) -> Column:
-        k = used(n)
-        return k - F.floor(k * F.lit(eval_share)).cast("bigint")
-
-    last_train = cutoffs(keys, train).select(F.lit("train").alias("part"), "cutoff")
-    last_eval = cutoffs(keys, used).select(F.lit("eval").alias("part"), "cutoff")
-    both = last_train.unionByName(last_eval)
-    return both.agg(
-        F.max(F.when(F.col("part") == "train", F.col("cutoff"))).alias("train"),
-        F.max(F.when(F.col("part") == "eval", F.col("cutoff"))).alias("eval"),
-    )
-
-
 def train_eval_split(
     df: DataFrame,
     id_col: str,
@@ -112,18 +93,26 @@ def train_eval_split(
     limit: int | None = None,
     ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds ``split``; rows past ``limit`` are left out.
+    """Adds ``split``: of the first ``k = min(limit, n)`` rows, ``int(k * eval_share)`` are eval.
 
-    ``df`` may hold several rows per id (pass the distinct ``ids`` then): membership is a
-    comparison with two scalars, so rows of one id stay together without a join.
+    Rows past ``limit`` are left out. ``df`` may hold several rows per id (pass the distinct
+    ``ids`` then): membership is a comparison with a scalar, so rows of one id stay together
+    without a join.
     """
+    keys = (df if ids is None else ids).select(order_key(F.col(id_col), seed).alias("key"))
+
+    def used(n: Column) -> Column:
+        return n if limit is None else F.least(n, F.lit(limit))
+
+    def train(n: Column) -> Column:
+        return used(n) - F.floor(used(n) * F.lit(eval_share)).cast("bigint")
+
     key = order_key(F.col(id_col), seed)
-    last = train_eval_cutoff(df if ids is None else ids, id_col, seed, eval_share, limit)
-    train_key, eval_key = last.select("train").scalar(), last.select("eval").scalar()
-    in_train = F.coalesce(key <= train_key, F.lit(False))
-    split = F.when(in_train, "train").otherwise("eval")
-    kept = df if limit is None else df.where(key <= eval_key)
-    return kept.withColumn("split", split)
+    last_train = cutoffs(keys, train).select("cutoff").scalar()
+    split = F.when(key <= last_train, "train").otherwise("eval")
+    if limit is not None:
+        df = df.where(key <= cutoffs(keys, used).select("cutoff").scalar())
+    return df.withColumn("split", split)
 
 
 def stratified_sample(

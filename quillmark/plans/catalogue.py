@@ -269,7 +269,8 @@ def render_chat(spark, sf_dir):
 
 @query
 def useful_conversations(spark, sf_dir):
-    useful = conversations.keep_useful(_packed(spark, sf_dir))
+    turns = fixtures.turns(spark, sf_dir)
+    useful = conversations.keep_useful(conversations.pack_turns(turns), turns=turns)
     return useful.select("conv_id", "segment", F.size("messages").alias("n_turns"), _contents())
 
 
@@ -467,8 +468,14 @@ def first_k_sample(spark, sf_dir):
 
 @query
 def sentiment_prompts(spark, sf_dir):
-    rows = fixtures.labelled(spark, sf_dir).withColumn("reasoning", F.substring("text", 1, 80))
-    body, truth = F.col("text"), F.col("sentiment_true")
+    explained = fixtures.labelled(spark, sf_dir).select(
+        "doc_id",
+        F.col("text").alias("sentence"),
+        F.col("sentiment_true").alias("sentiment"),
+        F.substring("text", 1, 80).alias("explanation"),
+    )
+    rows = sentiment.training_rows(explained, keep=["doc_id"])
+    body, truth = F.col("text"), F.col("sentiment")
     made = rows.select(
         "doc_id",
         prompts.supervised_prompt(body, truth, F.col("reasoning")).alias("train"),

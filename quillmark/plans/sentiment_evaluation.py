@@ -24,6 +24,11 @@ def explain(labelled: DataFrame, teacher: ModelFactory, error_col: str | None =
     return explained.withColumn("explanation", text.strip(F.col("explanation")))
 
 
+def training_rows(explained: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Explained sentences under the names the prompts use."""
+    return explained.select(*keep, "sentiment", F.col("sentence").alias("text"), F.col("explanation").alias("reasoning"))
+
+
 def parse_replies(replies: DataFrame, raw: str = "raw_output", fallback: str = "none") -> DataFrame:
     """Label, reasoning and tag flags out of the raw replies."""
     tags = replies.withColumns(

@@ -35,6 +35,13 @@ def test_rank_and_first_k_do_not_depend_on_partitions(spark):
     assert [r.id for r in sampling.seeded_order(spark.range(50).toDF("id"), "id", 3).collect()] == sorted(range(50), key=lambda i: key(3, i))
 
 
+def test_copies_of_one_id_stay_together(spark):
+    df = spark.createDataFrame([(i,) for i in range(100)] + [(7,)] * 50, "id int")
+    split = sampling.train_eval_split(df, "id", 1)
+    assert split.count() == 150
+    assert split.groupBy("id").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0
+
+
 @pytest.mark.parametrize("classes", [None, ["a", "b", "c"]])
 def test_stratified_sample_with_dominant_class(spark, classes):
     rows = [(i, "a" if i % 3 else ("b" if i % 2 else "c")) for i in range(400)] + [(1000, "b"), (1001, None)]
@@ -61,6 +68,9 @@ def test_dominant_conversation_is_split_into_segments(spark):
     packed = conversations.pack_turns(turns_table(spark, spec), size=64)
     assert packed.agg(F.max(F.size("messages"))).first()[0] == 64
     replaced = conversations.replace_system_turn(conversations.keep_useful(packed), "new")
+    turns = turns_table(spark, spec)
+    again = conversations.keep_useful(packed, turns=turns, size=64)
+    assert again.count() == conversations.keep_useful(packed).count()
     got = {}
     for r in replaced.orderBy("conv_id", "segment").collect():
         got.setdefault(r.conv_id, []).extend((m.role, m.content) for m in r.messages)
