@@ -49,8 +49,13 @@ def clean_text(text: Column) -> Column:
 
 
 def extract_tag(text: Column, tag: str) -> Column:
-    """Stripped body of the first ``<tag>...</tag>``; ``''`` for an empty body, null if absent."""
-    whole = F.regexp_substr(text, F.lit(f"(?isu)<{tag}>.*?</{tag}>"))
+    """Stripped body of the first ``<tag>...</tag>``; ``''`` for an empty body, null if absent.
+
+    Only the first opening tag can match, as a close after a later one is also after the first;
+    the anchor and the atomic group keep the search from trying the others.
+    """
+    pattern = rf"(?isu)\A(?>.*?(?=<{tag}>))(<{tag}>.*?</{tag}>)"
+    whole = F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
     opening, both = len(tag) + 2, 2 * len(tag) + 5
     return strip(F.substring(whole, F.lit(opening + 1), F.length(whole) - both))
 

@@ -15,6 +15,7 @@ from quillmark.functions import chat
 from quillmark.functions.fixed_values import STOP_PHRASES
 
 SEGMENT_TURNS = 256
+BROADCAST_ROWS = 100_000
 
 
 def segment_of(turn: Column, size: int = SEGMENT_TURNS) -> Column:
@@ -84,14 +85,15 @@ def conversation_verdicts(turns: DataFrame, phrases: tuple[str, ...] = STOP_PHRA
 def most_common_contents(turns: DataFrame, content: Column, k: int = 50) -> DataFrame:
     """The ``k`` most frequent contents with their counts, ties by digest.
 
-    Counting runs on 16-byte digests, so texts are not shuffled. The ``k`` winners are the
-    only rows broadcast to fetch the texts back.
+    Counting runs on 16-byte digests, so texts are not shuffled. The ``k`` winners are
+    broadcast, up to a bound, to fetch the texts back.
     """
     keyed = turns.select(content.alias("content")).where(F.col("content").isNotNull())
     keyed = keyed.select(F.unhex(F.md5("content")).alias("digest"), "content")
     counts = keyed.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.desc("n"), "digest").limit(k)
-    texts = keyed.join(F.broadcast(top), "digest").select("digest", "n", "content").distinct()
+    winners = F.broadcast(top) if k <= BROADCAST_ROWS else top
+    texts = keyed.join(winners, "digest").select("digest", "n", "content").distinct()
     return texts.select(F.lower(F.hex("digest")).alias("digest"), "content", "n")
 
 

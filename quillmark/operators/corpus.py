@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillmark.functions import fixed_values as V
 from quillmark.functions.text import clean_text, has_any, split_words
 
-_LONG_TEXT = 32_768
+_MANY_CHUNKS = 32
 
 
 def page_records(
@@ -40,17 +40,17 @@ def _count(length: Column, size: int, overlap: int) -> Column:
 def _char_chunks(df: DataFrame, text_col: str, keep: Sequence[str], size: int, overlap: int) -> DataFrame:
     stride = size - overlap
     text, cut = F.col(text_col), F.col("_strides")
-    count = _count(F.length(text), size, overlap)
-    short = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(text, i * stride + 1, F.lit(size)))
-    if overlap > stride:
-        return df.select(*keep, short.alias("_chunks"))
-    # Substring counts from the start each time, which is quadratic in the length. A long text
-    # is cut into strides in one go; a chunk is its stride and the head of the next one.
+    numbers = F.sequence(F.lit(0), _count(F.length(text), size, overlap) - 1)
+    short = F.transform(numbers, lambda i: F.substring(text, i * stride + 1, F.lit(size)))
+    # Substring counts from the start each time, which is quadratic in the length. A text of many
+    # chunks is cut into strides in one go; a chunk is the head of the few strides it covers.
     strides = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
-    staged = df.select(*keep, text_col, F.when(F.length(text) > _LONG_TEXT, strides).alias("_strides"))
-    following = F.slice(cut, F.lit(2), F.size(cut))
-    joined = F.zip_with(cut, following, lambda a, b: F.concat(a, F.coalesce(F.substring(b, 1, overlap), F.lit(""))))
-    long = F.slice(joined, F.lit(1), count)
+    is_long = F.length(text) > _MANY_CHUNKS * stride
+    staged = df.select(*keep, text_col, F.when(is_long, strides).alias("_strides"))
+    covered = -(-size // stride)
+    long = F.transform(
+        numbers, lambda i: F.substring(F.array_join(F.slice(cut, i + 1, F.lit(covered)), ""), 1, size)
+    )
     return staged.select(*keep, F.when(cut.isNotNull(), long).otherwise(short).alias("_chunks"))
 
 

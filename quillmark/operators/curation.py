@@ -13,7 +13,8 @@ RATED_PAIR = "array<struct<question: string, answer: string, rating: string>>"
 
 def parse_array(reply: Column, schema: str) -> Column:
     """The JSON array inside a reply, from the first ``[`` to the last ``]``; null if unreadable."""
-    return F.from_json(F.regexp_substr(reply, F.lit(r"(?s)\[.*\]")), schema)
+    array = F.regexp_extract(reply, r"(?s)\A[^\[]*+(\[.*\])", 1)
+    return F.from_json(F.nullif(array, F.lit("")), schema)
 
 
 def parse_pairs(reply: Column) -> Column:

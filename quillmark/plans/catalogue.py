@@ -189,9 +189,18 @@ def clean_pages(spark, sf_dir):
 
 @query
 def title_extract(spark, sf_dir):
-    html = F.col("html")
-    return fixtures.table(spark, sf_dir, "pages").select(
-        "page_id", text.extract_tag(html, "title").alias("title"), text.extract_tag(html, "subtitle").alias("subtitle")
+    rows = fixtures.table(spark, sf_dir, "pages").select(
+        "page_id",
+        text.extract_tag(F.col("html"), "title").alias("title"),
+        text.extract_tag(F.col("html"), "article").alias("article"),
+        text.extract_tag(F.col("html"), "h3").alias("h3"),
+    )
+    return rows.select(
+        "page_id",
+        "title",
+        text.tag_present(F.col("article")).alias("has_article"),
+        F.md5(F.coalesce("article", F.lit(""))).alias("article_md5"),
+        text.tag_present(F.col("h3")).alias("has_h3"),
     )
 
 
@@ -370,7 +379,7 @@ def json_pairs(spark, sf_dir):
         F.count(F.lit(1)).alias("n"),
         F.count_if(pairs.isNull()).alias("n_unreadable"),
         F.count_if(F.coalesce(F.try_element_at(pairs, F.lit(1))["rating"] >= 8, F.lit(False))).alias("n_high"),
-        F.max(F.try_element_at(pairs, F.lit(1))["question"]).alias("last_question"),
+        F.coalesce(F.max(F.try_element_at(pairs, F.lit(1))["question"]), F.lit("")).alias("last_question"),
     )
 
 
@@ -511,7 +520,7 @@ def predict_with_reasoning(spark, sf_dir):
 @query
 def score_reasoning(spark, sf_dir):
     scored = sentiment.score_reasoning(_parsed(spark, sf_dir), standins.replay, "text", extra_inputs=["judge_reply"])
-    return scored.select("doc_id", "sentiment_pred", "reasoning_score")
+    return scored.select("doc_id", "sentiment_pred", F.col("reasoning_score").cast("double").alias("reasoning_score"))
 
 
 @query

@@ -291,7 +291,9 @@ m as (select difficulty, {KEYWORD} as k, {verdict('judge_reply')} as j, {word_pe
   {letter_similarity('expected_answer', 'generated_answer')} as s from judged) """ + grouped("m", "difficulty", full)
 
     sql["clean_pages"] = f"with c as (select page_id, {clean('html')} as text from pages) select page_id, length(text)::int as n_chars, md5(text) as text_md5 from c"
-    sql["title_extract"] = f"select page_id, {tag('html', 'title')} as title, {tag('html', 'subtitle')} as subtitle from pages"
+    sql["title_extract"] = f"""with t as (select page_id, {tag('html', 'title')} as title, {tag('html', 'article')} as article,
+  {tag('html', 'h3')} as h3 from pages)
+select page_id, title, article is not null as has_article, md5(coalesce(article, '')) as article_md5, h3 is not null as has_h3 from t"""
     sql["page_records"] = f"with {PAGES} select page_id, piece::int as piece, length(text)::int as n_chars, md5(text) as text_md5 from records"
     sql["chunk_documents"] = f"with {chunks('documents', 'doc_id')} select doc_id, chunk_no, length(chunk)::int as n_chars, md5(chunk) as chunk_md5 from chunks"
     sql["chunk_words"] = f"""with w as (select doc_id, string_split({collapse('text')}, ' ') as words from documents),
@@ -353,7 +355,7 @@ from scored where rating >= 5"""
     sql["json_pairs"] = """select event_type, count(*) as n,
   count(*) filter (where event_type not in ('click','view')) as n_unreadable,
   count(*) filter (where event_type = 'click') as n_high,
-  max(case when event_type in ('click','view') then 'q' || event_id end) as last_question from events group by event_type"""
+  coalesce(max(case when event_type in ('click','view') then 'q' || event_id end), '') as last_question from events group by event_type"""
 
     sql["parse_predictions"] = f"""with {PARSED} select doc_id, sentiment_pred, sentiment_tag_present, reasoning_tag_present,
   md5(reasoning_pred) as reasoning_pred_md5, md5(reasoning_or_raw) as reasoning_or_raw_md5 from parsed"""
@@ -399,7 +401,7 @@ select doc_id, md5({user} || {turn('model', answer_tags)}) as train_md5, md5({us
   'Because ' || md5({explain_prompt('text', 'sentiment_true')}) as explanation from labelled"""
     sql["predict_with_reasoning"] = f"with {PARSED} select doc_id, sentiment_pred, md5(reasoning_or_raw) as reasoning_pred_md5 from parsed"
     sql["score_reasoning"] = f"""with {PARSED} select doc_id, sentiment_pred,
-  (case when {defaulted} then 1 else {SCORE} end)::int as reasoning_score from parsed"""
+  (case when {defaulted} then 1 else {SCORE} end)::double as reasoning_score from parsed"""
     sql["sentiment_evaluation"] = f"""with {PARSED}, {REPORT}, tags as ({INTEGRITY})
 select 'f1 ' || label as metric, round(f1, 6) as value from report
 union all select 'both tags', both_rate from tags

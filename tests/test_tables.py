@@ -109,9 +109,9 @@ def brute_chunks(text, size, overlap):
 def test_chunks_of_short_and_long_texts(spark, size, overlap):
     alphabet = "ab\n \r é\U0001f600"
     rng = random.Random(size)
-    lengths = [0, 1, overlap, size - 1, size, size + 1, 2 * size - overlap, 2 * size - overlap + 1, 32_768, 32_769, 40_001]
-    if size < 100:
-        lengths = [x for x in lengths if x < 32_769] + [33_000]
+    edge = 32 * (size - overlap)
+    lengths = [0, 1, overlap, size - 1, size, size + 1, 2 * size - overlap, 2 * size - overlap + 1]
+    lengths += [edge - 1, edge, edge + 1, edge + size, edge + 2 * size + 7]
     texts = ["".join(rng.choice(alphabet) for _ in range(n)) for n in lengths]
     df = spark.createDataFrame([*enumerate(texts), (99, None)], "id int, t string")
     got = {}

@@ -76,6 +76,11 @@ def test_unclosed_braces_stay_linear(one):
     assert got == [200_001]
 
 
+def test_unclosed_tags_stay_linear(one):
+    got = one("x string", [("<t>" * 100_000,), ("<t>" * 100_000 + "</t>",)], lambda c: F.length(text.extract_tag(c("x"), "t")))
+    assert got == [None, 299_997]
+
+
 def test_tag_edges(one):
     cases = {
         "<SENTIMENT> neg </Sentiment>": "neg",
