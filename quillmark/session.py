@@ -34,13 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    if context.getCheckpointDir() is None:
         if not folder:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
             folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         context.setCheckpointDir(folder)
-    return (folder or context._jsc.sc().getCheckpointDir().get()).rstrip("/")
+    return (folder or context.getCheckpointDir()).rstrip("/")
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

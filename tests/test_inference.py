@@ -1,6 +1,8 @@
 """The model hook: batching, errors, retries, resuming, call counts."""
 
 import os
+import subprocess
+import sys
 import tempfile
 
 import pytest
@@ -95,3 +97,24 @@ def test_small_input_is_spread_and_large_left_alone(spark, monkeypatch):
     assert inference.spread_small(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     monkeypatch.setattr(inference, "_SCAN_TASK_BYTES", 1)
     assert inference.spread_small(df).rdd.getNumPartitions() == 1
+
+
+ELSEWHERE = """
+import importlib.util, sys
+spec = importlib.util.spec_from_file_location("__spark_entry__", sys.argv[1] + "/__spark_entry__.py")
+contract = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(contract)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("rows", contract.queries()["explanations"](spark, sys.argv[2]).count())
+"""
+
+
+def test_executors_need_no_copy_of_the_package(sf_dir, folder):
+    """A session started elsewhere, whose workers cannot import the package."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    with open(f"{folder}/run.py", "w") as f:
+        f.write(ELSEWHERE)
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    done = subprocess.run([sys.executable, "run.py", root, sf_dir], cwd=folder, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 200" in done.stdout, done.stderr[-2000:]
