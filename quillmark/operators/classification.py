@@ -23,7 +23,7 @@ def confusion_counts(df: DataFrame, truth: str, pred: str) -> DataFrame:
 
 def _grid(df: DataFrame, labels: Sequence) -> DataFrame:
     options = F.array(*[F.lit(x) for x in labels])
-    one = df.sparkSession.range(1)
+    one = df.sparkSession.range(0, 1, 1, 1)
     return one.select(F.explode(options).alias("truth")).select("truth", F.explode(options).alias("pred"))
 
 
@@ -52,7 +52,7 @@ def classification_report(df: DataFrame, truth: str, pred: str, labels: Sequence
             for x in labels
         ]
     )
-    zero_rows = df.sparkSession.range(1).select(F.inline(present))
+    zero_rows = df.sparkSession.range(0, 1, 1, 1).select(F.inline(present))
     counted = per_side.select("s.label", "s.support", "s.predicted", F.when(F.col("s.support") > 0, F.col("hits")).otherwise(F.lit(0)).cast("bigint").alias("hits"))
     totals = (
         counted.where(F.col("label").isin(*labels))
