@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 import quillmark
 from quillmark.session import run_dir
@@ -38,3 +40,9 @@ def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
     of a stored table, which is what the operators read.
     """
     return docs.select(F.monotonically_increasing_id().alias("_row"), *columns)
+
+
+def schemas(ddl: str) -> tuple:
+    """The Spark and the Arrow schema of a task's output."""
+    schema = T.StructType.fromDDL(ddl)
+    return schema, to_arrow_schema(schema)
