@@ -16,6 +16,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents")).drop("_row")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmark.llm.simhash import near_groups
+
+    return near_groups(read_table(spark, sf_dir, "documents")).drop("_row")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillmark.llm.decontamination import find_passages, with_digest
 
@@ -30,7 +36,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op7_decontamination, op10_sharding)}
+    return {f.__name__: f for f in (op1_exact_dedup, op6_simhash, op7_decontamination, op10_sharding)}
 
 
 OP1_SQL = r"""
