@@ -29,6 +29,16 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_digest(found).drop("_row")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmark.llm import quality
+
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillmark.llm.sharding import assign_shards
 
@@ -36,7 +46,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op6_simhash, op7_decontamination, op10_sharding)}
+    return {f.__name__: f for f in (op1_exact_dedup, op6_simhash, op7_decontamination, op8_quality, op10_sharding)}
 
 
 OP1_SQL = r"""
