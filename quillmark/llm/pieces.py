@@ -14,8 +14,6 @@ The model file is read by the driver from a path that is a parameter and sent to
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +23,14 @@ from quillmark.llm.common import numbered, schemas
 from quillmark.llm.words import ragged, slices
 
 SPACE, BASE, CACHE_WORDS, MODEL_BYTES, UNKNOWN_PENALTY = "▁", 0x9E3779B97F4A7C15, 400_000, 64 << 20, 10.0
-GROUP_CELLS = 1 << 20
+GROUP_CELLS, JOINT_CODES, SLOT_BITS = 1 << 19, 1024, 20
+
+
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    """One to one; spreads short strings over the high bits."""
+    with np.errstate(over="ignore"):
+        h = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return h ^ (h >> np.uint64(32))
 
 
 class Pieces:
@@ -51,7 +56,7 @@ class Pieces:
         self.unknown = next((i for i, p in enumerate(proto.pieces) if p.type == 2), 0)
         self.byte_ids = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == 6}
         self.longest = max((len(p) for _, p, _ in usable), default=1)
-        keys = np.array([self._hash(p) for _, p, _ in usable], np.uint64)
+        keys = mixed(np.array([self._hash(p) for _, p, _ in usable], np.uint64))
         order = np.argsort(keys)
         self.keys, self.key_ids = keys[order], np.array([i for i, _, _ in usable], np.int64)[order]
         if len(np.unique(keys)) < len(keys):
@@ -62,8 +67,15 @@ class Pieces:
         self.piece_bytes = np.frombuffer(b"".join(raw), np.uint8)
         self.piece_sizes = np.array([len(r) for r in raw], np.int64)
         self.piece_starts = np.cumsum(self.piece_sizes) - self.piece_sizes
-        outside = "" if any("\n" in p for _, p, _ in usable) else "\n"
-        self.cut = re.compile(f"{SPACE}*[^{SPACE}{outside}]+|{SPACE}+" + (f"|{outside}" if outside else ""))
+        # No piece crosses two characters that never stand side by side in one: words are cut there.
+        self.joined = np.zeros((JOINT_CODES, JOINT_CODES), bool)
+        self.joined[-1, :] = self.joined[:, -1] = True  # codes beyond the table are never cut apart
+        for _, text, _ in usable:
+            for x, y in zip(text, text[1:]):
+                self.joined[min(ord(x), JOINT_CODES - 1), min(ord(y), JOINT_CODES - 1)] = True
+        slots = (self.keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        self.slots = np.searchsorted(slots, np.arange(1 << SLOT_BITS))
+        self.chain = int(np.bincount(slots).max()) if len(slots) else 1
         self.follows: dict[int, bool] = {}
 
     @staticmethod
@@ -76,15 +88,24 @@ class Pieces:
     def _may_follow(self, pair: int) -> bool:
         """Whether merging the characters of two pieces, best score first, leaves these two."""
         first, second = self.text_of[pair >> 32], self.text_of[pair & 0xFFFFFFFF]
-        parts = list(first + second)
+        if first + second in self.score_of:
+            return False
+        parts, of, none, border = list(first + second), self.score_of.get, -np.inf, len(first)
+        scores = [of(a + b, none) for a, b in zip(parts, parts[1:])]
         while len(parts) > 2:
-            scores = [self.score_of.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
             best = max(scores)
-            if best == -np.inf:
-                return False
             at = scores.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts == [first, second] and first + second not in self.score_of
+            merged = parts[at] + parts[at + 1]
+            ahead = sum(map(len, parts[:at]))
+            if best == none or ahead < border < ahead + len(merged):
+                return False
+            parts[at : at + 2] = [merged]
+            del scores[at]
+            if at:
+                scores[at - 1] = of(parts[at - 1] + merged, none)
+            if at < len(scores):
+                scores[at] = of(merged + parts[at + 1], none)
+        return parts == [first, second]
 
     def allowed(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether each piece may follow; -1 is the start or an unknown character and never merges."""
@@ -97,8 +118,8 @@ class Pieces:
                 known[p] = self._may_follow(p)
         return np.array([p < 0 or known[p] for p in distinct.tolist()], bool)[at].reshape(before.shape)
 
-    def search(self, codes: np.ndarray) -> list[np.ndarray]:
-        """Best path of each row of code points: piece ids, -1 - position for an unknown character."""
+    def search(self, codes: np.ndarray) -> np.ndarray:
+        """Best path of each row of code points, right-aligned: piece ids, -2 for nothing, -2 - end for an unknown character."""
         rows, length = codes.shape
         with np.errstate(over="ignore"):
             prefix = np.zeros((rows, length + 1), np.uint64)
@@ -111,8 +132,7 @@ class Pieces:
             for i in range(1, length + 1):
                 sizes = np.arange(min(self.longest, i), 0, -1)  # the longer piece wins a tie
                 hashes = prefix[:, i : i + 1] - prefix[:, i - sizes] * self.powers[sizes]
-                at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-                piece = np.where(self.keys[at] == hashes, self.key_ids[at], -1)
+                piece = self.probe(hashes)
                 score = np.where(piece >= 0, self.scores[piece], -np.inf)
                 score[:, -1] = np.where(piece[:, -1] < 0, self.unknown_score, score[:, -1])
                 score += best[:, i - sizes]
@@ -122,41 +142,76 @@ class Pieces:
                         score[open_] = np.where(self.allowed(last[:, i - sizes][open_], piece[open_]), score[open_], -np.inf)
                 chosen = np.argmax(score, axis=1)
                 best[:, i], last[:, i], back[:, i] = score[each, chosen], piece[each, chosen], sizes[chosen]
-        found = []
-        for r in range(rows):
-            path, i = [], length
-            while i > 0:
-                path.append(last[r, i] if last[r, i] >= 0 else -i)
-                i -= back[r, i]
-            found.append(np.array(path[::-1], np.int64))
-        return found
-
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word; words of equal length are searched together."""
+        paths, at = np.full((rows, length), -2, np.int64), np.full(rows, length)
+        for k in range(length - 1, -1, -1):
+            open_ = np.flatnonzero(at > 0)
+            if not len(open_):
+                break
+            piece = last[open_, at[open_]]
+            paths[open_, k] = np.where(piece >= 0, piece, -2 - at[open_])
+            at[open_] -= back[open_, at[open_]]
+        return paths
+
+    def probe(self, hashes: np.ndarray) -> np.ndarray:
+        """Piece ids of substring hashes, -1 for none; the top bits say where to look among the sorted keys."""
+        hashes = mixed(hashes)
+        at = self.slots[(hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+        piece = np.full(hashes.shape, -1, np.int64)
+        for k in range(self.chain):
+            place = np.minimum(at + k, len(self.keys) - 1)
+            hit = self.keys[place] == hashes
+            piece[hit] = self.key_ids[place[hit]]
+        return piece
+
+    def cut(self, text: str) -> list[str]:
+        """Parts that no piece crosses; the space mark starts a part unless another stands before it."""
+        codes = np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), JOINT_CODES)
+        mark = np.frombuffer(text.encode("utf-32-le"), np.uint32) == ord(SPACE)
+        codes[codes == JOINT_CODES] = JOINT_CODES - 1
+        cuts = ~self.joined[codes[:-1], codes[1:]] | (mark[1:] & ~mark[:-1])
+        at = [0, *(np.flatnonzero(cuts) + 1).tolist(), len(text)]
+        return [text[a:b] for a, b in zip(at, at[1:])]
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, those of a word together, and where each word's ids start, and end; words of equal length are searched together."""
         by_length: dict[int, list[int]] = {}
         for k, w in enumerate(words):
             by_length.setdefault(len(w), []).append(k)
-        out: list = [None] * len(words)
+        flat, starts, sizes, total = [], np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), 0
         for length, members in by_length.items():
             step = max(1, GROUP_CELLS // length)
-            for at in range(0, len(members), step):
-                some = members[at : at + step]
+            for first in range(0, len(members), step):
+                some = members[first : first + step]
                 codes = np.frombuffer("".join(words[k] for k in some).encode("utf-32-le"), np.uint32).reshape(len(some), length)
-                for k, path in zip(some, self.search(codes)):
-                    out[k] = self._spelled(words[k], path)
-        return out
+                paths = self.search(codes)
+                unknown = np.flatnonzero((paths < -2).any(axis=1))
+                spelled = {int(r): self._spelled(words[some[r]], paths[r]) for r in unknown}
+                used = paths > -2
+                used[unknown] = False
+                n = used.sum(axis=1)
+                ids = paths[used]
+                for r, found in spelled.items():
+                    starts[some[r]], sizes[some[r]] = total, len(found)
+                    total += len(found)
+                    flat.append(found)
+                plain = np.ones(len(some), bool)
+                plain[unknown] = False
+                at = np.array(some)[plain]
+                sizes[at] = n[plain]
+                starts[at] = total + np.cumsum(n[plain]) - n[plain]
+                total += len(ids)
+                flat.append(ids)
+        return np.concatenate([*flat, np.zeros(0, np.int64)]).astype(np.int32), starts, starts + sizes
 
     def _spelled(self, word: str, path: np.ndarray) -> np.ndarray:
         """Unknown characters as bytes, or the unknown piece where the model has no bytes."""
-        if path.min(initial=0) >= 0:
-            return path.astype(np.int32)
         ids: list[int] = []
-        for p in path.tolist():
+        for p in path[path != -2].tolist():
             if p >= 0:
                 ids.append(p)
             else:
-                ids += [self.byte_ids[b] for b in word[-p - 1].encode()] if self.byte_ids else [self.unknown]
-        return np.array(ids, np.int32)
+                ids += [self.byte_ids[b] for b in word[-p - 3].encode()] if self.byte_ids else [self.unknown]
+        return np.array(ids, np.int64)
 
     def decode(self, ids: np.ndarray) -> bytes:
         sizes = self.piece_sizes[ids]
@@ -172,25 +227,25 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number, self.sizes, self.flat, self.held = {}, np.zeros(0, np.int64), np.zeros(0, np.int32), 0
+        self.number, self.starts, self.ends, self.flat = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.number) > CACHE_WORDS:
             self._forget()
         p = self.pieces
-        cut = [p.cut.findall(p.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
+        cut = [p.cut(p.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
         new = list(set().union(*cut) - self.number.keys()) if cut else []
         if new:
-            ids = p.encode_words(new)
-            self.number.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
-            self.sizes = np.concatenate([self.sizes, [len(i) for i in ids]])
-            self.flat = np.concatenate([self.flat, *ids])
-            self.starts = np.cumsum(self.sizes) - self.sizes
+            flat, starts, ends = p.encode_words(new)
+            self.number.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
+            self.starts = np.concatenate([self.starts, starts + len(self.flat)])
+            self.ends = np.concatenate([self.ends, ends + len(self.flat)])
+            self.flat = np.concatenate([self.flat, flat])
         of = self.number.__getitem__
         found = []
         for words in cut:
             at = np.fromiter(map(of, words), np.int64, len(words))
-            found.append(self.flat[ragged(self.starts[at], self.sizes[at])] if len(at) else np.zeros(0, np.int32))
+            found.append(self.flat[ragged(self.starts[at], self.ends[at] - self.starts[at])] if len(at) else np.zeros(0, np.int32))
         return found
 
 
