@@ -45,32 +45,40 @@ class Quality:
     offset: float
 
     def margin(self, present: np.ndarray) -> float:
-        norm = float(np.sqrt(max(present.sum(), 1)))
-        return float(self.weights[present].sum()) / norm + self.bias
+        """Of indicators as booleans or as a list of those present."""
+        chosen = self.weights[present]
+        return float(chosen.sum()) / float(np.sqrt(max(len(chosen), 1))) + self.bias
 
     def score(self, present: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(present) + self.offset, -700, 700))))
 
 
-def log_count_ratios(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
+def log_count_ratios(features: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Per feature, the log of its smoothed share in class 1 over that in class 0."""
-    one, zero = (SMOOTHING + rows[labels == k].sum(axis=0, dtype=np.float64) for k in (1, 0))
+
+    def counts(label: int) -> np.ndarray:
+        total = np.full(1 << BITS, SMOOTHING)
+        for f, y in zip(features, labels):
+            if y == label:
+                total[f] += 1
+        return total
+
+    one, zero = counts(1), counts(0)
     return np.log(one / one.sum()) - np.log(zero / zero.sum())
 
 
-def hinge_fit(rows: np.ndarray, labels: np.ndarray, ratios: np.ndarray, seed: int = 0) -> tuple[np.ndarray, float]:
+def hinge_fit(features: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, seed: int = 0) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the linear hinge loss; classes weigh the same in sum.
 
     Rows are indicators times ratios, divided by the root of the number of indicators.
     """
     sign = np.where(labels == 1, 1.0, -1.0)
     cost = PENALTY * np.where(labels == 1, 0.5 / max((labels == 1).mean(), 1e-9), 0.5 / max((labels == 0).mean(), 1e-9))
-    features = [np.flatnonzero(r) for r in rows]
     values = [ratios[f] / np.sqrt(max(len(f), 1)) for f in features]
     square = np.array([float(v @ v) + 1 for v in values])
-    w, bias, dual, rng = np.zeros(rows.shape[1]), 0.0, np.zeros(len(rows)), np.random.default_rng(seed)
+    w, bias, dual, rng = np.zeros(1 << BITS), 0.0, np.zeros(len(features)), np.random.default_rng(seed)
     for _ in range(EPOCHS):
-        for i in rng.permutation(len(rows)):
+        for i in rng.permutation(len(features)):
             slack = sign[i] * (w[features[i]] @ values[i] + bias) - 1
             new = min(max(dual[i] - slack / square[i], 0.0), cost[i])
             step = (new - dual[i]) * sign[i]
@@ -97,15 +105,15 @@ def train(packed: list[bytes], labels: list[int]) -> Quality:
     if len(set(labels)) < 2:
         share = (y.sum() + 1) / (len(y) + 2)
         return Quality(np.zeros(1 << BITS), 0.0, 0.0, float(np.log(share / (1 - share))))
-    rows = np.unpackbits(np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1), axis=1).view(bool)
+    features = [np.flatnonzero(np.unpackbits(np.frombuffer(p, np.uint8))).astype(np.int32) for p in packed]
     fold, margins = np.arange(len(y)) % FOLDS, np.zeros(len(y))
     for k in range(FOLDS):
         out = fold == k
         if len(set(y[~out].tolist())) == 2:
-            w, bias = hinge_fit(rows[~out], y[~out], log_count_ratios(rows[~out], y[~out]))
-            part = Quality(w, bias, 1.0, 0.0)
-            margins[out] = [part.margin(r) for r in rows[out]]
-    w, bias = hinge_fit(rows, y, log_count_ratios(rows, y))
+            some = [f for f, left in zip(features, out) if not left]
+            part = Quality(*hinge_fit(some, y[~out], log_count_ratios(some, y[~out])), 1.0, 0.0)
+            margins[out] = [part.margin(f) for f, left in zip(features, out) if left]
+    w, bias = hinge_fit(features, y, log_count_ratios(features, y))
     return Quality(w, bias, *logistic_fit(margins, y))
 
 
