@@ -10,12 +10,21 @@ from pyspark.sql import functions as F
 from quillmark.llm.common import read_table
 
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillmark.llm.exact_dedup import exact_dedup
 
     return exact_dedup(read_table(spark, sf_dir, "documents")).drop("_row")
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
+    from quillmark.llm.pieces import encode
+
+    return encode(read_table(spark, sf_dir, "documents"), model_path, with_ids=False).drop("_row")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillmark.llm.simhash import near_groups
 
@@ -46,7 +55,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op6_simhash, op7_decontamination, op8_quality, op10_sharding)}
+    return {f.__name__: f for f in (op1_exact_dedup, op5_sentencepiece, op6_simhash, op7_decontamination, op8_quality, op10_sharding)}
 
 
 OP1_SQL = r"""
