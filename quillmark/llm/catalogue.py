@@ -19,6 +19,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents")).drop("_row")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmark.llm.suffix_dedup import suffix_dedup, with_digest
+
+    return with_digest(suffix_dedup(read_table(spark, sf_dir, "documents"))).drop("_row")
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmark.llm.substring_dedup import substring_dedup, with_digest
+
+    return with_digest(substring_dedup(read_table(spark, sf_dir, "documents"))).drop("_row")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
     from quillmark.llm.pieces import encode
 
@@ -55,7 +67,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op5_sentencepiece, op6_simhash, op7_decontamination, op8_quality, op10_sharding)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_suffix_array_dedup, op4_substring_dedup, op5_sentencepiece, op6_simhash, op7_decontamination, op8_quality, op10_sharding)}
 
 
 OP1_SQL = r"""
