@@ -60,6 +60,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmark.llm.licenses import known_licenses, scan
+
+    found = scan(read_table(spark, sf_dir, "documents"), known_licenses(spark))
+    return found.withColumn("licenses", F.array_join("licenses", ",")).drop("_row")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillmark.llm.sharding import assign_shards
 
@@ -67,7 +74,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_suffix_array_dedup, op4_substring_dedup, op5_sentencepiece, op6_simhash, op7_decontamination, op8_quality, op10_sharding)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_suffix_array_dedup, op4_substring_dedup, op5_sentencepiece, op6_simhash, op7_decontamination, op8_quality, op9_license_scan, op10_sharding)}
 
 
 OP1_SQL = r"""
@@ -79,4 +86,6 @@ FROM t
 
 
 def all_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    from quillmark.llm.licenses import scan_sql
+
+    return {"op1_exact_dedup": OP1_SQL, "op9_license_scan": scan_sql()}
