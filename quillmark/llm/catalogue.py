@@ -19,6 +19,13 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents")).drop("_row")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmark.llm import language
+
+    langs, table = language.fit(read_table(spark, sf_dir, "documents"))
+    return language.identify(read_table(spark, sf_dir, "pages"), langs, table).drop("_row")
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillmark.llm.suffix_dedup import suffix_dedup, with_digest
 
@@ -74,7 +81,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_suffix_array_dedup, op4_substring_dedup, op5_sentencepiece, op6_simhash, op7_decontamination, op8_quality, op9_license_scan, op10_sharding)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_language_id, op3_suffix_array_dedup, op4_substring_dedup, op5_sentencepiece, op6_simhash, op7_decontamination, op8_quality, op9_license_scan, op10_sharding)}
 
 
 OP1_SQL = r"""
