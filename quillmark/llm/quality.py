@@ -165,3 +165,20 @@ def score(docs: DataFrame, model: Quality, text_col: str = "text", id_col: str =
             yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("doc_id"), pa.array(found, pa.float64())], schema=arrow)
 
     return numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(rate, schema)
+
+
+def accepted(docs: DataFrame, model: Quality, least: float, text_col: str = "text") -> DataFrame:
+    """The documents whose score is ``least`` or more, all columns."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    def choose(batches):
+        model = shipped.value
+        for batch in batches:
+            keep = [
+                model.score(indicators(data[a:b])) >= least
+                for _, _, data, at in slices(batch.column(batch.schema.get_field_index(text_col)))
+                for a, b in zip(at[:-1].tolist(), at[1:].tolist())
+            ]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(choose, docs.schema)
