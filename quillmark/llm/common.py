@@ -46,3 +46,19 @@ def schemas(ddl: str) -> tuple:
     """The Spark and the Arrow schema of a task's output."""
     schema = T.StructType.fromDDL(ddl)
     return schema, to_arrow_schema(schema)
+
+
+def free_name(df: DataFrame, wish: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
+def only_rows(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """The documents whose row number is (``left_semi``) or is not (``left_anti``) in ``rows._row``, all columns."""
+    at = free_name(docs, "_at_row")
+    other = free_name(docs, "_other_row")
+    marked = docs.withColumn(at, F.monotonically_increasing_id())
+    return marked.join(rows.select(F.col("_row").alias(other)), F.col(at) == F.col(other), how).drop(at)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import numbered, schemas, stored
+from quillmark.llm.common import free_name, numbered, schemas, stored
 from quillmark.llm.words import byte_table, ragged, runs, slices, word_codes, word_spans
 
 WINDOW, SHARD_BYTES, SAMPLING, PHRASE_BYTES = 10, 24 << 20, 8, 8 << 20
@@ -304,11 +304,13 @@ def with_digest(found: DataFrame) -> DataFrame:
 def without_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text_col: str = "text", phrase_bytes: int = PHRASE_BYTES) -> DataFrame:
     """The documents, all columns, without the bytes of merged hit spans; other texts are unchanged."""
     found = stored(find_passages(docs, benchmark, text_col, id_col, item_col, item_text_col, phrase_bytes).where("n_hit > 0").select("_row", "spans"), "spans")
-    rows = docs.withColumn("_at_row", F.monotonically_increasing_id()).join(found.select(F.col("_row").alias("_hit_row"), F.col("spans").alias("_hit_spans")), F.col("_at_row") == F.col("_hit_row"), "left")
-    raw = F.col(text_col).cast("binary")
+    at, hit_row, hit = (free_name(docs, c) for c in ("_at_row", "_hit_row", "_hit_spans"))
+    found = found.select(F.col("_row").alias(hit_row), F.col("spans").alias(hit))
+    rows = docs.withColumn(at, F.monotonically_increasing_id()).join(found, F.col(at) == F.col(hit_row), "left")
+    raw, spans = F.col(text_col).cast("binary"), F.col(hit)
     # The parts between spans: from the end of one to the start of the next.
-    starts = F.concat(F.array(F.lit(0).cast("long")), F.col("_hit_spans.stop"))
-    stops = F.concat(F.col("_hit_spans.start"), F.array(F.octet_length(text_col).cast("long")))
+    starts = F.concat(F.array(F.lit(0).cast("long")), spans["stop"])
+    stops = F.concat(spans["start"], F.array(F.octet_length(text_col).cast("long")))
     parts = F.zip_with(starts, stops, lambda a, b: F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")).cast("string"))
-    text = F.when(F.col("_hit_spans").isNull(), F.col(text_col)).otherwise(F.array_join(parts, ""))
+    text = F.when(spans.isNull(), F.col(text_col)).otherwise(F.array_join(parts, ""))
     return rows.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

@@ -16,7 +16,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import BLANKS, numbered, stored, whole_text
+from quillmark.llm.common import BLANKS, numbered, only_rows, stored, whole_text
 
 BLOCK_BYTES = 4096
 
@@ -98,6 +98,4 @@ def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
 def keep_first(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The documents without later copies, all columns."""
-    kept = exact_dedup(docs, text_col, id_col).where("kept").select(F.col("_row").alias("_kept_row"))
-    rows = docs.withColumn("_kept_at", F.monotonically_increasing_id())
-    return rows.join(kept, rows["_kept_at"] == kept["_kept_row"], "left_semi").drop("_kept_at")
+    return only_rows(docs, exact_dedup(docs, text_col, id_col).where("kept"), "left_semi")
