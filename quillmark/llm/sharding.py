@@ -24,7 +24,7 @@ def schedule(units: list[tuple], shards: int) -> list[tuple]:
     placed = []
     for unit, size in sorted(units, key=lambda u: (-u[1], str(u[0]))):
         load, shard = heapq.heappop(heap)
-        placed.append((*unit, shard))
+        placed.append((unit, shard))
         heapq.heappush(heap, (load + size, shard))
     return placed
 
@@ -55,8 +55,8 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, text_col: str = "text",
     pooled = groups.where(~large).groupBy(pool.alias("pool")).agg(F.sum("size").alias("size")).select("pool", F.lit(0).cast("long").alias("group"), "size")
     units = own.unionByName(pooled).collect()  # at most 2 * cells rows
     placed = schedule([((u["pool"], u["group"]), u["size"]) for u in units], shards)
-    apart = spark.createDataFrame([(g, s) for p, g, s in placed if p < 0], "group long, own_shard int")
-    by_pool = spark.createDataFrame([(p, s) for p, g, s in placed if p >= 0], "pool int, pool_shard int")
+    apart = spark.createDataFrame([(g, s) for (p, g), s in placed if p < 0], "group long, own_shard int")
+    by_pool = spark.createDataFrame([(p, s) for (p, g), s in placed if p >= 0], "pool int, pool_shard int")
     put = (
         facts.join(F.broadcast(apart), "group", "left").withColumn("pool", pool).join(F.broadcast(by_pool), "pool", "left")
         .withColumn("shard", F.coalesce("own_shard", "pool_shard"))
