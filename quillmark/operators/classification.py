@@ -37,7 +37,9 @@ def confusion_matrix(df: DataFrame, truth: str, pred: str, labels: Sequence) ->
 def classification_report(df: DataFrame, truth: str, pred: str, labels: Sequence[str]) -> DataFrame:
     """Precision, recall, F1 and support per label, then accuracy, macro and weighted average.
 
-    All configured labels are there; a metric without a denominator is 0.
+    All configured labels are there; a metric without a denominator is 0. Rows whose true or
+    predicted label is not configured, or null, have no line of their own, but accuracy and
+    total support are over all rows. Macro and weighted averages are over configured labels.
     """
     cells = confusion_counts(df, truth, pred)
     hit = F.col("truth").eqNullSafe(F.col("pred"))
@@ -54,8 +56,9 @@ def classification_report(df: DataFrame, truth: str, pred: str, labels: Sequence
     )
     zero_rows = df.sparkSession.range(0, 1, 1, 1).select(F.inline(present))
     counted = per_side.select("s.label", "s.support", "s.predicted", F.when(F.col("s.support") > 0, F.col("hits")).otherwise(F.lit(0)).cast("bigint").alias("hits"))
+    listed_label = F.when(F.col("label").isin(*labels), F.col("label")).alias("label")  # all others are null, as one
     totals = (
-        counted.where(F.col("label").isin(*labels))
+        counted.select(listed_label, "support", "predicted", "hits")
         .unionByName(zero_rows)
         .groupBy("label")
         .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
@@ -73,20 +76,23 @@ def classification_report(df: DataFrame, truth: str, pred: str, labels: Sequence
         "hits",
     )
     metrics = ("precision", "recall", "f1")
-    everything = F.sum("support")
-    accuracy = ratio(F.sum("hits"), everything)
+    listed, every = F.col("label").isNotNull(), F.sum("support")
+    accuracy = ratio(F.sum("hits"), every)
+
+    def of_listed(value: Column) -> Column:
+        return F.when(listed, value)
 
     def line(label: str, values: list[Column]) -> Column:
         named = [v.alias(m) for v, m in zip(values, metrics)]
-        return F.struct(F.lit(label).alias("label"), *named, everything.alias("support"))
+        return F.struct(F.lit(label).alias("label"), *named, every.alias("support"))
 
     # One row per configured label and three summary rows: a handful, held in one array.
     rows = scored.agg(
-        F.collect_list(F.struct("label", *metrics, "support")).alias("classes"),
+        F.collect_list(of_listed(F.struct("label", *metrics, "support"))).alias("classes"),
         F.array(
             line("accuracy", [accuracy] * 3),
-            line("macro avg", [F.avg(m) for m in metrics]),
-            line("weighted avg", [ratio(F.sum(F.col(m) * F.col("support")), everything) for m in metrics]),
+            line("macro avg", [F.avg(of_listed(F.col(m))) for m in metrics]),
+            line("weighted avg", [ratio(F.sum(of_listed(F.col(m) * F.col("support"))), F.sum(of_listed(F.col("support")))) for m in metrics]),
         ).alias("summary"),
     )
     flat = rows.select(F.inline(F.concat("classes", "summary")))

@@ -32,13 +32,31 @@ def parse_ratings(reply: Column) -> Column:
 
 
 def rating_batches(df: DataFrame, pairs_col: str, keep: list[str], size: int = RATING_BATCH) -> DataFrame:
-    """Groups of ``size`` neighbouring pairs of one row, as JSON, ready for the rating prompt."""
+    """Groups of ``size`` neighbouring pairs of one row: the pairs, and as JSON for the rating prompt."""
     pairs = F.col(pairs_col)
     starts = F.sequence(F.lit(0), F.ceil(F.size(pairs) / size).cast("int") - 1)
-    groups = F.transform(starts, lambda i: F.to_json(F.slice(pairs, i * size + 1, F.lit(size))))
+    groups = F.transform(starts, lambda i: F.slice(pairs, i * size + 1, F.lit(size)))
     grouped = df.select(*keep, F.when(F.size(pairs) > 0, groups).alias("_groups"))
-    exploded = grouped.select(*keep, F.posexplode_outer("_groups").alias("group_no", "pairs_json"))
-    return exploded.where("group_no is not null")
+    exploded = grouped.select(*keep, F.posexplode_outer("_groups").alias("group_no", "pairs"))
+    return exploded.where("group_no is not null").withColumn("pairs_json", F.to_json("pairs"))
+
+
+def attach_ratings(pairs: Column, rated: Column) -> Column:
+    """The pairs that were sent, each with its rating: by question where the reply repeats it, else by place.
+
+    A pair is never lost: without a rating in the reply, or without a readable reply, it is null.
+    Pairs that the reply adds or repeats are not taken over.
+    """
+
+    def rating(p: Column, i: Column) -> Column:
+        echoed = F.filter(rated, lambda r: r["question"] == p["question"])
+        at_place = F.try_element_at(rated, i + 1)
+        placed = F.when(at_place["question"].isNull(), at_place["rating"])
+        return F.when(F.size(echoed) > 0, F.try_element_at(echoed, F.lit(1))["rating"]).otherwise(placed)
+
+    return F.transform(
+        pairs, lambda p, i: F.struct(p["question"].alias("question"), p["answer"].alias("answer"), rating(p, i).alias("rating"))
+    )
 
 
 def explode_pairs(df: DataFrame, pairs_col: str, keep: list[str]) -> DataFrame:
@@ -62,3 +80,35 @@ def curation_counts(df: DataFrame, rating: str = "rating", threshold: float = RA
         F.count_if(value < threshold).alias("n_below"),
         F.count_if(value.isNull()).alias("n_unrated"),
     )
+
+
+def in_one_row(*reports: DataFrame) -> DataFrame:
+    """Reports of one row each, of different columns, as one row; without a cross join."""
+    stacked = reports[0]
+    for more in reports[1:]:
+        stacked = stacked.unionByName(more, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
+def reply_counts(written: DataFrame, rated_groups: DataFrame, pairs_col: str = "pairs") -> DataFrame:
+    """What writer and rater made of their prompts, in one row.
+
+    ``written`` has a row per chunk, its pairs null where the reply was unreadable;
+    ``rated_groups`` a row per rating prompt with ``pairs`` and ``rated``. Beside the replies,
+    pairs sent, ratings that came back and how many replies had fewer or more than were sent.
+    """
+    pairs = F.col(pairs_col)
+    chunks = written.agg(
+        F.count(F.lit(1)).alias("n_chunks"),
+        F.count_if(pairs.isNull()).alias("n_unreadable_chunks"),
+        F.coalesce(F.sum(F.when(pairs.isNotNull(), F.size(pairs))), F.lit(0)).alias("n_written"),
+    )
+    sent, back = F.size("pairs"), F.when(F.col("rated").isNotNull(), F.size("rated"))
+    groups = rated_groups.agg(
+        F.count(F.lit(1)).alias("n_prompts"),
+        F.count_if(back.isNull()).alias("n_unreadable_ratings"),
+        F.count_if(back < sent).alias("n_short"),
+        F.count_if(back > sent).alias("n_long"),
+        F.coalesce(F.sum(F.greatest(back - sent, F.lit(0))), F.lit(0)).alias("n_extra"),
+    )
+    return in_one_row(chunks, groups)

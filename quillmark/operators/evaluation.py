@@ -35,7 +35,8 @@ def grouped_report(
     """Row count and metrics per group and over all rows, in one pass over the data.
 
     ``flags`` give means of booleans, ``means`` means of numbers that skip null and NaN,
-    ``shares`` true over all rows. Rows without a group count in the total only.
+    ``shares`` true over all rows. Rows without a group count in the total only. ``is_total``
+    marks the total, so a group may be called anything.
     """
     flags, means, shares = flags or {}, means or {}, shares or {}
     named = {**flags, **means, **shares}
@@ -46,21 +47,45 @@ def grouped_report(
     report = narrow.rollup(group).agg(F.grouping(group).alias("_total"), F.count(F.lit(1)).alias("n"), *metrics)
     named_group = F.when(F.col("_total") == 1, F.lit(TOTAL)).otherwise(F.col(group).cast("string"))
     kept = report.where((F.col("_total") == 1) | F.col(group).isNotNull())
-    return kept.select(named_group.alias(group), "n", *named)
+    return kept.select(named_group.alias(group), (F.col("_total") == 1).alias("is_total"), "n", *named)
 
 
 def compare_models(
-    base: DataFrame, tuned: DataFrame, group: str, flags: dict[str, Column], means: dict[str, Column] | None = None
+    base: DataFrame,
+    tuned: DataFrame,
+    group: str,
+    flags: dict[str, Column],
+    means: dict[str, Column] | None = None,
+    on: str = "question",
 ) -> DataFrame:
     """Metrics of two result tables side by side, with deltas, per group and overall.
 
-    Both tables are reduced to a report first; only report rows are joined.
+    Rows are matched by ``on``, which must be unique in each table. Metrics are over matched
+    rows; ``n_base_only`` and ``n_tuned_only`` count the others. Only flags and numbers are
+    shuffled. A group comes from the base row where there is one.
     """
-    names = [*flags, *(means or {})]
-    sides = []
-    for label, df in (("base", base), ("tuned", tuned)):
-        report = grouped_report(df, group, flags=flags, means=means)
-        sides.append(report.select(group, F.col("n").alias(f"n_{label}"), *[F.col(m).alias(f"{m}_{label}") for m in names]))
-    joined = sides[0].join(sides[1], group)
+    means = means or {}
+    names = [*flags, *means]
+
+    def side(df: DataFrame, label: str) -> DataFrame:
+        measures = [c.cast("int").alias(f"{m}_{label}") for m, c in flags.items()]
+        measures += [defined(c).alias(f"{m}_{label}") for m, c in means.items()]
+        return df.select(F.col(on).alias("_on"), F.col(group).alias(f"_{label}_group"), F.lit(True).alias(f"_{label}"), *measures)
+
+    both = side(base, "base").join(side(tuned, "tuned"), "_on", "full")
+    matched = F.col("_base") & F.col("_tuned")
+    rows = both.withColumn(group, F.coalesce("_base_group", "_tuned_group"))
+    metrics = [rounded(F.avg(F.when(matched, F.col(f"{m}_{x}")))).alias(f"{m}_{x}") for m in names for x in ("base", "tuned")]
+    report = rows.rollup(group).agg(
+        F.grouping(group).alias("_total"),
+        F.count_if(matched).alias("n_matched"),
+        F.count_if(F.col("_tuned").isNull()).alias("n_base_only"),
+        F.count_if(F.col("_base").isNull()).alias("n_tuned_only"),
+        *metrics,
+    )
+    total = F.col("_total") == 1
     deltas = [rounded(F.col(f"{m}_tuned") - F.col(f"{m}_base")).alias(f"{m}_delta") for m in names]
-    return joined.select("*", *deltas)
+    named_group = F.when(total, F.lit(TOTAL)).otherwise(F.col(group).cast("string")).alias(group)
+    counts = ("n_matched", "n_base_only", "n_tuned_only")
+    kept = report.where(total | F.col(group).isNotNull())
+    return kept.select(named_group, total.alias("is_total"), *counts, *[f"{m}_{x}" for m in names for x in ("base", "tuned")], *deltas)

@@ -19,9 +19,6 @@ import quillmark
 # Functions of this package travel by value, so executors need not have it installed.
 cloudpickle.register_pickle_by_value(quillmark)
 
-SPREAD_SMALL = "spread small inputs"
-_SCAN_TASK_BYTES = 128 * 1024 * 1024
-
 ModelFactory = Callable[[], Callable[[list], list]]
 
 
@@ -33,15 +30,17 @@ def run_model(
     batch_size: int = 16,
     out_type: str = "string",
     error_col: str | None = None,
-    partitions: int | str | None = SPREAD_SMALL,
+    partitions: int | None = None,
+    skip_null: bool = False,
 ) -> DataFrame:
     """Add ``out_col`` with the model's result for each row.
 
     One input column gives the model plain values, several give tuples. Columns are handed
     through as Arrow; only the inputs become Python objects. ``error_col`` keeps rows whose
     call fails, alone and after its batch failed, with the message; without it the task fails
-    and Spark retries it. ``partitions`` is a number of model workers' shares, None to keep the
-    input's partitions, or the default: see ``spread_small``.
+    and Spark retries it. ``partitions`` deals the rows to so many shares of model workers; None
+    keeps the input's partitions and shuffles nothing. With ``skip_null`` rows whose (first)
+    input is null are not shown to the model and get null.
     """
     columns = [inputs] if isinstance(inputs, str) else list(inputs)
     single = isinstance(inputs, str)
@@ -74,12 +73,18 @@ def run_model(
 
         for batch in batches:
             lists = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns]
-            values: list[Any] = lists[0] if single else list(zip(*lists))
+            rows: list[Any] = lists[0] if single else list(zip(*lists))
+            asked = [i for i, x in enumerate(lists[0]) if not skip_null or x is not None]
+            values = [rows[i] for i in asked]
             results, errors = [], []
             for start in range(0, len(values), batch_size):
                 some, failed = safe(values[start : start + batch_size])
                 results += some
                 errors += failed
+            if len(asked) < len(rows):
+                by_row = {i: k for k, i in enumerate(asked)}
+                results = [results[by_row[i]] if i in by_row else None for i in range(len(rows))]
+                errors = [errors[by_row[i]] if i in by_row else None for i in range(len(rows))]
             arrays = [*batch.columns, pa.array(results, arrow_type)]
             names = [*batch.schema.names, out_col]
             if keep_errors:
@@ -87,25 +92,11 @@ def run_model(
                 names.append(error_col)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    if partitions == SPREAD_SMALL:
-        df = spread_small(df)
-    elif partitions:
+    if partitions:
         df = df.repartition(partitions)
     return df.mapInArrow(call, schema)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread an input too small to give every core a scan task of its own.
-
-    Model calls cost far more than moving a row, and one small file is one task otherwise. A
-    table of many scan tasks keeps its partitions, so nothing large is shuffled here.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if estimate < cores * _SCAN_TASK_BYTES else df
-
-
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write once, read from then on: no model is called twice, no lost executor repeats it."""
     df.write.parquet(path)

@@ -44,6 +44,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
 
+def workers(spark: SparkSession) -> int:
+    """Shares for model calls: the tables here are a scan task each."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _md5(name: str) -> Column:
     return F.md5(F.col(name)).alias(f"{name}_md5")
 
@@ -96,7 +101,8 @@ def model_comparison(spark, sf_dir):
     tuned = base.withColumn("generated_answer", F.concat("generated_answer", F.lit(" "), "question"))
     tuned = tuned.withColumn("judge_reply", F.when(F.length("question") > 150, "Yes").otherwise(F.col("judge_reply")))
     flags = {"keyword": _keyword(), "judge": _verdict()}
-    return evaluation.compare_models(base, tuned, "difficulty", flags)
+    apart = tuned.where("id % 7 <> 0").unionByName(tuned.where("id % 9 = 0").withColumn("id", F.col("id") + 1_000_000_000))
+    return evaluation.compare_models(base, apart, "difficulty", flags, on="id")
 
 
 @query
@@ -111,7 +117,7 @@ def semantic_accuracy_threshold(spark, sf_dir):
     rows = fixtures.vector_pairs(spark, sf_dir).select(similarity.alias("similarity"))
     levels = F.array(*[F.lit(x) for x in (0.0, 0.5, 0.7)])
     tested = rows.select("similarity", F.explode(levels).alias("threshold"))
-    correct = F.coalesce(F.col("similarity") >= F.col("threshold"), F.lit(False))
+    correct = vectors.at_least(F.col("similarity"), F.col("threshold"))
     return tested.groupBy("threshold").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(correct).alias("n_correct"),
@@ -148,7 +154,7 @@ def judge_prompts(spark, sf_dir):
 @query
 def generate_answers(spark, sf_dir):
     rows = fixtures.qa_results(spark, sf_dir).select("id", "question", "expected_answer", "difficulty")
-    answered = knowledge.generate_answers(rows, standins.excerpt(20, 60))
+    answered = knowledge.generate_answers(rows, standins.parrot, partitions=workers(spark))
     judged = knowledge.judge_answers(answered, standins.coin_verdict)
     return judged.select("id", "generated_answer", "judge_reply", "is_correct_ai_eval")
 
@@ -157,14 +163,14 @@ def generate_answers(spark, sf_dir):
 def reference_logprobs(spark, sf_dir):
     rows = fixtures.qa_results(spark, sf_dir).select("id", "question", "expected_answer")
     prompted = rows.withColumn("prompt", prompts.answer_prompt(F.col("question")))
-    scored = knowledge.score_references(prompted, standins.word_logprobs)
+    scored = knowledge.score_references(prompted, standins.word_logprobs, workers(spark))
     return scored.select("id", evaluation.rounded(F.col("perplexity")).alias("perplexity"))
 
 
 @query
 def embed_and_compare(spark, sf_dir):
     rows = fixtures.qa_results(spark, sf_dir).select("id", "expected_answer", "generated_answer")
-    compared = knowledge.compare_embeddings(rows, standins.letter_counts)
+    compared = knowledge.compare_embeddings(rows, standins.letter_counts, workers(spark))
     return compared.select("id", evaluation.rounded(F.col("semantic_similarity")).alias("similarity"))
 
 
@@ -172,9 +178,9 @@ def embed_and_compare(spark, sf_dir):
 def knowledge_evaluation(spark, sf_dir):
     rows = fixtures.qa_results(spark, sf_dir).select("id", "question", "expected_answer", "difficulty")
     models = knowledge.Models(
-        standins.excerpt(20, 60), standins.word_logprobs, standins.letter_counts, standins.coin_verdict
+        standins.parrot, standins.word_logprobs, standins.letter_counts, standins.coin_verdict
     )
-    results = knowledge.evaluate(rows, models, run_dir(spark, "knowledge"), SYSTEM_TEXT, 0.7)
+    results = knowledge.evaluate(rows, models, run_dir(spark, "knowledge"), SYSTEM_TEXT, 0.7, partitions=workers(spark))
     return knowledge.report(results)
 
 
@@ -338,6 +344,7 @@ def conversation_synthesis(spark, sf_dir):
         SYSTEM_TEXT,
         run_dir(spark, "synthesis"),
         blocked=BLOCKED,
+        partitions=workers(spark),
     )
     return ready.select("conv_id", "split", _roles(), _contents())
 
@@ -349,7 +356,7 @@ def conversation_synthesis(spark, sf_dir):
 def qa_generate_curate(spark, sf_dir):
     chunks = corpus.chunk_text(fixtures.table(spark, sf_dir, "documents"), "text", ["doc_id"])
     keep = ["doc_id", "chunk_no"]
-    written = synthesis.write_pairs(chunks, keep, standins.pair_writer)
+    written = synthesis.write_pairs(chunks, keep, standins.pair_writer, workers(spark))
     kept = curation.keep_rated(synthesis.rate_pairs(written, keep, standins.pair_rater))
     return kept.select(*keep, "pair_no", _md5("question"), _md5("answer"), "rating")
 
@@ -358,8 +365,11 @@ def qa_generate_curate(spark, sf_dir):
 def curation_counts(spark, sf_dir):
     chunks = corpus.chunk_text(fixtures.table(spark, sf_dir, "documents"), "text", ["doc_id"])
     keep = ["doc_id", "chunk_no"]
-    written = synthesis.write_pairs(chunks, keep, standins.pair_writer)
-    return curation.curation_counts(synthesis.rate_pairs(written, keep, standins.pair_rater))
+    path = run_dir(spark, "curation")
+    written = inference.materialize(synthesis.write_pairs(chunks, keep, standins.pair_writer, workers(spark)), f"{path}/pairs")
+    groups = inference.materialize(synthesis.rate_groups(written, keep, standins.pair_rater), f"{path}/ratings")
+    counts = curation.curation_counts(synthesis.rated_pairs(groups, keep))
+    return curation.in_one_row(counts, curation.reply_counts(written, groups))
 
 
 @query
@@ -505,7 +515,7 @@ def explanations(spark, sf_dir):
         F.when(F.col("doc_id") % 10 == 0, "test").when(F.col("doc_id") % 10 == 1, "validation").otherwise("train").alias("split"),
     )
     path = run_dir(spark, "explained")
-    sinks.write_splits(sentiment.explain(rows, standins.digest_text, error_col="error"), path)
+    sinks.write_splits(sentiment.explain(rows, standins.digest_text, error_col="error", partitions=workers(spark)), path)
     loaded = tables.load_splits(spark, path).where(F.col("error").isNull())
     return loaded.select("doc_id", "label", "sentiment", F.col("split").cast("string").alias("split"), "explanation")
 
@@ -513,13 +523,14 @@ def explanations(spark, sf_dir):
 @query
 def predict_with_reasoning(spark, sf_dir):
     rows = fixtures.predictions(spark, sf_dir).select("doc_id", "text", F.col("raw_output").alias("recorded"))
-    predicted = sentiment.predict(rows, standins.replay, "text", extra_inputs=["recorded"], fallback="raw")
+    predicted = sentiment.predict(rows, standins.replay, "text", extra_inputs=["recorded"], fallback="raw", partitions=workers(spark))
     return predicted.select("doc_id", "sentiment_pred", _md5("reasoning_pred"))
 
 
 @query
 def score_reasoning(spark, sf_dir):
-    scored = sentiment.score_reasoning(_parsed(spark, sf_dir), standins.replay, "text", extra_inputs=["judge_reply"])
+    parsed = _parsed(spark, sf_dir)
+    scored = sentiment.score_reasoning(parsed, standins.replay, "text", extra_inputs=["judge_reply"], partitions=workers(spark))
     return scored.select("doc_id", "sentiment_pred", F.col("reasoning_score").cast("double").alias("reasoning_score"))
 
 
@@ -529,7 +540,7 @@ def sentiment_evaluation(spark, sf_dir):
     rows = fixtures.predictions(spark, sf_dir).select(
         "doc_id", "text", "sentiment_true", "judge_reply", F.col("raw_output").alias("recorded")
     )
-    predicted = sentiment.predict(rows, standins.replay, "text", extra_inputs=["recorded"]).drop("recorded")
+    predicted = sentiment.predict(rows, standins.replay, "text", extra_inputs=["recorded"], partitions=workers(spark)).drop("recorded")
     path = run_dir(spark, "sentiment")
     done = inference.materialize(predicted, f"{path}/predictions")
     scored = sentiment.score_reasoning(done, standins.replay, "text", extra_inputs=["judge_reply"])
@@ -584,7 +595,7 @@ def artifact_sizes(spark, sf_dir):
     path = run_dir(spark, "artifacts")
     docs = fixtures.table(spark, sf_dir, "documents").select("lang", "text")
     docs.write.partitionBy("lang").text(path)
-    sizes = files.artifact_sizes(spark, path)
+    sizes = files.artifact_sizes(spark, path, files.CHECKSUMS)
     return sizes.select(F.replace("artifact", F.lit("lang="), F.lit("")).alias("lang"), "n_bytes", "gb")
 
 

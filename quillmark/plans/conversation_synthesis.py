@@ -14,25 +14,39 @@ from quillmark.operators.inference import ModelFactory, materialize, run_model
 from quillmark.operators.sampling import train_eval_split
 
 
-def write_pairs(chunks: DataFrame, keep: list[str], writer: ModelFactory) -> DataFrame:
+def write_pairs(
+    chunks: DataFrame, keep: list[str], writer: ModelFactory, partitions: int | None = None, error_col: str | None = None
+) -> DataFrame:
     """Chunks with the pairs read from the writer's reply; null where it was unreadable."""
     prompted = chunks.select(*keep, prompts.qa_prompt(F.col("chunk")).alias("_prompt"))
-    replied = run_model(prompted, "_prompt", "_reply", writer).drop("_prompt")
+    replied = run_model(prompted, "_prompt", "_reply", writer, partitions=partitions, error_col=error_col).drop("_prompt")
     return replied.withColumn("pairs", curation.parse_pairs(F.col("_reply"))).drop("_reply")
 
 
-def rate_pairs(
-    written: DataFrame, keep: list[str], rater: ModelFactory, batch: int = V.RATING_BATCH
+def rate_groups(
+    written: DataFrame, keep: list[str], rater: ModelFactory, batch: int = V.RATING_BATCH, error_col: str | None = None
 ) -> DataFrame:
-    """One row per rated pair. Four neighbours share a prompt, so no row moves for it."""
+    """One row per rating prompt: ``keep, group_no, pairs`` as sent and ``rated`` as read from the reply.
+
+    Four neighbours share a prompt, so no row moves for it.
+    """
     groups = curation.rating_batches(written, "pairs", keep, batch)
-    prompted = groups.select(*keep, "group_no", prompts.rating_prompt(F.col("pairs_json")).alias("_prompt"))
-    replied = run_model(prompted, "_prompt", "_reply", rater, partitions=None).drop("_prompt")
-    rated = replied.withColumn("_rated", curation.parse_ratings(F.col("_reply")))
-    rows = curation.explode_pairs(rated.drop("_reply"), "_rated", [*keep, "group_no"])
+    prompted = groups.select(*keep, "group_no", "pairs", prompts.rating_prompt(F.col("pairs_json")).alias("_prompt"))
+    replied = run_model(prompted, "_prompt", "_reply", rater, error_col=error_col).drop("_prompt")
+    return replied.withColumn("rated", curation.parse_ratings(F.col("_reply"))).drop("_reply")
+
+
+def rated_pairs(groups: DataFrame, keep: list[str], batch: int = V.RATING_BATCH) -> DataFrame:
+    """One row per pair that was sent, with its rating or null; ``pair_no`` is its place in the chunk."""
+    joined = groups.withColumn("_rated", curation.attach_ratings(F.col("pairs"), F.col("rated")))
+    rows = curation.explode_pairs(joined.drop("pairs", "rated"), "_rated", [*keep, "group_no"])
     return rows.withColumn("pair_no", F.col("group_no") * batch + F.col("pair_no")).drop("group_no")
 
 
+def rate_pairs(written: DataFrame, keep: list[str], rater: ModelFactory, batch: int = V.RATING_BATCH) -> DataFrame:
+    return rated_pairs(rate_groups(written, keep, rater, batch), keep, batch)
+
+
 def synthesize(
     pages: DataFrame,
     page_id: str,
@@ -43,6 +57,7 @@ def synthesize(
     threshold: float = V.RATING_THRESHOLD,
     seed: int = 0,
     blocked: Sequence[str] = V.BLOCKED_SUMMARY_WORDS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``conv_id, split, messages``: rated, split, given the system turn, then filtered.
 
@@ -51,7 +66,7 @@ def synthesize(
     keep = [page_id, "piece", "chunk_no"]
     records = corpus.page_records(pages, blocked, keep=[page_id])
     chunks = corpus.chunk_text(records, "text", [page_id, "piece"])
-    rated = rate_pairs(write_pairs(chunks, keep, writer), keep, rater)
+    rated = rate_pairs(write_pairs(chunks, keep, writer, partitions), keep, rater)
     kept = materialize(curation.keep_rated(rated, threshold=threshold), f"{path}/pairs")
     conv_id = F.concat_ws("-", *[F.col(c).cast("string") for c in (*keep, "pair_no")])
     built = kept.select(conv_id.alias("conv_id"), chat.qa_conversation(F.col("question"), F.col("answer")).alias("messages"))

@@ -12,6 +12,7 @@ from quillmark.functions.chat import ChatTemplate
 from quillmark.functions.fixed_values import SIMILARITY_THRESHOLD
 from quillmark.functions.text import contains_answer, is_yes, strip
 from quillmark.functions.vectors import at_least, cosine, perplexity
+from quillmark.operators.corpus import truncate_words
 from quillmark.operators.evaluation import grouped_report
 from quillmark.operators.inference import ModelFactory, materialize, run_model
 
@@ -27,32 +28,74 @@ class Models:
 
 
 def generate_answers(
-    questions: DataFrame, generate: ModelFactory, system: str | None = None, template: ChatTemplate = ChatTemplate()
+    questions: DataFrame,
+    generate: ModelFactory,
+    system: str | None = None,
+    template: ChatTemplate = ChatTemplate(),
+    partitions: int | None = None,
+    error_col: str | None = None,
+    budget: int | None = None,
 ) -> DataFrame:
-    """``id, question, expected_answer, difficulty`` with the model's answer and its prompt."""
-    prompted = questions.withColumn("prompt", prompts.answer_prompt(F.col("question"), template, system))
-    answered = run_model(prompted, "prompt", "generated_answer", generate)
+    """``id, question, expected_answer, difficulty`` with the model's answer and its prompt.
+
+    ``budget`` cuts the question to so many words before it is put into the prompt.
+    """
+    asked = F.col("question") if budget is None else truncate_words(F.col("question"), budget)
+    prompted = questions.withColumn("prompt", prompts.answer_prompt(asked, template, system))
+    answered = run_model(prompted, "prompt", "generated_answer", generate, partitions=partitions, error_col=error_col)
     return answered.withColumn("generated_answer", strip(F.col("generated_answer")))
 
 
-def score_references(answered: DataFrame, score: ModelFactory) -> DataFrame:
-    """Log-probabilities of prompt and expected answer, and the perplexity of the latter."""
-    scored = run_model(answered, ["prompt", "expected_answer"], "logprobs", score, out_type="array<double>")
-    prompt_length = F.size(F.split("prompt", " "))
-    return scored.withColumn("perplexity", perplexity(F.col("logprobs"), prompt_length)).drop("logprobs")
+def score_references(
+    answered: DataFrame, score: ModelFactory, partitions: int | None = None, error_col: str | None = None
+) -> DataFrame:
+    """The perplexity of the expected answer.
+
+    The scorer gets (prompt, answer) and returns the log-probabilities of the answer's own
+    tokens: only it knows how its tokenizer cuts the prompt.
+    """
+    scored = run_model(
+        answered, ["prompt", "expected_answer"], "logprobs", score, out_type="array<double>", partitions=partitions, error_col=error_col
+    )
+    return scored.withColumn("perplexity", perplexity(F.col("logprobs"), F.lit(0))).drop("logprobs")
+
+
+def _of_pairs(embed: ModelFactory) -> ModelFactory:
+    """An embedder of pairs out of one of texts; one model for both sides."""
 
+    def make():
+        model = embed()
 
-def compare_embeddings(answered: DataFrame, embed: ModelFactory) -> DataFrame:
-    """Similarity of expected and generated answer: one row, two vectors, no pair table."""
-    both = run_model(answered, "expected_answer", "_expected", embed, out_type="array<float>")
-    both = run_model(both, "generated_answer", "_generated", embed, out_type="array<float>", partitions=None)
-    similar = both.withColumn("semantic_similarity", cosine(F.col("_expected"), F.col("_generated")))
-    return similar.drop("_expected", "_generated")
+        def of(pairs):
+            vectors = model([text for pair in pairs for text in pair])
+            return [vectors[i : i + 2] for i in range(0, len(vectors), 2)]
 
+        return of
 
-def judge_answers(answered: DataFrame, judge: ModelFactory, template: ChatTemplate = ChatTemplate()) -> DataFrame:
+    return make
+
+
+def compare_embeddings(
+    answered: DataFrame, embed: ModelFactory, partitions: int | None = None, error_col: str | None = None
+) -> DataFrame:
+    """Similarity of expected and generated answer: one row, two vectors, one call, no pair table."""
+    both = run_model(
+        answered, ["expected_answer", "generated_answer"], "_both", _of_pairs(embed), out_type="array<array<float>>",
+        partitions=partitions, error_col=error_col,
+    )
+    return both.withColumn("semantic_similarity", cosine(F.col("_both")[0], F.col("_both")[1])).drop("_both")
+
+
+def judge_answers(
+    answered: DataFrame,
+    judge: ModelFactory,
+    template: ChatTemplate = ChatTemplate(),
+    partitions: int | None = None,
+    error_col: str | None = None,
+) -> DataFrame:
     question = prompts.judge_prompt(F.col("question"), F.col("expected_answer"), F.col("generated_answer"), template)
-    judged = run_model(answered.withColumn("_prompt", question), "_prompt", "judge_reply", judge).drop("_prompt")
+    prompted = answered.withColumn("_prompt", question)
+    judged = run_model(prompted, "_prompt", "judge_reply", judge, partitions=partitions, error_col=error_col).drop("_prompt")
     return judged.withColumn("is_correct_ai_eval", is_yes(F.col("judge_reply")))
 
 
@@ -63,9 +106,13 @@ def evaluate(
     system: str | None = None,
     threshold: float = SIMILARITY_THRESHOLD,
     template: ChatTemplate = ChatTemplate(),
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Row-level results, written once below ``path``: one model per written stage."""
-    answered = materialize(generate_answers(questions, models.generate, system, template), f"{path}/answers")
+    """Row-level results, written once below ``path``: one model per written stage.
+
+    ``partitions`` deals the questions to so many shares once; later stages keep them.
+    """
+    answered = materialize(generate_answers(questions, models.generate, system, template, partitions), f"{path}/answers")
     scored = materialize(score_references(answered, models.score).drop("prompt"), f"{path}/perplexity")
     compared = materialize(compare_embeddings(scored, models.embed), f"{path}/similarity")
     judged = judge_answers(compared, models.judge, template)

@@ -118,12 +118,15 @@ chunks as (select {keep}, chunk_no::int as chunk_no, substring(text, chunk_no*95
 
 def _pair_sql(keep: str) -> str:
     """Pairs and ratings as the stand-in models give them."""
-    return f"""pieces as (select {keep}, chunk_no, i, substring(chunk, i*40+1, 40) as piece
-  from (select *, unnest(range(5)) as i from chunks)),
-rated as (select {keep}, chunk_no, i::int as pair_no, i || ': ' || piece || '?' as question,
+    return f"""sized as (select *, greatest(1, ceil(length(chunk)/25.0))::bigint as size, md5(chunk) < '2' as refused from chunks),
+pieces as (select {keep}, chunk_no, i, substring(chunk, i*size+1, size) as piece
+  from (select *, unnest(range(25)) as i from sized where not refused)),
+pairs as (select {keep}, chunk_no, i::int as pair_no, i || ': ' || piece || '?' as question,
   case when i%2=1 then array_to_string(list_transform(range(0, length(piece), 2), lambda j: substring(piece, j+1, 1)), '')
     else 'Not specified' end as answer from pieces where piece <> ''),
-scored as (select *, ((instr('0123456789abcdef', substring(md5(question),1,1))-1)%10+1)::double as rating from rated)"""
+moods as (select *, substring(md5(first_value(question) over (partition by {keep}, chunk_no, pair_no//4 order by pair_no)),2,1) as mood from pairs),
+scored as (select *, case when mood='0' or (mood='1' and pair_no%4=0) then null
+  else ((instr('0123456789abcdef', substring(md5(question),1,1))-1)%10+1)::double end as rating from moods)"""
 
 
 EDGES = """
@@ -164,9 +167,21 @@ def word_perplexity(x: str) -> str:
     return f"exp(list_sum({words}) / len(string_split({x}, ' ')))"
 
 
+def token_perplexity(x: str) -> str:
+    """Two tokens a word, at a tenth and a fifth of its length."""
+    words = f"list_transform(string_split({x}, ' '), lambda w: length(w)*0.3::double)"
+    return f"exp(list_sum({words}) / (2*len(string_split({x}, ' '))))"
+
+
+def parrot(said: str) -> str:
+    """The stand-in's answer to a user turn that is already stripped."""
+    half = strip(f"substring({said}, (length({said})//2)::bigint+1)")
+    return f"(case when md5({said}) < '8' then {said} else {half} end)"
+
+
 def grouped(source: str, group: str, metrics: dict[str, str]) -> str:
     shown = ", ".join(f"round({m}, 6) as {name}" for name, m in metrics.items())
-    return f"""select case when grouping({group})=1 then 'all' else {group}::varchar end as {group}, count(*) as n, {shown}
+    return f"""select case when grouping({group})=1 then 'all' else {group}::varchar end as {group}, grouping({group})=1 as is_total, count(*) as n, {shown}
 from {source} group by grouping sets (({group}), ())"""
 
 
@@ -247,20 +262,21 @@ def all_sql() -> dict[str, str]:
     measured = f"""m as (select difficulty, {KEYWORD} as k, {verdict('judge_reply')} as j, {word_perplexity('expected_answer')} as p,
   {letter_similarity('expected_answer', 'generated_answer')} as s from qa)"""
     sql["eval_full_report"] = f"with {QA_RESULTS}, {measured} " + grouped("m", "difficulty", full)
-    sides = []
-    for name, source in (
-        ("base", "qa"),
-        (
-            "tuned",
-            """(select difficulty, expected_answer, generated_answer || ' ' || question as generated_answer,
-  case when length(question) > 150 then 'Yes' else judge_reply end as judge_reply from qa)""",
-        ),
-    ):
-        sides.append(f"{name} as ({grouped(source, 'difficulty', {'keyword': share(KEYWORD), 'judge': share(verdict('judge_reply'))})})")
-    sql["model_comparison"] = f"""with {QA_RESULTS}, {', '.join(sides)}
-select b.difficulty, b.n as n_base, t.n as n_tuned, b.keyword as keyword_base, t.keyword as keyword_tuned,
-  b.judge as judge_base, t.judge as judge_tuned, round(t.keyword-b.keyword,6) as keyword_delta,
-  round(t.judge-b.judge,6) as judge_delta from base b join tuned t using (difficulty)"""
+    turned = """tuned as (select id, difficulty, expected_answer, generated_answer || ' ' || question as generated_answer,
+  case when length(question) > 150 then 'Yes' else judge_reply end as judge_reply from qa),
+apart as (select * from tuned where id%7 <> 0 union all select * replace (id+1000000000 as id) from tuned where id%9 = 0)"""
+    met = f"""met as (select coalesce(b.difficulty, t.difficulty) as difficulty, b.id is not null and t.id is not null as m,
+  b.id is not null and t.id is null as bo, t.id is not null and b.id is null as tu, b.k as bk, b.j as bj, t.k as tk, t.j as tj
+from (select id, difficulty, ({KEYWORD})::int as k, {verdict('judge_reply')}::int as j from qa) b
+full join (select id, difficulty, ({KEYWORD})::int as k, {verdict('judge_reply')}::int as j from apart) t on b.id=t.id)"""
+    means = {f"{m}_{x}": f"round(avg({x[0]}{m[0]}) filter (where m), 6)" for m in ("keyword", "judge") for x in ("base", "tuned")}
+    shown = ", ".join(f"{v} as {k}" for k, v in means.items())
+    gaps = ", ".join(f"round({m}_tuned-{m}_base, 6) as {m}_delta" for m in ("keyword", "judge"))
+    sql["model_comparison"] = f"""with {QA_RESULTS}, {turned}, {met},
+r as (select case when grouping(difficulty)=1 then 'all' else difficulty end as difficulty, grouping(difficulty)=1 as is_total,
+  count(*) filter (where m) as n_matched, count(*) filter (where bo) as n_base_only, count(*) filter (where tu) as n_tuned_only, {shown}
+from met group by grouping sets ((difficulty), ()))
+select *, {gaps} from r"""
 
     sql["semantic_similarity"] = f"with {VECTORS} select vec_id, similarity from pairs"
     sql["semantic_accuracy_threshold"] = f"""with {VECTORS}
@@ -275,19 +291,18 @@ from pairs, (select unnest([0.0, 0.5, 0.7])::double as threshold) group by thres
     sql["new_tokens"] = f"with {TOKENS} select vec_id, len({kept})::int as n_kept, array_to_string({kept}, ',') as kept from tokens"
     sql["judge_prompts"] = f"""with {QA_RESULTS} select id, md5({judge_prompt('generated_answer')}) as judge_md5,
   md5({BASE_PROMPT}) as base_md5, md5({TUNED_PROMPT}) as tuned_md5 from qa"""
-    answer = strip(f"substring({BASE_PROMPT}, 21, 60)")
+    answer = strip(parrot(strip(f"question || {lit(V.ANSWER_INSTRUCTION)}")))
     sql["generate_answers"] = f"""with {QA_RESULTS},
 answered as (select * exclude (generated_answer, judge_reply), {answer} as generated_answer from qa),
 judged as (select *, {coin(judge_prompt('generated_answer'))} as judge_reply from answered)
 select id, generated_answer, judge_reply, {verdict('judge_reply')} as is_correct_ai_eval from judged"""
-    sql["reference_logprobs"] = f"with {QA_RESULTS} select id, round({word_perplexity('expected_answer')}, 6) as perplexity from qa"
+    sql["reference_logprobs"] = f"with {QA_RESULTS} select id, round({token_perplexity('expected_answer')}, 6) as perplexity from qa"
     sql["embed_and_compare"] = f"""with {QA_RESULTS}
 select id, round({letter_similarity('expected_answer', 'generated_answer')}, 6) as similarity from qa"""
-    tuned_answer = strip(f"substring({TUNED_PROMPT}, 21, 60)")
     sql["knowledge_evaluation"] = f"""with {QA_RESULTS},
-answered as (select * exclude (generated_answer, judge_reply), {tuned_answer} as generated_answer from qa),
+answered as (select * exclude (generated_answer, judge_reply), {answer} as generated_answer from qa),
 judged as (select *, {coin(judge_prompt('generated_answer'))} as judge_reply from answered),
-m as (select difficulty, {KEYWORD} as k, {verdict('judge_reply')} as j, {word_perplexity('expected_answer')} as p,
+m as (select difficulty, {KEYWORD} as k, {verdict('judge_reply')} as j, {token_perplexity('expected_answer')} as p,
   {letter_similarity('expected_answer', 'generated_answer')} as s from judged) """ + grouped("m", "difficulty", full)
 
     sql["clean_pages"] = f"with c as (select page_id, {clean('html')} as text from pages) select page_id, length(text)::int as n_chars, md5(text) as text_md5 from c"
@@ -350,8 +365,14 @@ select conv_id, case when rank <= n - floor(n*0.1::double) then 'train' else 'ev
     qa = f"with {chunks('documents', 'doc_id')}, {_pair_sql('doc_id')}"
     sql["qa_generate_curate"] = f"""{qa} select doc_id, chunk_no, pair_no, md5(question) as question_md5, md5(answer) as answer_md5, rating
 from scored where rating >= 5"""
-    sql["curation_counts"] = f"""{qa} select count(*) as n_pairs, count(*) filter (where rating >= 5) as n_kept,
-  count(*) filter (where rating < 5) as n_below, count(*) filter (where rating is null) as n_unrated from scored"""
+    sql["curation_counts"] = f"""{qa},
+p as (select count(*) as n_pairs, count(*) filter (where rating >= 5) as n_kept,
+  count(*) filter (where rating < 5) as n_below, count(*) filter (where rating is null) as n_unrated, count(*)::bigint as n_written from scored),
+w as (select count(*) as n_chunks, count(*) filter (where refused) as n_unreadable_chunks from sized),
+g as (select count(*) as n_prompts, count(*) filter (where mood='0') as n_unreadable_ratings, count(*) filter (where mood='1') as n_short,
+  count(*) filter (where mood='2') as n_long, count(*) filter (where mood='2')::bigint as n_extra
+from (select distinct doc_id, chunk_no, pair_no//4, mood from scored))
+select * from p, w, g"""
     sql["json_pairs"] = """select event_type, count(*) as n,
   count(*) filter (where event_type not in ('click','view')) as n_unreadable,
   count(*) filter (where event_type = 'click') as n_high,

@@ -10,17 +10,20 @@ from pyspark.sql import functions as F
 from quillmark.functions import prompts, text
 from quillmark.functions import fixed_values as V
 from quillmark.functions.labels import label_name
+from quillmark.operators.corpus import truncate_words
 from quillmark.operators.inference import ModelFactory, run_model
 
 CLASSES = ("negative", "neutral", "positive")
 CLASSES_AND_NONE = (*CLASSES, "none")
 
 
-def explain(labelled: DataFrame, teacher: ModelFactory, error_col: str | None = None) -> DataFrame:
+def explain(
+    labelled: DataFrame, teacher: ModelFactory, error_col: str | None = None, partitions: int | None = None
+) -> DataFrame:
     """``sentence, label`` (and any ids, ``split``) with the label's name and an explanation."""
     named = labelled.withColumn("sentiment", label_name(F.col("label")))
     prompted = named.withColumn("_prompt", prompts.explain_prompt(F.col("sentence"), F.col("sentiment")))
-    explained = run_model(prompted, "_prompt", "explanation", teacher, error_col=error_col).drop("_prompt")
+    explained = run_model(prompted, "_prompt", "explanation", teacher, error_col=error_col, partitions=partitions).drop("_prompt")
     return explained.withColumn("explanation", text.strip(F.col("explanation")))
 
 
@@ -51,27 +54,36 @@ def predict(
     sentence: str = "sentence",
     extra_inputs: Sequence[str] = (),
     fallback: str = "none",
+    partitions: int | None = None,
+    error_col: str | None = None,
+    budget: int | None = None,
 ) -> DataFrame:
-    """Predicted label and reasoning for each sentence."""
-    prompted = sentences.withColumn("_prompt", prompts.classify_prompt(F.col(sentence)))
+    """Predicted label and reasoning for each sentence, of which ``budget`` words are shown."""
+    shown = F.col(sentence) if budget is None else truncate_words(F.col(sentence), budget)
+    prompted = sentences.withColumn("_prompt", prompts.classify_prompt(shown))
     inputs = ["_prompt", *extra_inputs] if extra_inputs else "_prompt"
-    replied = run_model(prompted, inputs, "raw_output", model).drop("_prompt")
+    replied = run_model(prompted, inputs, "raw_output", model, partitions=partitions, error_col=error_col).drop("_prompt")
     return parse_replies(replied, fallback=fallback)
 
 
 def score_reasoning(
-    parsed: DataFrame, judge: ModelFactory, sentence: str = "sentence", extra_inputs: Sequence[str] = ()
+    parsed: DataFrame,
+    judge: ModelFactory,
+    sentence: str = "sentence",
+    extra_inputs: Sequence[str] = (),
+    partitions: int | None = None,
+    error_col: str | None = None,
 ) -> DataFrame:
     """``reasoning_score`` per row; the judge is called only where there is a reasoning.
 
-    Rows without one get the default score and meet the judged ones again in a union, so
-    nothing is joined back.
+    Rows without one have no prompt and pass by the model; they get the default score.
     """
     missing = F.coalesce(F.lower("reasoning_pred") == "none", F.lit(True))
     prompt = prompts.reasoning_judge_prompt(F.col(sentence), F.col("sentiment_pred"), F.col("reasoning_pred"))
-    prompted = parsed.where(~missing).withColumn("_prompt", prompt)
+    prompted = parsed.withColumn("_prompt", F.when(~missing, prompt))
     inputs = ["_prompt", *extra_inputs] if extra_inputs else "_prompt"
-    replied = run_model(prompted, inputs, "_reply", judge, batch_size=8).drop("_prompt")
-    judged = replied.withColumn("reasoning_score", text.score_1_to_10(F.col("_reply"))).drop("_reply")
-    skipped = parsed.where(missing).withColumn("reasoning_score", F.lit(V.MISSING_REASONING_SCORE))
-    return judged.unionByName(skipped)
+    replied = run_model(
+        prompted, inputs, "_reply", judge, batch_size=8, partitions=partitions, error_col=error_col, skip_null=True
+    )
+    score = F.when(F.col("_prompt").isNull(), F.lit(V.MISSING_REASONING_SCORE)).otherwise(text.score_1_to_10(F.col("_reply")))
+    return replied.withColumn("reasoning_score", score).drop("_prompt", "_reply")

@@ -6,13 +6,15 @@ Each factory returns a function from inputs to results, as a real model would.
 from __future__ import annotations
 
 
-def excerpt(start: int, length: int):
-    """A model that answers with a part of its prompt."""
+def parrot():
+    """A model that answers with the whole user turn of its prompt, every second time without its first half."""
+    from hashlib import md5
 
-    def make():
-        return lambda prompts: [p[start : start + length].strip() for p in prompts]
+    def answer(prompt):
+        said = prompt.split("<start_of_turn>user\n", 1)[1].split("<end_of_turn>", 1)[0].strip()
+        return said if md5(said.encode()).hexdigest() < "8" else said[len(said) // 2 :].strip()
 
-    return make
+    return lambda prompts: [answer(p) for p in prompts]
 
 
 def coin_verdict():
@@ -38,10 +40,10 @@ def letter_counts():
 
 
 def word_logprobs():
-    """A scorer of (prompt, answer): 0 for prompt words, a tenth of the length below 0 for answer words."""
+    """A scorer of (prompt, answer) with two tokens for each answer word, at a tenth and a fifth of its length below 0."""
 
     def score(prompt, answer):
-        return [0.0] * len(prompt.split(" ")) + [-len(w) / 10 for w in answer.split(" ")]
+        return [-len(w) / part for w in answer.split(" ") for part in (10, 5)]
 
     return lambda pairs: [score(p, a) for p, a in pairs]
 
@@ -58,24 +60,28 @@ def replay():
 
 
 def pair_writer():
-    """Five pairs from the start of a chunk, as fenced JSON."""
+    """Up to 25 pairs that together hold the whole chunk, as fenced JSON; every eighth reply has none."""
     import json
+    from hashlib import md5
 
     def write(prompt):
         text = prompt.split("Text:\n", 1)[1][:-1]
-        pieces = [text[i * 40 : (i + 1) * 40] for i in range(5)]
-        pairs = [
-            {"question": f"{i}: {piece}?", "answer": piece[::2] if i % 2 else "Not specified"}
-            for i, piece in enumerate(pieces)
-            if piece
-        ]
+        if md5(text.encode()).hexdigest() < "2":
+            return "Sorry, I cannot do that."
+        size = max(1, -(-len(text) // 25))
+        pieces = [text[i : i + size] for i in range(0, len(text), size)]
+        pairs = [{"question": f"{i}: {p}?", "answer": p[::2] if i % 2 else "Not specified"} for i, p in enumerate(pieces)]
         return "Sure:\n```json\n" + json.dumps(pairs, ensure_ascii=False) + "\n```"
 
     return lambda prompts: [write(p) for p in prompts]
 
 
 def pair_rater():
-    """A rating from 1 to 10 by the digest of the question, quoted or not."""
+    """A rating from 1 to 10 by the digest of the question, quoted or not.
+
+    By the digest of the first question some replies are unreadable, lack the first pair, or
+    have one more.
+    """
     import json
     from hashlib import md5
 
@@ -85,6 +91,14 @@ def pair_rater():
 
     def reply(prompt):
         pairs = json.loads(prompt.split("just return valid JSON:\n\n", 1)[1])
-        return json.dumps([rate(p) for p in pairs], ensure_ascii=False)
+        mood = md5(pairs[0]["question"].encode()).hexdigest()[1]
+        if mood == "0":
+            return "I would rate them all highly."
+        rated = [rate(p) for p in pairs]
+        if mood == "1":
+            rated = rated[1:]
+        if mood == "2":
+            rated.insert(0, {"question": "What else?", "answer": "Nothing", "rating": 10})
+        return json.dumps(rated, ensure_ascii=False)
 
     return lambda prompts: [reply(p) for p in prompts]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import urlparse
 
 import pandas as pd
@@ -31,35 +31,54 @@ def scan_text_files(
     return files.where(F.col("text") != "").orderBy("file_index", "source")
 
 
-def _is_link() -> object:
-    """Symbolic links exist on file systems only, so the test is for ``file:`` paths."""
-
-    @F.pandas_udf("boolean")
-    def is_link(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import os
-        from urllib.parse import urlparse as parse
-
-        for paths in batches:
-            yield paths.map(lambda p: os.path.islink(parse(p).path))
-
-    return is_link
+CHECKSUMS = r"^\..*\.crc$"
 
 
-def artifact_sizes(spark: SparkSession, root: str) -> DataFrame:
-    """Files, bytes and gigabytes of every folder directly below ``root``.
+def _walker(leave_out: str | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Files and bytes below each folder; links to files or folders are not followed or counted."""
 
-    Only the listing is read, never the content. Links are skipped.
+    def walk(batches):
+        import os
+        import re
+
+        for folders in batches:
+            found = []
+            for name, path in zip(folders["artifact"], folders["path"]):
+                sizes = [
+                    os.path.getsize(full)
+                    for top, _, names in os.walk(path)
+                    for full in (os.path.join(top, n) for n in names if not (leave_out and re.search(leave_out, n)))
+                    if not os.path.islink(full)
+                ]
+                found.append((name, len(sizes), sum(sizes)))
+            yield pd.DataFrame(found, columns=["artifact", "n_files", "n_bytes"])
+
+    return walk
+
+
+def artifact_sizes(spark: SparkSession, root: str, leave_out: str | None = None) -> DataFrame:
+    """Files, bytes and gigabytes of every folder directly below ``root``; a folder without files has 0.
+
+    Only listings are read. The driver lists the folders; what lies below them is walked in
+    tasks, a folder each, on a file system, and listed by Spark in other stores, which have no
+    links; there, files whose names start with a dot or an underscore are left out. Files whose
+    names match ``leave_out`` do not count: ``CHECKSUMS`` are those Spark writes beside its own.
     """
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    files = listing.select("path", "length")
-    if urlparse(root).scheme in ("", "file"):
-        files = files.where(~_is_link()(F.col("path")))
-    base = urlparse(root).path.rstrip("/")
-    below: Column = F.regexp_extract("path", f"{re.escape(base)}/([^/]+)/", 1)
-    sized = files.select(below.alias("artifact"), "length").where(F.col("artifact") != "")
-    total = F.sum("length")
-    return sized.groupBy("artifact").agg(
-        F.count(F.lit(1)).alias("n_files"),
-        total.alias("n_bytes"),
-        F.round(total / F.lit(BYTES_PER_GB), 6).alias("gb"),
-    )
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [s.getPath() for s in fs.listStatus(path) if s.isDirectory()]
+    on_disk = fs.getUri().getScheme() == "file"
+    if on_disk:
+        import os
+
+        plain = [(f.getName(), f.toUri().getPath()) for f in folders if not os.path.islink(f.toUri().getPath())]
+        listed = spark.createDataFrame(plain, "artifact string, path string").repartition(max(len(plain), 1))
+        sizes = listed.mapInPandas(_walker(leave_out), "artifact string, n_files long, n_bytes long")
+    else:
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        base = urlparse(root).path.rstrip("/")
+        below: Column = F.regexp_extract("path", f"{re.escape(base)}/([^/]+)/", 1)
+        sized = listing.select(below.alias("artifact"), "length").where(F.col("artifact") != "")
+        sizes = sized.groupBy("artifact").agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+    return sizes.withColumn("gb", F.round(F.col("n_bytes") / F.lit(BYTES_PER_GB), 6))

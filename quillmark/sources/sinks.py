@@ -57,17 +57,24 @@ def shuffled(df: DataFrame, id_col: str, seed: int, partitions: int | None = Non
     return placed.sortWithinPartitions("_key").drop("_key")
 
 
-def latest_version(spark: SparkSession, base: str) -> int:
-    """Highest finished version below ``base``, 0 if there is none."""
+def versions(spark: SparkSession, base: str) -> tuple[int, int]:
+    """Highest finished version below ``base`` and highest there is at all; 0 if there is none.
+
+    What a crash left unfinished is never read and never written to again.
+    """
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(base)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
-        return 0
+        return 0, 0
     names = [s.getPath().getName() for s in fs.listStatus(root)]
     numbers = [int(n[8:]) for n in names if n.startswith("version=") and n[8:].isdigit()]
     done = [n for n in numbers if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/version={n}/_SUCCESS"))]
-    return max(done, default=0)
+    return max(done, default=0), max(numbers, default=0)
+
+
+def latest_version(spark: SparkSession, base: str) -> int:
+    return versions(spark, base)[0]
 
 
 def read_published(spark: SparkSession, base: str) -> DataFrame:
@@ -86,10 +93,10 @@ def publish(df: DataFrame, base: str, id_col: str, merging: bool = False, seed:
     see it once it is complete.
     """
     spark = df.sparkSession
-    version = latest_version(spark, base)
+    version, present = versions(spark, base)
     rows = df
     if merging and version:
         rows = shuffled(merge(read_published(spark, base), df), id_col, seed)
-    path = f"{base}/version={version + 1}"
+    path = f"{base}/version={present + 1}"
     rows.write.parquet(path)
     return path

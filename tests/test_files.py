@@ -22,9 +22,17 @@ def test_artifact_sizes_skip_links(spark, folder):
         os.makedirs(os.path.dirname(f"{folder}/{name}"), exist_ok=True)
         with open(f"{folder}/{name}", "wb") as f:
             f.write(b"x" * size)
-    os.symlink(f"{folder}/merged/c.bin", f"{folder}/adapter/link.bin")
+    os.symlink(f"{folder}/merged/c.bin", f"{folder}/adapter/link #1.bin")
+    os.symlink(f"{folder}/merged", f"{folder}/adapter/linked")
+    os.symlink(f"{folder}/merged", f"{folder}/alias")
+    os.makedirs(f"{folder}/empty")
+    for name in (".hidden", "_marker", "a #2.bin", ".c.crc"):
+        with open(f"{folder}/merged/{name}", "wb") as f:
+            f.write(b"x")
     got = {r.artifact: (r.n_files, r.n_bytes) for r in files.artifact_sizes(spark, folder).collect()}
-    assert got == {"adapter": (2, 15), "merged": (1, 1000)}
+    assert got == {"adapter": (2, 15), "merged": (5, 1004), "empty": (0, 0)}
+    got = {r.artifact: r.n_files for r in files.artifact_sizes(spark, folder, files.CHECKSUMS).collect()}
+    assert got["merged"] == 4
 
 
 def test_csv_keeps_quotes_breaks_and_blanks(spark, folder):
@@ -69,6 +77,15 @@ def test_publish_adds_versions_and_merges(spark, folder):
         sinks.publish(spark.range(3).toDF("other"), base, "other", merging=True)
 
 
+def test_publish_goes_on_after_a_crash(spark, folder):
+    base = f"{folder}/data"
+    sinks.publish(spark.range(10).toDF("id"), base, "id")
+    os.makedirs(f"{base}/version=2")
+    assert sinks.latest_version(spark, base) == 1
+    assert sinks.publish(spark.range(10, 12).toDF("id"), base, "id", merging=True).endswith("version=3")
+    assert sorted(r.id for r in sinks.read_published(spark, base).collect()) == list(range(12))
+
+
 def test_shuffled_order_is_the_seeded_order(spark):
     df = spark.range(300).toDF("id")
     placed = sinks.shuffled(df, "id", 42, partitions=5)

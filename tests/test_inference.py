@@ -26,7 +26,7 @@ def test_batches_keep_rows_and_order_of_columns(spark):
 def test_several_inputs_and_array_results(spark):
     df = spark.createDataFrame([("a b", "cc d")], "p string, a string")
     got = inference.run_model(df, ["p", "a"], "lp", standins.word_logprobs, out_type="array<double>").first()
-    assert got.lp == [0.0, 0.0, -0.2, -0.1]
+    assert got.lp == [-0.2, -0.4, -0.1, -0.2]
 
 
 def test_failing_row_is_marked_and_the_rest_of_its_batch_kept(spark):
@@ -92,11 +92,34 @@ def test_judge_is_not_called_without_reasoning(spark):
     assert got == {1: 9, 2: 1, 3: 1, 4: 1}
 
 
-def test_small_input_is_spread_and_large_left_alone(spark, monkeypatch):
-    df = spark.range(100).coalesce(1)
-    assert inference.spread_small(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    monkeypatch.setattr(inference, "_SCAN_TASK_BYTES", 1)
-    assert inference.spread_small(df).rdd.getNumPartitions() == 1
+def test_partitions_are_the_callers(spark):
+    a = spark.range(300).select(F.col("id"), F.col("id").cast("string").alias("p")).coalesce(1)
+    joined = a.join(a.select("id", F.lit(1).alias("x")), "id").coalesce(1)
+    dealt = inference.run_model(joined, "p", "o", lambda: lambda v: v, partitions=4).withColumn("task", F.spark_partition_id())
+    assert dealt.select("task").distinct().count() > 1
+    kept = inference.run_model(a, "p", "o", lambda: lambda v: v)
+    assert "Exchange" not in kept._jdf.queryExecution().toString() and kept.rdd.getNumPartitions() == 1
+
+
+def test_null_prompts_pass_by_the_model(spark):
+    def make():
+        def model(prompts):
+            assert None not in prompts
+            return [p.upper() for p in prompts]
+
+        return model
+
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "id int, p string").coalesce(1)
+    got = inference.run_model(df, "p", "o", make, error_col="e", skip_null=True).collect()
+    assert {r.id: (r.o, r.e) for r in got} == {1: ("A", None), 2: (None, None), 3: ("B", None)}
+
+
+def test_perplexity_is_of_the_answer_whatever_the_tokenizer(spark):
+    df = spark.createDataFrame([("a long prompt of many words", "yes no")], "prompt string, expected_answer string")
+    make = lambda: lambda pairs: [[-1.0] * (2 * len(a.split())) for _, a in pairs]
+    from quillmark.plans import knowledge_evaluation as knowledge
+
+    assert abs(knowledge.score_references(df, make).first().perplexity - 2.718281828) < 1e-6
 
 
 ELSEWHERE = """

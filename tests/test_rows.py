@@ -93,6 +93,26 @@ def test_rating_batches(spark):
     assert [(r.id, r.group_no, r.pairs_json.count('"question"')) for r in got] == [(1, 0, 4), (1, 1, 4), (1, 2, 1)]
 
 
+def test_ratings_attach_to_the_pairs_sent(spark):
+    """Unreadable, short, long and mute replies lose no pair and make none."""
+    pairs = [(f"q{i}", "a") for i in range(4)]
+    one_rating = "struct<question: string, answer: string, rating: double>"
+    cases = [
+        (1, pairs, None), (2, pairs, [("q1", "a", 7.0)]), (3, pairs, [(f"q{i}", "a", float(i)) for i in range(4)] + [("new", "a", 9.0)]),
+        (4, pairs, [(None, None, 3.0), (None, None, None)]), (5, pairs, [("q3", "a", 5.0), ("q0", "b", 6.0)]),
+    ]
+    df = spark.createDataFrame(cases, f"id int, pairs {curation.PAIR}, rated array<{one_rating}>")
+    got = {r.id: [(p.question, p.rating) for p in r.x] for r in df.withColumn("x", curation.attach_ratings(F.col("pairs"), F.col("rated"))).collect()}
+    names = [q for q, _ in pairs]
+    want = {1: [None] * 4, 2: [None, 7.0, None, None], 3: [0.0, 1.0, 2.0, 3.0], 4: [3.0, None, None, None], 5: [6.0, None, None, 5.0]}
+    assert got == {k: list(zip(names, v)) for k, v in want.items()}
+    written = spark.createDataFrame([(1, pairs), (2, None)], f"id int, pairs {curation.PAIR}")
+    counts = curation.reply_counts(written, df).first().asDict()
+    assert counts == {
+        "n_chunks": 2, "n_unreadable_chunks": 1, "n_written": 4, "n_prompts": 5, "n_unreadable_ratings": 1, "n_short": 3, "n_long": 1, "n_extra": 1,
+    }
+
+
 def test_curation_counts(spark):
     df = spark.createDataFrame([(5.0,), (4.9,), (None,), (10.0,)], "rating double")
     assert curation.keep_rated(df).count() == 2

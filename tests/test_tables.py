@@ -174,9 +174,9 @@ def test_grouped_report_with_missing_groups_and_nan(spark):
     rows = [("a", True, 1.0), ("a", False, float("nan")), ("b", None, 3.0), (None, True, 5.0)]
     df = spark.createDataFrame(rows, "g string, f boolean, p double")
     got = {r.g: r.asDict() for r in evaluation.grouped_report(df, "g", {"flag": F.col("f")}, {"mean": F.col("p")}, {"score": F.col("f")}).collect()}
-    assert got["a"] == {"g": "a", "n": 2, "flag": 0.5, "mean": 1.0, "score": 0.5}
-    assert got["b"] == {"g": "b", "n": 1, "flag": None, "mean": 3.0, "score": 0.0}
-    assert got["all"] == {"g": "all", "n": 4, "flag": 0.666667, "mean": 3.0, "score": 0.5} and len(got) == 3
+    assert got["a"] == {"g": "a", "is_total": False, "n": 2, "flag": 0.5, "mean": 1.0, "score": 0.5}
+    assert got["b"] == {"g": "b", "is_total": False, "n": 1, "flag": None, "mean": 3.0, "score": 0.0}
+    assert got["all"] == {"g": "all", "is_total": True, "n": 4, "flag": 0.666667, "mean": 3.0, "score": 0.5} and len(got) == 3
 
 
 def test_classification_report_against_hand_count(spark):
@@ -194,6 +194,22 @@ def test_classification_report_against_hand_count(spark):
     assert len(matrix) == 9 and matrix["a", "a"] == 2 and matrix["c", "c"] == 0 and sum(matrix.values()) == 5
 
 
+def test_classification_report_counts_unlisted_labels(spark):
+    df = spark.createDataFrame([("a", "a"), ("mixed", "a"), (None, "a"), ("x", "x"), ("a", "x")], "t string, p string")
+    got = {r.label: (r.precision, r.recall, r.support) for r in classification.classification_report(df, "t", "p", ["a"]).collect()}
+    assert got == {"a": (0.333333, 0.5, 2), "accuracy": (0.4, 0.4, 5), "macro avg": (0.333333, 0.5, 5), "weighted avg": (0.333333, 0.5, 5)}
+
+
+def test_comparison_matches_questions(spark):
+    base = spark.createDataFrame([("q1", "all", True), ("q2", "all", False), ("q3", "b", True)], "question string, g string, ok boolean")
+    tuned = spark.createDataFrame([("q2", "all", True), ("q1", "all", True), ("q4", "b", True)], "question string, g string, ok boolean")
+    got = {(r.g, r.is_total): r for r in evaluation.compare_models(base, tuned, "g", {"ok": F.col("ok")}).collect()}
+    assert len(got) == 3
+    total, both, b = got["all", True], got["all", False], got["b", False]
+    assert (total.n_matched, total.n_base_only, total.n_tuned_only, total.ok_base, total.ok_tuned, total.ok_delta) == (2, 1, 1, 0.5, 1.0, 0.5)
+    assert both.n_matched == 2 and (b.n_matched, b.ok_base, b.n_base_only) == (0, None, 1)
+
+
 def test_reports_of_nothing(spark):
     df = spark.createDataFrame([], "t string, p string")
     rows = classification.classification_report(df, "t", "p", ["a"]).collect()
