@@ -2,8 +2,11 @@
 
 Turns come flat: ``conv_id, turn, role, content`` with ``turn`` counting from 0. Packed, a
 conversation is rows of ``conv_id, segment, messages``: segment s holds turns s*size to
-(s+1)*size - 1. An ordinary conversation is its segment 0; a conversation that holds a large
-share of all turns is many rows in many tasks instead of one array.
+(s+1)*size - 1, so that packing, filters and rendering of a conversation that holds a large
+share of all turns are spread over tasks. ``whole_conversations`` and ``whole_texts`` put the
+segments of a conversation together, in order: one row each, whatever the segment size.
+
+Turn numbers have to be unique in a conversation; ``repeated_turns`` finds those that are not.
 """
 
 from __future__ import annotations
@@ -30,6 +33,26 @@ def pack_turns(turns: DataFrame, size: int = SEGMENT_TURNS) -> DataFrame:
     return keyed.groupBy("conv_id", "segment").agg(messages.alias("messages"))
 
 
+def repeated_turns(turns: DataFrame) -> DataFrame:
+    """Conversations and turn numbers that occur more than once."""
+    return turns.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def _in_order(segments: DataFrame, column: str) -> Column:
+    parts = F.array_sort(F.collect_list(F.struct("segment", column)))
+    return F.transform(parts, lambda p: p[column])
+
+
+def whole_conversations(segments: DataFrame) -> DataFrame:
+    """``conv_id, messages``: one row per conversation."""
+    return segments.groupBy("conv_id").agg(F.flatten(_in_order(segments, "messages")).alias("messages"))
+
+
+def whole_texts(rendered: DataFrame, column: str = "text") -> DataFrame:
+    """``conv_id`` and the text of its rendered segments in order: one training text per conversation."""
+    return rendered.groupBy("conv_id").agg(F.array_join(_in_order(rendered, column), "").alias(column))
+
+
 def flatten_messages(conversations: DataFrame) -> DataFrame:
     """One row per turn of packed conversations."""
     return conversations.select("*", F.inline("messages")).drop("messages")

@@ -10,15 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-import quillmark
-
-# Functions of this package travel by value, so executors need not have it installed.
-cloudpickle.register_pickle_by_value(quillmark)
-
 ModelFactory = Callable[[], Callable[[list], list]]
 
 

@@ -259,7 +259,8 @@ def _contents() -> Column:
 
 @query
 def build_conversations(spark, sf_dir):
-    return _packed(spark, sf_dir).select("conv_id", "segment", F.size("messages").alias("n_turns"), _roles(), _contents())
+    whole = conversations.whole_conversations(_packed(spark, sf_dir))
+    return whole.select("conv_id", F.size("messages").alias("n_turns"), _roles(), _contents())
 
 
 @query
@@ -272,21 +273,32 @@ def qa_to_conversations(spark, sf_dir):
 @query
 def replace_system_turn(spark, sf_dir):
     replaced = conversations.replace_system_turn(_packed(spark, sf_dir), SYSTEM_TEXT)
-    return replaced.select("conv_id", "segment", _roles(), _contents())
+    return conversations.whole_conversations(replaced).select("conv_id", _roles(), _contents())
 
 
 @query
 def render_chat(spark, sf_dir):
-    rendered = conversations.render_segments(_packed(spark, sf_dir))
-    opened = chat.render(F.col("messages"), open_turn=True)
-    return rendered.select("conv_id", "segment", _md5("text"), F.md5(opened).alias("open_md5"))
+    rendered = conversations.whole_texts(conversations.render_segments(_packed(spark, sf_dir)))
+    opened = F.concat("text", F.lit(chat.ChatTemplate().opener()))
+    return rendered.select("conv_id", _md5("text"), F.md5(opened).alias("open_md5"))
+
+
+@query
+def long_conversations(spark, sf_dir):
+    """Conversations of thousands of turns: one text each, with one system turn."""
+    turns = fixtures.long_turns(spark, sf_dir)
+    segments = conversations.replace_system_turn(conversations.pack_turns(turns), SYSTEM_TEXT)
+    useful = conversations.keep_useful(segments, turns=turns)
+    texts = conversations.whole_texts(conversations.render_segments(useful))
+    return texts.select("conv_id", F.length("text").alias("n_chars"), _md5("text"))
 
 
 @query
 def useful_conversations(spark, sf_dir):
     turns = fixtures.turns(spark, sf_dir)
     useful = conversations.keep_useful(conversations.pack_turns(turns), turns=turns)
-    return useful.select("conv_id", "segment", F.size("messages").alias("n_turns"), _contents())
+    whole = conversations.whole_conversations(useful)
+    return whole.select("conv_id", F.size("messages").alias("n_turns"), _contents())
 
 
 @query
@@ -612,9 +624,19 @@ def csv_roundtrip(spark, sf_dir):
 @query
 def jsonl_roundtrip(spark, sf_dir):
     path = run_dir(spark, "jsonl")
-    sinks.write_jsonl(_packed(spark, sf_dir), path)
-    back = tables.read_conversations(spark, path, keys="conv_id bigint, segment bigint")
-    return back.select("conv_id", "segment", _roles(), _contents())
+    sinks.write_jsonl(conversations.whole_conversations(_packed(spark, sf_dir)), path)
+    back = tables.read_conversations(spark, path, keys="conv_id bigint")
+    return back.select("conv_id", _roles(), _contents())
+
+
+@query
+def json_arrays_roundtrip(spark, sf_dir):
+    """Conversations as files of JSON arrays over several lines, one file per task, read back."""
+    path = run_dir(spark, "json-arrays")
+    whole = conversations.whole_conversations(_packed(spark, sf_dir))
+    sinks.write_json_arrays(whole.repartition(8, "conv_id"), path)
+    back = tables.read_conversations(spark, path, keys="conv_id bigint", multiline=True)
+    return back.select("conv_id", _roles(), _contents())
 
 
 @query

@@ -106,6 +106,15 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", content.alias("content"))
 
 
+def long_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as the turns of nine conversations; two of them say once that nothing is specified."""
+    number = F.col("event_id")
+    conv, turn = number % 9, F.floor(number / 9).cast("bigint")
+    role = F.when((turn == 0) & (conv % 2 == 0), "system").when(turn % 2 == 0, "user").otherwise("assistant")
+    content = F.when((turn == 50) & conv.isin(3, 4), F.concat("props", F.lit(NO_INFORMATION))).otherwise(F.col("props"))
+    return table(spark, sf_dir, "events").select(conv.alias("conv_id"), turn.alias("turn"), role.alias("role"), content.alias("content"))
+
+
 def vector_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each vector with a mix of itself and its neighbour."""
     vectors = table(spark, sf_dir, "embeddings")

@@ -7,6 +7,7 @@ import re
 from quillmark.functions import fixed_values as V
 from quillmark.functions.text import WHITESPACE
 from quillmark.plans.catalogue import SEED_CATEGORY, SHARD_ROWS, SYSTEM_TEXT
+from quillmark.plans.fixtures import NO_INFORMATION
 
 _CLASS = "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE)
 
@@ -322,19 +323,27 @@ select distinct node as page from reach where not contains(node, 'Category:')"""
 
     contents = "md5(string_agg(content, chr(10) order by turn)) as contents_md5"
     roles = "string_agg(role, ',' order by turn) as roles"
-    sql["build_conversations"] = f"""with {TURNS} select conv_id, turn//256 as segment, count(*)::int as n_turns, {roles}, {contents}
-from turns group by 1, 2"""
+    sql["build_conversations"] = f"""with {TURNS} select conv_id, count(*)::int as n_turns, {roles}, {contents}
+from turns group by 1"""
     sql["qa_to_conversations"] = f"""with {QA_RESULTS} select id, 'system,user,assistant' as roles,
   md5({lit(V.DEFAULT_SYSTEM_TEXT)} || chr(10) || question || chr(10) || expected_answer) as contents_md5 from qa"""
     sql["replace_system_turn"] = f"""with {TURNS},
 fixed as (select conv_id, turn, role, content from turns where not (turn=0 and role='system')
   union all select distinct conv_id, -1, 'system', {lit(SYSTEM_TEXT)} from turns)
-select conv_id, greatest(turn,0)//256 as segment, {roles}, {contents} from fixed group by 1, 2"""
+select conv_id, {roles}, {contents} from fixed group by 1"""
     shown = "'<start_of_turn>' || case role when 'assistant' then 'model' else role end || chr(10) || content || '<end_of_turn>' || chr(10)"
-    sql["render_chat"] = f"""with {TURNS}, r as (select conv_id, turn//256 as segment, string_agg({shown}, '' order by turn) as text from turns group by 1, 2)
-select conv_id, segment, md5(text) as text_md5, md5(text || {OPEN}) as open_md5 from r"""
-    sql["useful_conversations"] = f"""with {USEFUL} select conv_id, turn//256 as segment, count(*)::int as n_turns, {contents}
-from turns where conv_id in (select conv_id from verdicts where useful) group by 1, 2"""
+    sql["render_chat"] = f"""with {TURNS}, r as (select conv_id, string_agg({shown}, '' order by turn) as text from turns group by 1)
+select conv_id, md5(text) as text_md5, md5(text || {OPEN}) as open_md5 from r"""
+    sql["useful_conversations"] = f"""with {USEFUL} select conv_id, count(*)::int as n_turns, {contents}
+from turns where conv_id in (select conv_id from verdicts where useful) group by 1"""
+    sql["long_conversations"] = f"""with turns as (select event_id%9 as conv_id, event_id//9 as turn,
+  case when event_id//9=0 and event_id%9%2=0 then 'system' when event_id//9%2=0 then 'user' else 'assistant' end as role,
+  case when event_id//9=50 and event_id%9 in (3,4) then props || {lit(NO_INFORMATION)} else props end as content from events),
+fixed as (select conv_id, turn, role, content from turns where not (turn=0 and role='system')
+  union all select distinct conv_id, -1, 'system', {lit(SYSTEM_TEXT)} from turns),
+bad as (select conv_id from turns where {STOPPED}),
+r as (select conv_id, string_agg({shown}, '' order by turn) as text from fixed where conv_id not in (select conv_id from bad) group by 1)
+select conv_id, length(text)::int as n_chars, md5(text) as text_md5 from r"""
     sql["content_top50"] = f"""with {TURNS} select md5(content) as digest, length(content)::int as n_chars, count(*) as n
 from turns where content is not null group by content order by n desc, digest limit 50"""
     sql["train_eval_split"] = f"with {SPLIT} select conv_id, split from splits"
@@ -441,7 +450,8 @@ select file_index, length(text)::int as n_chars, md5(text) as text_md5 from t wh
 from documents group by lang"""
     sql["csv_roundtrip"] = f"""with {PARSED} select doc_id, md5(text) as text_md5, sentiment_true as y_true, sentiment_pred as y_pred,
   md5(reasoning_pred) as reasoning_md5 from parsed"""
-    sql["jsonl_roundtrip"] = f"""with {TURNS} select conv_id, turn//256 as segment, {roles}, {contents} from turns group by 1, 2"""
+    sql["jsonl_roundtrip"] = f"with {TURNS} select conv_id, {roles}, {contents} from turns group by 1"
+    sql["json_arrays_roundtrip"] = sql["jsonl_roundtrip"]
     sql["records_roundtrip"] = "select 'doc_' || doc_id || '.txt' as source, md5(text) as text_md5 from documents"
     sql["split_roundtrip"] = f"""with {ranked('documents', 'doc_id', 3)}
 select doc_id, upper(lang) as lang from ranked where rank > n - floor(n*0.1::double)"""

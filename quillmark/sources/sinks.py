@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,28 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """One text file per partition with a JSON array of its rows, one per line between the brackets.
+
+    A file is read back by one task, so the caller bounds its rows by the partitions; an empty
+    partition gives no array. Rows go out one by one: no array is held.
+    """
+    lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+
+    def bracket(batches):
+        first = True
+        for batch in batches:
+            values = batch["value"].tolist()
+            if values:
+                batch = pd.DataFrame({"value": [("[" if first and i == 0 else ",") + v for i, v in enumerate(values)]})
+                first = False
+                yield batch
+        if not first:
+            yield pd.DataFrame({"value": ["]"]})
+
+    lines.mapInPandas(bracket, "value string").write.text(path)
+
+
 def shuffled(df: DataFrame, id_col: str, seed: int, partitions: int | None = None) -> DataFrame:
     """Seeded order for writing.
 
