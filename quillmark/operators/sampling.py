@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from quillmark.functions.fixed_values import EVAL_SHARE
 
 _PREFIX = 4  # hex digits: 16 ** 4 buckets
-_SALTS = 256
+TOP_KEYS, TOP_ROWS, BROADCAST_ROWS = 100_000, 10_000, 100_000
 
 
 def order_key(row_id: Column, seed: int) -> Column:
@@ -78,10 +78,37 @@ def cutoffs(keys: DataFrame, wanted: Callable[[Column], Column], by: Sequence[st
     return located.where(at_position).select(*by, F.col("key").alias("cutoff"))
 
 
+def several_cutoffs(keys: DataFrame, wanted: dict[str, Callable[[Column], Column]]) -> Column:
+    """One scalar struct with the ``cutoffs`` key of each wanted rank, by one count and one look-up.
+
+    A rank of which nothing is wanted has a null key.
+    """
+    keyed = keys.select("key", _bucket(F.col("key")).alias("_bucket"))
+    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    total = F.sum("_n").over(Window.partitionBy())  # <= 65,536 rows
+    ranks = F.array(*[F.struct(F.lit(name).alias("name"), make(total).cast("bigint").alias("wanted")) for name, make in wanted.items()])
+    before = F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")
+    counted = counts.select("_bucket", before.alias("_before"), "_n", ranks.alias("_ranks"))
+    asked = counted.select("_bucket", "_before", "_n", F.inline("_ranks"))
+    edge = asked.where("_before < wanted and wanted <= _before + _n").select("_bucket", "name", (F.col("wanted") - F.col("_before")).alias("_position"))
+    inside = keyed.join(F.broadcast(edge), "_bucket").groupBy("name", "_position", "key").agg(F.count(F.lit(1)).alias("_copies"))
+    reached = F.sum("_copies").over(Window.partitionBy("name").orderBy("key"))
+    located = inside.withColumn("_reached", reached)
+    at_position = (F.col("_reached") >= F.col("_position")) & (F.col("_reached") - F.col("_copies") < F.col("_position"))
+    found = located.where(at_position).agg(*[F.max(F.when(F.col("name") == name, F.col("key"))).alias(name) for name in wanted])
+    return found.select(F.struct(*wanted)).scalar()
+
+
 def first_k(df: DataFrame, id_col: str, k: int, seed: int) -> DataFrame:
-    """First ``min(k, n)`` rows of the seeded order, by one scalar cutoff and no join."""
+    """First ``min(k, n)`` rows of the seeded order, by one scalar cutoff and no join.
+
+    Few rows are found by a top-k of keys in each task, many by counting prefixes.
+    """
     key = order_key(F.col(id_col), seed)
-    last = cutoffs(df.select(key.alias("key")), lambda n: F.least(F.lit(k), n))
+    if k <= TOP_KEYS:
+        last = df.select(key.alias("cutoff")).orderBy("cutoff").limit(k).agg(F.max("cutoff").alias("cutoff"))
+    else:
+        last = cutoffs(df.select(key.alias("key")), lambda n: F.least(F.lit(k), n))
     return df.where(key <= last.select("cutoff").scalar())
 
 
@@ -108,11 +135,10 @@ def train_eval_split(
         return used(n) - F.floor(used(n) * F.lit(eval_share)).cast("bigint")
 
     key = order_key(F.col(id_col), seed)
-    last_train = cutoffs(keys, train).select("cutoff").scalar()
-    split = F.when(key <= last_train, "train").otherwise("eval")
-    if limit is not None:
-        df = df.where(key <= cutoffs(keys, used).select("cutoff").scalar())
-    return df.withColumn("split", split)
+    if limit is None:
+        return df.withColumn("split", F.when(key <= cutoffs(keys, train).select("cutoff").scalar(), "train").otherwise("eval"))
+    last = several_cutoffs(keys, {"train": train, "used": used})
+    return df.where(key <= last["used"]).withColumn("split", F.when(key <= last["train"], "train").otherwise("eval"))
 
 
 def stratified_sample(
@@ -120,24 +146,25 @@ def stratified_sample(
 ) -> DataFrame:
     """``min(n, per_class)`` rows of each class, first in the seeded order.
 
-    With ``classes`` given, one row per class is broadcast. Otherwise the number of classes is
-    open, and the rows of a class are spread over salts, so a dominant class is no bottleneck.
+    Up to ``TOP_ROWS`` rows a class are found by a top-n of narrow keys per class and salt, then
+    per class over what is left; more by counting prefixes. A class is then one row with its
+    last key. These rows are broadcast if the classes are given or counted to be few; otherwise
+    rows meet them in a join, whose skew is left to adaptive execution.
     """
-    if classes is not None:
-        df = df.where(F.col(class_col).isin(*classes))
-    else:
-        df = df.where(F.col(class_col).isNotNull())
+    df = df.where(F.col(class_col).isNotNull() if classes is None else F.col(class_col).isin(*classes))
     keyed = df.withColumn("_key", order_key(F.col(id_col), seed))
-    last = cutoffs(
-        keyed.select(class_col, F.col("_key").alias("key")), lambda n: F.least(F.lit(per_class), n), [class_col]
-    )
-    if classes is not None:
-        joined = keyed.join(F.broadcast(last), class_col)
+    keys = keyed.select(class_col, F.col("_key").alias("key"))
+    if per_class <= TOP_ROWS:
+        salted = keys.withColumn("_salt", F.conv(F.substring("key", 1, 2), 16, 10).cast("int"))
+        parts = Window.partitionBy(class_col, "_salt").orderBy("key")
+        few = salted.withColumn("_rank", F.row_number().over(parts)).where(F.col("_rank") <= per_class).drop("_rank")
+        first = few.withColumn("_rank", F.row_number().over(Window.partitionBy(class_col).orderBy("key")))
+        last = first.where(F.col("_rank") <= per_class).groupBy(class_col).agg(F.max("key").alias("cutoff"))
     else:
-        salt = F.conv(F.substring("_key", 1, 2), 16, 10).cast("int")
-        spread = last.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-        joined = keyed.withColumn("_salt", salt).join(spread, [class_col, "_salt"]).drop("_salt")
-    return joined.where("_key <= cutoff").select(*df.columns)
+        last = cutoffs(keys, lambda n: F.least(F.lit(per_class), n), [class_col])
+    if classes is not None or keys.select(class_col).distinct().limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        last = F.broadcast(last)
+    return keyed.join(last, class_col).where("_key <= cutoff").select(*df.columns)
 
 
 def head_rows(df: DataFrame, order_col: str, n: int) -> DataFrame:

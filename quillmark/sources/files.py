@@ -16,10 +16,11 @@ BYTES_PER_GB = 1024**3
 
 
 def scan_text_files(
-    spark: SparkSession, folder: str, index_pattern: str = r"_(\d+)\.txt$", recursive: bool = False
+    spark: SparkSession, folder: str, index_pattern: str = r"_(\d+)\.txt$", recursive: bool = False, ordered: bool = True
 ) -> DataFrame:
-    """One row per file: ``file_index, text, source``, in numeric order.
+    """One row per file: ``file_index, text, source``, in numeric order if ``ordered``.
 
+    The order takes a shuffle of all texts and a second read; inside a pipeline leave it off.
     The index comes out of the file's path; texts are stripped and empty ones left out.
     """
     reader = spark.read.option("recursiveFileLookup", recursive)
@@ -28,7 +29,8 @@ def scan_text_files(
         strip(F.col("value")).alias("text"),
         F.col("_metadata.file_name").alias("source"),
     )
-    return files.where(F.col("text") != "").orderBy("file_index", "source")
+    found = files.where(F.col("text") != "")
+    return found.orderBy("file_index", "source") if ordered else found
 
 
 CHECKSUMS = r"^\..*\.crc$"
