@@ -503,7 +503,7 @@ def sentiment_prompts(spark, sf_dir):
         "doc_id",
         F.col("text").alias("sentence"),
         F.col("sentiment_true").alias("sentiment"),
-        F.substring("text", 1, 80).alias("explanation"),
+        F.col("text").alias("explanation"),
     )
     rows = sentiment.training_rows(explained, keep=["doc_id"])
     body, truth = F.col("text"), F.col("sentiment")

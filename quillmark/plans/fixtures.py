@@ -42,8 +42,9 @@ def qa_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("generated_answer")
     )
     row_id = F.col("conv_id") * 100 + F.col("turn")
-    expected = F.when(F.col("conv_id") % 2 == 0, F.substring("generated_answer", 5, 12)).otherwise(
-        F.substring("question", 1, 40)
+    answer = F.when(F.col("conv_id") % 4 == 0, F.col("generated_answer")).otherwise(F.substring("generated_answer", 5, 12))
+    expected = F.when(F.col("conv_id") % 2 == 0, answer).otherwise(
+        F.col("question")
     )
     third, fifth = F.col("conv_id") % 3, row_id % 5
     difficulty = F.when(third == 0, "Easy").when(third == 1, "Medium").otherwise("Hard")
@@ -81,7 +82,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents with a made-up reply of the model and of the judge."""
     truth, kind, score = F.col("sentiment_true"), F.col("doc_id") % 7, F.col("doc_id") % 6
     tagged = F.concat(F.lit("<sentiment>"), truth, F.lit("</sentiment>"))
-    reasoned = F.concat(tagged, F.lit(" <reasoning>"), F.substring("text", 1, 40), F.lit("</reasoning>"))
+    reasoned = F.concat(tagged, F.lit(" <reasoning>"), F.col("text"), F.lit("</reasoning>"))
     raw = (
         F.when(kind == 0, reasoned)
         .when(kind == 1, "<SENTIMENT> Positive </SENTIMENT>")
@@ -168,7 +169,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         nation.select(category("N", "n_nationkey"), category("R", "n_regionkey")),
         table(spark, sf_dir, "supplier").select(category("N", "s_nationkey"), named("S", "s_suppkey")),
         table(spark, sf_dir, "customer").select(category("N", "c_nationkey"), customer),
-        table(spark, sf_dir, "orders").where("o_custkey % 10 = 0").select(category("C", "o_custkey"), named("O", "o_orderkey")),
+        table(spark, sf_dir, "orders").select(category("C", "o_custkey"), named("O", "o_orderkey")),
     ]
     whole = parts[0].toDF("category", "member")
     for part in parts[1:]:

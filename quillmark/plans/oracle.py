@@ -47,7 +47,7 @@ OPEN = "'<start_of_turn>model' || chr(10)"
 
 QA_RESULTS = """
 qa as (select u.conv_id*100+u.turn as id, u.text as question, a.text as generated_answer,
-  case when u.conv_id%2=0 then substring(a.text,5,12) else substring(u.text,1,40) end as expected_answer,
+  case when u.conv_id%4=0 then a.text when u.conv_id%2=0 then substring(a.text,5,12) else u.text end as expected_answer,
   case u.conv_id%3 when 0 then 'Easy' when 1 then 'Medium' else 'Hard' end as difficulty,
   case (u.conv_id*100+u.turn)%5 when 0 then 'Yes' when 1 then 'Yes, but' when 2 then 'No'
     when 3 then ' yes indeed' else '' end as judge_reply
@@ -60,7 +60,7 @@ labelled as (select d.doc_id, d.text, case when l.toxic=1 then 'negative' when l
 
 PREDICTIONS = LABELLED + """,
 predictions as (select t.*, case doc_id%7
-  when 0 then concat('<sentiment>',sentiment_true,'</sentiment> <reasoning>',substring(text,1,40),'</reasoning>')
+  when 0 then concat('<sentiment>',sentiment_true,'</sentiment> <reasoning>',text,'</reasoning>')
   when 1 then '<SENTIMENT> Positive </SENTIMENT>' when 2 then '<sentiment>negative'
   when 3 then '<sentiment></sentiment> neutral'   when 4 then 'no idea'
   when 5 then concat('<sentiment>',sentiment_true,'</sentiment><reasoning>None</reasoning>')
@@ -136,7 +136,7 @@ edges as (select concat('Category:R',r_regionkey) as category, concat('Category:
 union all select concat('Category:N',n_nationkey), concat('Category:R',n_regionkey) from nation
 union all select concat('Category:N',s_nationkey), concat('S',s_suppkey) from supplier
 union all select concat('Category:N',c_nationkey), case when c_custkey%10=0 then concat('Category:C',c_custkey) else concat('C',c_custkey) end from customer
-union all select concat('Category:C',o_custkey), concat('O',o_orderkey) from orders where o_custkey%10=0)"""
+union all select concat('Category:C',o_custkey), concat('O',o_orderkey) from orders)"""
 
 LOGS = """
 logs as (select event_id as step, event_id/1000.0::double as epoch,
@@ -420,7 +420,7 @@ select doc_id, sentiment_true, md5(text) as text_md5 from r where k <= 34"""
     sql["first_k_sample"] = f"with {ranked('documents', 'doc_id', 5)} select doc_id, md5(text) as text_md5 from ranked where rank <= 100"
     answer_tags = fill(V.TAGGED_ANSWER_TEMPLATE, sentiment="sentiment_true", reasoning="reasoning")
     user = turn("user", classify_body("text"))
-    sql["sentiment_prompts"] = f"""with {LABELLED}, l as (select *, substring(text,1,80) as reasoning from labelled)
+    sql["sentiment_prompts"] = f"""with {LABELLED}, l as (select *, text as reasoning from labelled)
 select doc_id, md5({user} || {turn('model', answer_tags)}) as train_md5, md5({user} || {OPEN}) as test_md5,
   md5({explain_prompt('text', 'sentiment_true')}) as explain_md5,
   md5({reasoning_prompt('text', 'sentiment_true', 'reasoning')}) as judge_md5,
