@@ -92,7 +92,45 @@ FROM t
 """
 
 
+# Windows of twenty words whose sequence was seen in an earlier row or place.
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+win AS (SELECT doc_id, i, count(*) OVER nxt AS n, md5(string_agg(word, ' ') OVER nxt) AS h FROM w
+        WINDOW nxt AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+later AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS k FROM win WHERE n = 20) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(words)::bigint AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _words_sql(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"list_filter(regexp_split_to_array({lower}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+
+# Windows of ten words of an item, or a shorter item as a whole, wherever they occur.
+OP7_SQL = f"""
+WITH b AS (SELECT item_id::varchar AS item, {_words_sql('text')} AS words FROM benchmark),
+p AS (SELECT DISTINCT item, least(len(words), 10) AS size, array_to_string(list_slice(words, s, s + 9), ' ') AS phrase
+      FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS s FROM b WHERE len(words) > 0)),
+d AS (SELECT doc_id, {_words_sql('text')} AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+win AS (SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS ahead FROM w),
+sized AS (SELECT doc_id, i, size, array_to_string(list_slice(ahead, 1, size), ' ') AS phrase
+          FROM win, (SELECT DISTINCT size FROM p) WHERE len(ahead) >= size),
+hits AS (SELECT doc_id, i, size, item FROM sized JOIN p USING (size, phrase)),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY doc_id)
+SELECT doc_id, len(words)::bigint AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def all_sql() -> dict[str, str]:
     from quillmark.llm.licenses import scan_sql
 
-    return {"op1_exact_dedup": OP1_SQL, "op9_license_scan": scan_sql()}
+    return {"op1_exact_dedup": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op7_decontamination": OP7_SQL, "op9_license_scan": scan_sql()}
