@@ -1,6 +1,7 @@
 """Quality classifier: naive Bayes support vectors over n-gram indicators.
 
-Indicators say which byte trigrams a whole text has, hashed to a fixed number of features. They
+Indicators say which byte trigrams a whole text has, hashed to a fixed number of features, and
+which patterns six neighbours show in the sequence "same word as before or another". They
 are scaled by the log ratio of their smoothed counts in the two classes; a linear model with
 hinge loss is fitted to them by dual coordinate descent, its margin mapped to 0..1 by a logistic
 curve fitted to margins of rows left out in turn.
@@ -19,19 +20,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import numbered, schemas
-from quillmark.llm.words import slices
+from quillmark.llm.words import BLANK_BYTES, byte_table, slices, word_codes, word_spans
 
 BITS, SAMPLE, FOLDS, EPOCHS, PENALTY, SMOOTHING = 15, 6000, 3, 8, 1.0, 1.0
-PIECE = 4 << 20
+PIECE, ECHO = 4 << 20, 6
+FEATURES = (1 << BITS) + (1 << ECHO)
+WORD_TABLE = byte_table(BLANK_BYTES, lower=True)
 
 
 def indicators(data: np.ndarray) -> np.ndarray:
-    """Which features a text has, as booleans; a text under three bytes has none."""
-    present = np.zeros(1 << BITS, bool)
+    """Which features a text has, as booleans; a text under three bytes has none.
+
+    A text of several pieces is taken piece by piece.
+    """
+    present = np.zeros(FEATURES, bool)
     for at in range(0, max(len(data) - 2, 0), PIECE):
         d = data[at : at + PIECE + 2].astype(np.uint32)
         grams = d[:-2] << np.uint32(16) | d[1:-1] << np.uint32(8) | d[2:]
         present[grams * np.uint32(2654435761) >> np.uint32(32 - BITS)] = True
+        piece = data[at : at + PIECE]
+        codes = word_codes(*word_spans(piece, np.array([0, len(piece)]), WORD_TABLE)[:3])
+        same = codes[1:] == codes[:-1]
+        if len(same) >= ECHO:
+            pattern = np.zeros(len(same) - ECHO + 1, np.int64)
+            for k in range(ECHO):
+                pattern |= same[k : len(same) - ECHO + 1 + k].astype(np.int64) << k
+            present[(1 << BITS) + pattern] = True
     return present
 
 
@@ -57,7 +71,7 @@ def log_count_ratios(features: list[np.ndarray], labels: np.ndarray) -> np.ndarr
     """Per feature, the log of its smoothed share in class 1 over that in class 0."""
 
     def counts(label: int) -> np.ndarray:
-        total = np.full(1 << BITS, SMOOTHING)
+        total = np.full(FEATURES, SMOOTHING)
         for f, y in zip(features, labels):
             if y == label:
                 total[f] += 1
@@ -76,7 +90,7 @@ def hinge_fit(features: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray
     cost = PENALTY * np.where(labels == 1, 0.5 / max((labels == 1).mean(), 1e-9), 0.5 / max((labels == 0).mean(), 1e-9))
     values = [ratios[f] / np.sqrt(max(len(f), 1)) for f in features]
     square = np.array([float(v @ v) + 1 for v in values])
-    w, bias, dual, rng = np.zeros(1 << BITS), 0.0, np.zeros(len(features)), np.random.default_rng(seed)
+    w, bias, dual, rng = np.zeros(FEATURES), 0.0, np.zeros(len(features)), np.random.default_rng(seed)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(features)):
             slack = sign[i] * (w[features[i]] @ values[i] + bias) - 1
@@ -104,7 +118,7 @@ def train(packed: list[bytes], labels: list[int]) -> Quality:
     y = np.array(labels, np.int64)
     if len(set(labels)) < 2:
         share = (y.sum() + 1) / (len(y) + 2)
-        return Quality(np.zeros(1 << BITS), 0.0, 0.0, float(np.log(share / (1 - share))))
+        return Quality(np.zeros(FEATURES), 0.0, 0.0, float(np.log(share / (1 - share))))
     features = [np.flatnonzero(np.unpackbits(np.frombuffer(p, np.uint8))).astype(np.int32) for p in packed]
     fold, margins = np.arange(len(y)) % FOLDS, np.zeros(len(y))
     for k in range(FOLDS):
