@@ -11,7 +11,6 @@ from quillmark.functions.fixed_values import CATEGORY_PREFIX
 from quillmark.session import shared_dir
 
 BROADCAST_ROWS = 100_000
-_SALTS = 64
 
 
 def is_category(member: Column) -> Column:
@@ -25,15 +24,13 @@ def category_name(member: Column) -> Column:
 def members_of(edges: DataFrame, categories: DataFrame, n_categories: int) -> DataFrame:
     """Edges whose category is in ``categories(name)``, a distinct list of counted size.
 
-    A short list is broadcast. A long one is joined over salted keys, since one category may
-    hold a large share of all edges: its members spread over the salts.
+    A short list is broadcast. A long one is joined; a category that holds a large share of all
+    edges is split by adaptive execution, as both sides are plain inputs of the join.
     """
     named = edges.withColumn("name", category_name(F.col("category")))
     if n_categories <= BROADCAST_ROWS:
         return named.join(F.broadcast(categories), "name").drop("name")
-    salted = categories.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    spread = named.withColumn("_salt", F.pmod(F.xxhash64("member"), F.lit(_SALTS)).cast("int"))
-    return spread.join(salted, ["name", "_salt"]).drop("name", "_salt")
+    return named.join(categories, "name").drop("name")
 
 
 def category_pages(edges: DataFrame, seeds: Sequence[str], max_depth: int = 2) -> DataFrame:

@@ -237,6 +237,13 @@ def truncate_tokens(spark, sf_dir):
     return cut.select("doc_id", F.size(F.split("text", " ")).alias("n_words"), _md5("text"))
 
 
+@query
+def token_budget(spark, sf_dir):
+    """First sixteen tokens of a tokenizer's output."""
+    rows = fixtures.token_scores(spark, sf_dir).select("vec_id", corpus.truncate_tokens(F.col("tokens"), 16).alias("kept"))
+    return rows.select("vec_id", F.size("kept").alias("n_kept"), F.array_join(F.transform("kept", lambda x: x.cast("string")), ",").alias("kept"))
+
+
 @query
 def category_closure(spark, sf_dir):
     return categories.category_pages(fixtures.edges(spark, sf_dir), [SEED_CATEGORY], max_depth=3)
@@ -532,6 +539,16 @@ def explanations(spark, sf_dir):
     return loaded.select("doc_id", "label", "sentiment", F.col("split").cast("string").alias("split"), "explanation")
 
 
+@query
+def failed_explanations(spark, sf_dir):
+    """A teacher that fails on some rows: they stay, with the message."""
+    rows = fixtures.labelled(spark, sf_dir).select(
+        "doc_id", F.col("text").alias("sentence"), labels.label_code(F.col("sentiment_true")).alias("label")
+    )
+    told = sentiment.explain(rows, standins.moody_text, error_col="error", partitions=workers(spark))
+    return told.select("doc_id", "explanation", "error")
+
+
 @query
 def predict_with_reasoning(spark, sf_dir):
     rows = fixtures.predictions(spark, sf_dir).select("doc_id", "text", F.col("raw_output").alias("recorded"))

@@ -290,6 +290,7 @@ from pairs, (select unnest([0.0, 0.5, 0.7])::double as threshold) group by thres
     )
     kept = "list_slice(tokens, prompt_length+1, len(tokens))"
     sql["new_tokens"] = f"with {TOKENS} select vec_id, len({kept})::int as n_kept, array_to_string({kept}, ',') as kept from tokens"
+    sql["token_budget"] = f"with {TOKENS} select vec_id, least(len(tokens), 16)::int as n_kept, array_to_string(list_slice(tokens, 1, 16), ',') as kept from tokens"
     sql["judge_prompts"] = f"""with {QA_RESULTS} select id, md5({judge_prompt('generated_answer')}) as judge_md5,
   md5({BASE_PROMPT}) as base_md5, md5({TUNED_PROMPT}) as tuned_md5 from qa"""
     answer = strip(parrot(strip(f"question || {lit(V.ANSWER_INSTRUCTION)}")))
@@ -429,6 +430,9 @@ select doc_id, md5({user} || {turn('model', answer_tags)}) as train_md5, md5({us
     sql["explanations"] = f"""with {LABELLED} select doc_id, {true_code} as label, sentiment_true as sentiment,
   case doc_id%10 when 0 then 'test' when 1 then 'validation' else 'train' end as split,
   'Because ' || md5({explain_prompt('text', 'sentiment_true')}) as explanation from labelled"""
+    told = f"md5({explain_prompt('text', 'sentiment_true')})"
+    sql["failed_explanations"] = f"""with {LABELLED} select doc_id, case when {told} >= '4' then 'Because ' || {told} end as explanation,
+  case when {told} < '4' then 'ValueError: no answer' end as error from labelled"""
     sql["predict_with_reasoning"] = f"with {PARSED} select doc_id, sentiment_pred, md5(reasoning_or_raw) as reasoning_pred_md5 from parsed"
     sql["score_reasoning"] = f"""with {PARSED} select doc_id, sentiment_pred,
   (case when {defaulted} then 1 else {SCORE} end)::double as reasoning_score from parsed"""

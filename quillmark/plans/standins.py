@@ -34,6 +34,19 @@ def digest_text():
     return lambda prompts: [f" Because {md5(p.encode()).hexdigest()}\n" for p in prompts]
 
 
+def moody_text():
+    """The same writer, which fails on a quarter of its prompts by their digests."""
+    from hashlib import md5
+
+    def write(prompt):
+        digest = md5(prompt.encode()).hexdigest()
+        if digest < "4":
+            raise ValueError("no answer")
+        return f" Because {digest}\n"
+
+    return lambda prompts: [write(p) for p in prompts]
+
+
 def letter_counts():
     """An embedder that counts eight letters."""
     return lambda texts: [[float(t.count(c)) for c in "aeionrst"] for t in texts]

@@ -109,17 +109,20 @@ def merge(existing: DataFrame | None, new: DataFrame) -> DataFrame:
     return new if existing is None else existing.unionByName(new)
 
 
-def publish(df: DataFrame, base: str, id_col: str, merging: bool = False, seed: int = 42) -> str:
+def publish(
+    df: DataFrame, base: str, id_col: str, merging: bool = False, seed: int = 42, partitions: int | None = None
+) -> str:
     """Write the next version: the new rows or, with ``merging``, old and new ones reshuffled.
 
     Ids must be unique over both. A version never overwrites the files it reads, and readers
-    see it once it is complete.
+    see it once it is complete. ``partitions`` is the number of files of a merged version, which
+    adaptive execution cannot change; by default the session's number of shuffle partitions.
     """
     spark = df.sparkSession
     version, present = versions(spark, base)
     rows = df
     if merging and version:
-        rows = shuffled(merge(read_published(spark, base), df), id_col, seed)
+        rows = shuffled(merge(read_published(spark, base), df), id_col, seed, partitions)
     path = f"{base}/version={present + 1}"
     rows.write.parquet(path)
     return path

@@ -53,3 +53,24 @@ def test_member_filter_reaches_the_scan(spark, sf_dir):
 
 def test_chunks_are_computed_once(spark, sf_dir):
     assert plan_of(spark, sf_dir, "chunk_documents").count("regexp_extract_all") == 1
+
+
+def test_one_hook_embeds_both_answers(spark, sf_dir):
+    assert plan_of(spark, sf_dir, "embed_and_compare").count("MapInArrow") == 1
+
+
+def test_skipped_rows_do_not_run_the_input_twice(spark, sf_dir):
+    plan = plan_of(spark, sf_dir, "score_reasoning")
+    assert "Union" not in plan and plan.count("Location:") == 2  # documents and labels, once each
+
+
+def test_one_look_up_serves_both_cuts(spark, sf_dir):
+    df = contract.queries()["turns_with_split"](spark, sf_dir)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Location:") <= 3
+
+
+def test_samples_of_open_classes_shuffle_keys_only(spark, sf_dir):
+    plan = plan_of(spark, sf_dir, "stratified_sample_open")
+    assert "WindowGroupLimit" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
