@@ -89,7 +89,8 @@ def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     """
     named = stored(document_names(docs, text_col, id_col, block_bytes), "identities")
     first = F.min(F.struct(F.col("_id").isNull().alias("absent"), F.col("_id").alias("id"), F.col("_row").alias("row")))
-    groups = named.groupBy("level", "name").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
+    # Stored first: a plain join of two inputs is one whose hot groups adaptive execution splits.
+    groups = stored(named.groupBy("level", "name").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size")), "groups")
     return named.join(groups, ["level", "name"]).select(
         "_row", F.col("_id").alias("doc_id"), F.col("first.id").alias("keep_id"), "group_size",
         (F.col("_row") == F.col("first.row")).alias("kept"), "text_sha256",
@@ -97,5 +98,9 @@ def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
 
 def keep_first(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The documents without later copies, all columns."""
+    """The documents without later copies, all columns.
+
+    Which row of a group stays is as in ``exact_dedup``; all null and empty texts are one group,
+    of rows equal in id and text one stays. Other columns may have any names and values.
+    """
     return only_rows(docs, exact_dedup(docs, text_col, id_col).where("kept"), "left_semi")
