@@ -302,7 +302,11 @@ def with_digest(found: DataFrame) -> DataFrame:
 
 
 def without_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text_col: str = "text", phrase_bytes: int = PHRASE_BYTES) -> DataFrame:
-    """The documents, all columns, without the bytes of merged hit spans; other texts are unchanged."""
+    """The documents, all columns, without the bytes of merged hit spans.
+
+    All rows stay: null, empty and clean texts unchanged, a text that is all hit as an empty one.
+    Other columns may have any names and values.
+    """
     found = stored(find_passages(docs, benchmark, text_col, id_col, item_col, item_text_col, phrase_bytes).where("n_hit > 0").select("_row", "spans"), "spans")
     at, hit_row, hit = (free_name(docs, c) for c in ("_at_row", "_hit_row", "_hit_spans"))
     found = found.select(F.col("_row").alias(hit_row), F.col("spans").alias(hit))

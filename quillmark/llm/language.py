@@ -68,7 +68,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
             for first, last, data, at in slices(batch.column("text")):
                 raw = data.tobytes()
                 for k in range(last - first):
-                    words = b" ".join(raw[at[k] : at[k + 1]].decode().lower().encode().split())
+                    words = b" ".join(raw[at[k] : at[k + 1]].decode("utf-8", "replace").lower().encode().split())
                     grams = np.bincount(trigrams(np.frombuffer(words, np.uint8)), minlength=1 << BITS)
                     lang = langs[first + k]
                     totals[lang] = totals.get(lang, 0) + grams

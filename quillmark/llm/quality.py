@@ -182,7 +182,10 @@ def score(docs: DataFrame, model: Quality, text_col: str = "text", id_col: str =
 
 
 def accepted(docs: DataFrame, model: Quality, least: float, text_col: str = "text") -> DataFrame:
-    """The documents whose score is ``least`` or more, all columns."""
+    """The documents whose score is ``least`` or more, all columns.
+
+    A null text is scored as an empty one; rows equal in text share their fate.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def choose(batches):
