@@ -181,6 +181,15 @@ def test_pieces_over_a_table(table):
     assert pieces.encode(table([]), MODEL).count() == 0
 
 
+def test_bytes_that_are_no_text(spark, table):
+    from pyspark.sql import functions as F
+
+    docs = table([(1, "x"), (2, "y")]).withColumn("text", F.expr("cast(X'41FF20' as string)"))
+    assert [(r.n_tokens > 0, r.round_trip) for r in pieces.encode(docs, MODEL).collect()] == [(True, False)] * 2
+    bench = spark.createDataFrame([(1, "some words here")], "item_id long, text string")
+    assert [r.n_words for r in find_passages(docs, bench).collect()] == [1, 1]
+
+
 # ---- licenses
 
 
