@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from quillmark.llm.common import numbered, schemas
 from quillmark.llm.words import ragged, slices
 
-SPACE, BASE, CACHE_WORDS, MODEL_BYTES, UNKNOWN_PENALTY = "▁", 0x9E3779B97F4A7C15, 400_000, 64 << 20, 10.0
-GROUP_CELLS, JOINT_CODES, SLOT_BITS = 1 << 19, 1024, 20
+SPACE, BASE, CACHE_WORDS, MODEL_BYTES, UNKNOWN_PENALTY = "▁", 0x9E3779B97F4A7C15, 250_000, 64 << 20, 10.0
+GROUP_CELLS, JOINT_CODES, SLOT_BITS, SLICE, PAIRS = 1 << 17, 1024, 20, 2 << 20, 500_000
 
 
 def mixed(hashes: np.ndarray) -> np.ndarray:
@@ -230,9 +230,11 @@ class Encoder:
         self.number, self.starts, self.ends, self.flat = {}, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        p = self.pieces
         if len(self.number) > CACHE_WORDS:
             self._forget()
-        p = self.pieces
+        if len(p.follows) > PAIRS:
+            p.follows = {}
         cut = [p.cut(p.prefix + t.replace(" ", SPACE)) if t else [] for t in texts]
         new = list(set().union(*cut) - self.number.keys()) if cut else []
         if new:
@@ -263,7 +265,8 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", id_col: str
 
     ``ids`` are the pieces of the whole text (left out unless ``with_ids``). They are decoded
     again; ``round_trip`` says that the decoded bytes are those of the text. It is false only
-    for a text with the model's own space mark (U+2581), which decodes to a space. A null text
+    for a text with the model's own space mark (U+2581), which decodes to a space, and for bytes
+    that are not UTF-8, which count as U+FFFD. A null text
     is empty and has no ids. ``ids_sha256`` is of the ids in decimal, comma-joined. Repeated rows
     and null ids are rows like any other; an empty table gives none; other columns are not read.
     """
@@ -281,10 +284,10 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", id_col: str
         encoder = Encoder(pieces)
         names = [str(i) for i in range(len(pieces.text_of))]
         for batch in batches:
-            for first, last, data, at in slices(batch.column("text"), 8 << 20):
+            for first, last, data, at in slices(batch.column("text"), SLICE):
                 raw = data.tobytes()
                 texts = [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                ids = encoder.encode([t.decode() for t in texts])
+                ids = encoder.encode([t.decode("utf-8", "replace") for t in texts])
                 decoded = [pieces.decode(i) for i in ids]
                 columns = [batch.column("_row")[first:last], batch.column("doc_id")[first:last]]
                 if with_ids:
