@@ -244,7 +244,8 @@ def repeated_windows(rows: DataFrame, by_words: bool, window: int, gram: int, me
     (segment, nearest, farthest distance) of repeated windows.
     """
     anchors = _anchors(rows, by_words, window, gram)
-    many = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # Stored first: a plain join of two inputs is one whose hot keys adaptive execution splits.
+    many = stored(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "keys")
     live = stored(anchors.join(many, "key", "left_semi"), "anchors")
     found, width = [], window
     segments = None
@@ -270,7 +271,7 @@ def repeated_windows(rows: DataFrame, by_words: bool, window: int, gram: int, me
             break
         width = 1 << max((width - 1).bit_length() - SPLIT.bit_length() + 1, 0)
         parts = stored(_split(segments.join(crowded, "key", "left_semi"), by_words, window, width), "parts")
-        many = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+        many = stored(parts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "keys")
         live = stored(parts.join(many, "key", "left_semi"), "anchors")
     all_found = found[0]
     for more in found[1:]:
