@@ -175,3 +175,19 @@ def test_similar_groups(table, prose, chunk):
 def test_groups_of_nothing(table):
     assert simhash.near_groups(table([])).count() == 0
     assert near_dedup.keep_one(table([])).count() == 0
+
+
+def brute_kept(rows):
+    """The smallest id of each component of texts at a Jaccard similarity of 0.8."""
+    shingles = {i: {tuple(w[a : a + 5]) for w in [(t or "").lower().split()] for a in range(max(1, len(w) - 4)) if w} for i, t in rows}
+    return set(components(sorted(shingles), lambda a, b: len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])).values())
+
+
+def test_similar_reordered_texts(table):
+    """The same words in other order, each with a copy that has one word replaced."""
+    rng, words, rows = random.Random(5), [f"w{k}" for k in range(120)], []
+    for k in range(80):
+        rng.shuffle(words)
+        rows += [(k, " ".join(words)), (1000 + k, " ".join([*words[:60], f"new{k}", *words[61:]]))]
+    got = {r.doc_id for r in near_dedup.keep_one(table(rows)).collect()}
+    assert got == brute_kept(rows) == set(range(80))
