@@ -33,13 +33,34 @@ def whole_text(text_col: str) -> Column:
     return F.coalesce(F.col(text_col), F.lit(""))
 
 
-def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
+def numbered(docs: DataFrame, *columns: Column, row_col: str | None = None) -> DataFrame:
     """``_row`` and the given columns.
 
-    Ids may repeat or be null, so rows get numbers of their own. They are the same in each scan
-    of a stored table, which is what the operators read.
+    Ids may repeat or be null, so rows get numbers of their own, those of ``row_col`` if it is
+    given. Without it they hold for one scan: how files are dealt to partitions may change with
+    the cores. What joins rows of several scans by number needs ``pinned``.
     """
-    return docs.select(F.monotonically_increasing_id().alias("_row"), *columns)
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    return docs.select(row.alias("_row"), *columns)
+
+
+def pinned(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a row number that is the same in each scan, and the number's column.
+
+    Rows of Parquet files are numbered by file (in order of paths) and place in the file. All
+    other tables are written first.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.nodeName() != "LogicalRelation" or "parquet" not in plan.simpleString(25).lower():
+        docs = stored(docs, "documents")
+    name = free_name(docs, "_at_row")
+    path, place, number = (free_name(docs, c) for c in ("_at_path", "_at_place", "_at_file"))
+    source = docs.metadataColumn("_metadata")
+    paths = sorted(r[0] for r in docs.select(source["file_path"].alias(path)).distinct().collect())
+    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), f"{number} long, {path} string")
+    rows = docs.select("*", source["file_path"].alias(path), source["row_index"].alias(place)).join(F.broadcast(files), path)
+    at = F.shiftleft(number, 40).bitwiseOR(F.col(place))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], at.alias(name)), name
 
 
 def schemas(ddl: str) -> tuple:
@@ -56,9 +77,7 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
-def only_rows(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """The documents whose row number is (``left_semi``) or is not (``left_anti``) in ``rows._row``, all columns."""
-    at = free_name(docs, "_at_row")
+def only_rows(docs: DataFrame, row_col: str, rows: DataFrame, how: str) -> DataFrame:
+    """The ``pinned`` documents whose number is (``left_semi``) or is not (``left_anti``) in ``rows._row``, without the number."""
     other = free_name(docs, "_other_row")
-    marked = docs.withColumn(at, F.monotonically_increasing_id())
-    return marked.join(rows.select(F.col("_row").alias(other)), F.col(at) == F.col(other), how).drop(at)
+    return docs.join(rows.select(F.col("_row").alias(other)), F.col(row_col) == F.col(other), how).drop(row_col)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import free_name, numbered, schemas, stored
+from quillmark.llm.common import free_name, numbered, pinned, schemas, stored
 from quillmark.llm.words import byte_table, ragged, runs, slices, word_codes, word_spans
 
 WINDOW, SHARD_BYTES, SAMPLING, PHRASE_BYTES = 10, 24 << 20, 8, 8 << 20
@@ -227,7 +227,7 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, limit: int) -> Ite
         yield sorted((r["id"], r["text"]) for r in part.collect())
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text_col: str = "text", phrase_bytes: int = PHRASE_BYTES) -> DataFrame:
+def find_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text_col: str = "text", phrase_bytes: int = PHRASE_BYTES, row_col: str | None = None) -> DataFrame:
     """``_row, doc_id, n_words, n_hit, items, spans`` for each row of ``docs``.
 
     ``items`` are the ids (as strings, sorted) of items with a window in the text, ``spans`` the
@@ -236,7 +236,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     themselves; an empty benchmark gives no hits, an empty table no rows. Other columns are not
     read.
     """
-    narrow = numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_col=row_col)
     schema, arrow = schemas(f"_row long, doc_id {docs.schema[id_col].dataType.simpleString()}, n_words long, n_hit long, items array<string>, spans {SPANS}")
     found, passes = None, 0
     for block in _blocks(benchmark, item_col, item_text_col, phrase_bytes):
@@ -307,14 +307,16 @@ def without_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "tex
     All rows stay: null, empty and clean texts unchanged, a text that is all hit as an empty one.
     Other columns may have any names and values.
     """
-    found = stored(find_passages(docs, benchmark, text_col, id_col, item_col, item_text_col, phrase_bytes).where("n_hit > 0").select("_row", "spans"), "spans")
-    at, hit_row, hit = (free_name(docs, c) for c in ("_at_row", "_hit_row", "_hit_spans"))
+    columns = docs.columns
+    docs, at = pinned(docs)
+    found = stored(find_passages(docs, benchmark, text_col, id_col, item_col, item_text_col, phrase_bytes, at).where("n_hit > 0").select("_row", "spans"), "spans")
+    hit_row, hit = (free_name(docs, c) for c in ("_hit_row", "_hit_spans"))
     found = found.select(F.col("_row").alias(hit_row), F.col("spans").alias(hit))
-    rows = docs.withColumn(at, F.monotonically_increasing_id()).join(found, F.col(at) == F.col(hit_row), "left")
+    rows = docs.join(found, F.col(at) == F.col(hit_row), "left")
     raw, spans = F.col(text_col).cast("binary"), F.col(hit)
     # The parts between spans: from the end of one to the start of the next.
     starts = F.concat(F.array(F.lit(0).cast("long")), spans["stop"])
     stops = F.concat(spans["start"], F.array(F.octet_length(text_col).cast("long")))
     parts = F.zip_with(starts, stops, lambda a, b: F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")).cast("string"))
     text = F.when(spans.isNull(), F.col(text_col)).otherwise(F.array_join(parts, ""))
-    return rows.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    return rows.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in columns])

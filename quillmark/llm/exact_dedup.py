@@ -16,7 +16,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import BLANKS, numbered, only_rows, stored, whole_text
+from quillmark.llm.common import BLANKS, numbered, only_rows, pinned, stored, whole_text
 
 BLOCK_BYTES = 4096
 
@@ -39,7 +39,7 @@ def _named(distinct: DataFrame, keys: list[str]) -> DataFrame:
     return stored(ranked.withColumn("name", F.monotonically_increasing_id()), "names")
 
 
-def document_names(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def document_names(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", block_bytes: int = BLOCK_BYTES, row_col: str | None = None) -> DataFrame:
     """One row per document: ``_row, _id, text_sha256, level, name``; equal (level, name), equal text."""
     for attempt in count():
         def keyed(b, attempt=attempt):
@@ -47,7 +47,7 @@ def document_names(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
 
         keys = _blocks(docs, text_col, block_bytes, keyed)
         sha = F.sha2(F.regexp_replace(whole_text(text_col), BLANKS, " "), 256)
-        facts = stored(numbered(docs, F.col(id_col).alias("_id"), sha.alias("text_sha256"), keys.alias("keys")), "block-keys")
+        facts = stored(numbered(docs, F.col(id_col).alias("_id"), sha.alias("text_sha256"), keys.alias("keys"), row_col=row_col), "block-keys")
         raw = docs.select(F.explode_outer(_blocks(docs, text_col, block_bytes, lambda b: b)).alias("block"))
         raw = raw.select(keyed(F.col("block")).alias("k"), "block").select("k.k1", "k.k2", "block")
         digests = stored(raw.distinct().groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("variants")), "digests")
@@ -79,15 +79,15 @@ def document_names(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     return facts.select("_row", "_id", "text_sha256").join(done, "_row")
 
 
-def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", block_bytes: int = BLOCK_BYTES, row_col: str | None = None) -> DataFrame:
     """Which rows stay: ``_row, doc_id, keep_id, group_size, kept, text_sha256``, a row for each input row.
 
     Texts are equal if identical after each run of ASCII blanks became one space. A null text
     counts as empty. The row with the smallest id stays; null ids come last, rows that share the
     smallest id are told apart by ``_row`` and one of them stays. An empty table gives no rows.
-    Other input columns are not read.
+    Other input columns are not read. ``row_col`` is the number of ``pinned`` documents.
     """
-    named = stored(document_names(docs, text_col, id_col, block_bytes), "identities")
+    named = stored(document_names(docs, text_col, id_col, block_bytes, row_col), "identities")
     first = F.min(F.struct(F.col("_id").isNull().alias("absent"), F.col("_id").alias("id"), F.col("_row").alias("row")))
     # Stored first: a plain join of two inputs is one whose hot groups adaptive execution splits.
     groups = stored(named.groupBy("level", "name").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size")), "groups")
@@ -103,4 +103,5 @@ def keep_first(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     Which row of a group stays is as in ``exact_dedup``; all null and empty texts are one group,
     of rows equal in id and text one stays. Other columns may have any names and values.
     """
-    return only_rows(docs, exact_dedup(docs, text_col, id_col).where("kept"), "left_semi")
+    docs, row = pinned(docs)
+    return only_rows(docs, row, exact_dedup(docs, text_col, id_col, row_col=row).where("kept"), "left_semi")

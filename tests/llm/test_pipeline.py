@@ -4,7 +4,7 @@ import random
 
 import __spark_entry__
 import corpus_pipeline
-from quillmark.llm import catalogue
+from quillmark.llm import catalogue, decontamination, exact_dedup, near_dedup
 
 
 def test_stages_take_effect(spark, prose, folder):
@@ -43,3 +43,21 @@ def test_contract_names():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and {n.split("_")[0] for n in catalogue.all_queries()} == {f"op{k}" for k in range(1, 11)}
     assert set(catalogue.all_sql()) <= set(__spark_entry__.oracle_sql()) <= names
+
+
+def test_numbers_hold_when_files_are_dealt_anew(spark, prose, folder):
+    """The result is read with other partitions than the search."""
+    rows = [(k, prose(k, 40)) for k in range(200)] + [(1000 + k, prose(k, 40)) for k in range(0, 200, 2)]
+    random.Random(6).shuffle(rows)
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8).write.parquet(f"{folder}/rows")
+    spark.createDataFrame([(1, prose(7, 40))], "item_id long, text string").write.parquet(f"{folder}/benchmark")
+    docs, benchmark = spark.read.parquet(f"{folder}/rows"), spark.read.parquet(f"{folder}/benchmark")
+    results = [exact_dedup.keep_first(docs), near_dedup.keep_one(docs), decontamination.without_passages(docs, benchmark)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        exact, near, cut = [{r.doc_id: r.text for r in x.collect()} for x in results]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert exact.keys() == near.keys() == set(range(200))
+    assert {i for i, t in cut.items() if not t} == {7} and len(cut) == 300
