@@ -191,3 +191,19 @@ def test_similar_reordered_texts(table):
         rows += [(k, " ".join(words)), (1000 + k, " ".join([*words[:60], f"new{k}", *words[61:]]))]
     got = {r.doc_id for r in near_dedup.keep_one(table(rows)).collect()}
     assert got == brute_kept(rows) == set(range(80))
+
+
+def test_similar_grown_and_cut_texts(table):
+    """Copies with words added or cut off at one end, from a similarity of 0.95 down to 0.80 and below."""
+    rng, rows = random.Random(8), []
+    for k in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        rows.append((100 * k, " ".join(words)))
+        for j, part in enumerate((0.05, 0.11, 0.17, 0.22, 0.245, 0.26)):
+            rows.append((100 * k + 1 + j, " ".join([*words, *(f"v{rng.randrange(10**6)}" for _ in range(int(400 * part)))])))
+            rows.append((100 * k + 20 + j, " ".join(words[int(400 * part * 0.8) :])))
+    rng.shuffle(rows)
+    assert {r.doc_id for r in near_dedup.keep_one(table(rows)).collect()} == brute_kept(rows)
+    pairs = [r for k in range(12) for r in ((100 * k, 0), (100 * k + 5, 0))]
+    two = [(i, t) for i, t in rows if (i, 0) in pairs]
+    assert {r.doc_id for r in near_dedup.keep_one(table(two)).collect()} == {100 * k for k in range(12)}
