@@ -116,7 +116,8 @@ def ordered(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
     """``_row, ord, doc_id, text``: ``ord`` is a long that orders rows by id, null ids last, then by ``_row``.
 
     Whole ids in range that do not repeat are their own order. Others are ranked, which takes
-    one more shuffle of the texts.
+    one more shuffle of the texts; rows are stored with their numbers before anything is joined
+    by them.
     """
     kind = docs.schema[id_col].dataType.typeName()
     rows = numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -124,6 +125,7 @@ def ordered(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
         odd = F.col("doc_id").isNull() | (F.col("doc_id") < 0) | (F.col("doc_id") >= 1 << ORDER_BITS) | (F.col("n") > 1)
         if rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(odd).isEmpty():
             return rows.select("_row", F.col("doc_id").cast("long").alias("ord"), "doc_id", "text")
+    rows = stored(rows, "numbered")
     by = [F.col("doc_id").asc_nulls_last(), F.col("_row")]
     ranked = rows.select("_row", "doc_id").repartitionByRange(*by).sortWithinPartitions(*by).withColumn("m", F.monotonically_increasing_id())
     ranked = stored(ranked.select("_row", F.shiftright("m", 33).alias("part"), F.col("m").bitwiseAND((1 << 33) - 1).alias("k")), "ranks")
