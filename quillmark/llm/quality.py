@@ -58,6 +58,10 @@ class Quality:
     slope: float
     offset: float
 
+    def parts(self) -> tuple:
+        """Plain data for a broadcast, which carries no classes to executors without this package."""
+        return self.weights, self.bias, self.slope, self.offset
+
     def margin(self, present: np.ndarray) -> float:
         """Of indicators as booleans or as a list of those present."""
         chosen = self.weights[present]
@@ -165,11 +169,11 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
 
 def score(docs: DataFrame, model: Quality, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``_row, doc_id, score`` for each row; only the text counts. A null text is empty, an empty one has the bias' score."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = docs.sparkSession.sparkContext.broadcast(model.parts())
     schema, arrow = schemas(f"_row long, doc_id {docs.schema[id_col].dataType.simpleString()}, score double")
 
     def rate(batches):
-        model = shipped.value
+        model = Quality(*shipped.value)
         for batch in batches:
             found = [
                 model.score(indicators(data[a:b]))
@@ -186,10 +190,10 @@ def accepted(docs: DataFrame, model: Quality, least: float, text_col: str = "tex
 
     A null text is scored as an empty one; rows equal in text share their fate.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def choose(batches):
-        model = shipped.value
+        model = Quality(*shipped.value)
         for batch in batches:
             keep = [
                 model.score(indicators(data[a:b])) >= least
