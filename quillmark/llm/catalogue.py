@@ -7,10 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import read_table
-
-
-PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+from quillmark.llm.common import PIECE_MODEL, read_table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

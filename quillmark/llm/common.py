@@ -15,6 +15,8 @@ from quillmark.session import run_dir
 cloudpickle.register_pickle_by_value(quillmark)
 
 BLANKS = r"[\x20\x09-\x0D]+"
+# Where the SentencePiece model of queries and pipeline lies.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -38,29 +40,22 @@ def numbered(docs: DataFrame, *columns: Column, row_col: str | None = None) -> D
 
     Ids may repeat or be null, so rows get numbers of their own, those of ``row_col`` if it is
     given. Without it they hold for one scan: how files are dealt to partitions may change with
-    the cores. What joins rows of several scans by number needs ``pinned``.
+    the cores. What joins rows of several scans needs the result stored, or ``known_rows``.
     """
-    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    row = F.col(f"`{row_col}`") if row_col else F.monotonically_increasing_id()
     return docs.select(row.alias("_row"), *columns)
 
 
-def pinned(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The documents with a row number that is the same in each scan, and the number's column.
+def known_rows(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """The documents with a column that tells their rows apart in each scan, and its name.
 
-    Rows of Parquet files are numbered by file (in order of paths) and place in the file. All
-    other tables are written first.
+    Ids do if none is null or repeats. Otherwise the table is written once, with numbers as data.
     """
-    plan = docs._jdf.queryExecution().analyzed()
-    if plan.nodeName() != "LogicalRelation" or "parquet" not in plan.simpleString(25).lower():
-        docs = stored(docs, "documents")
+    counts = docs.select(F.col(id_col).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    if counts.where("id is null or n > 1").isEmpty():
+        return docs, id_col
     name = free_name(docs, "_at_row")
-    path, place, number = (free_name(docs, c) for c in ("_at_path", "_at_place", "_at_file"))
-    source = docs.metadataColumn("_metadata")
-    paths = sorted(r[0] for r in docs.select(source["file_path"].alias(path)).distinct().collect())
-    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), f"{number} long, {path} string")
-    rows = docs.select("*", source["file_path"].alias(path), source["row_index"].alias(place)).join(F.broadcast(files), path)
-    at = F.shiftleft(number, 40).bitwiseOR(F.col(place))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], at.alias(name)), name
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "documents"), name
 
 
 def schemas(ddl: str) -> tuple:
@@ -77,7 +72,8 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
-def only_rows(docs: DataFrame, row_col: str, rows: DataFrame, how: str) -> DataFrame:
-    """The ``pinned`` documents whose number is (``left_semi``) or is not (``left_anti``) in ``rows._row``, without the number."""
+def only_rows(docs: DataFrame, row_col: str, rows: DataFrame, how: str, columns: list[str]) -> DataFrame:
+    """The columns of ``known_rows`` documents whose row is (``left_semi``) or is not (``left_anti``) in ``rows._row``."""
     other = free_name(docs, "_other_row")
-    return docs.join(rows.select(F.col("_row").alias(other)), F.col(row_col) == F.col(other), how).drop(row_col)
+    some = docs.join(rows.select(F.col("_row").alias(other)), F.col(f"`{row_col}`") == F.col(other), how)
+    return some.select(*[F.col(f"`{c}`") for c in columns])

@@ -8,7 +8,8 @@ matrix. All phrases are searched backward together, a word per step, by ranks; o
 located by walking to sampled suffix positions; their spans are merged per document.
 
 Nothing is shuffled. Phrases go to the tasks in blocks of bounded size; a benchmark of more
-blocks is one more pass over the texts for each.
+blocks is one more pass over the texts for each. With one block, spans are cut out in the pass
+that finds them.
 """
 
 from __future__ import annotations
@@ -18,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import free_name, numbered, pinned, schemas, stored
+from quillmark.llm.common import free_name, known_rows, numbered, schemas, stored
 from quillmark.llm.words import byte_table, ragged, runs, slices, word_codes, word_spans
 
 WINDOW, SHARD_BYTES, SAMPLING, PHRASE_BYTES = 10, 24 << 20, 8, 8 << 20
@@ -34,6 +36,18 @@ SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61),
 class Phrases:
     """Distinct windows of some items: a matrix of word numbers, their lengths and their items."""
 
+    FIELDS = ("names", "vocabulary", "lengths", "words", "item_counts", "item_list", "item_starts", "shortest")
+
+    def parts(self) -> dict:
+        """Plain data for a broadcast, which carries no classes to executors without this package."""
+        return {f: getattr(self, f) for f in self.FIELDS}
+
+    @classmethod
+    def of(cls, parts: dict) -> Phrases:
+        made = cls.__new__(cls)
+        made.__dict__.update(parts)
+        return made
+
     def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
         table = byte_table(SEPARATORS, lower=True)
         codes = []
@@ -216,15 +230,23 @@ class Shard:
         return n_words, hits, items, spans
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, limit: int) -> Iterator[list[tuple[str, str]]]:
-    """Items in blocks of bounded size, one block on the driver at a time; null ids and texts have no words to give."""
-    rows = benchmark.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    rows = rows.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
-    blocks = max(1, -(-int(size) // limit))
-    for k in range(blocks):
-        part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k)
-        yield sorted((r["id"], r["text"]) for r in part.collect())
+class Blocks:
+    """Benchmark items in blocks of bounded size; null ids and texts have no words to give.
+
+    An item lies in the blocks of its texts, so an id with a third of all texts is dealt out, too.
+    """
+
+    def __init__(self, benchmark: DataFrame, id_col: str, text_col: str, limit: int):
+        rows = benchmark.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
+        self.rows = rows.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).distinct()
+        size = self.rows.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+        self.count = max(1, -(-int(size) // limit))
+
+    def __iter__(self) -> Iterator[list[tuple[str, str]]]:
+        """One block on the driver at a time."""
+        for k in range(self.count):
+            part = self.rows if self.count == 1 else self.rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(self.count)) == k)
+            yield sorted((r["id"], r["text"]) for r in part.collect())
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text_col: str = "text", phrase_bytes: int = PHRASE_BYTES, row_col: str | None = None) -> DataFrame:
@@ -236,14 +258,18 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     themselves; an empty benchmark gives no hits, an empty table no rows. Other columns are not
     read.
     """
+    blocks = Blocks(benchmark, item_col, item_text_col, phrase_bytes)
     narrow = numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_col=row_col)
-    schema, arrow = schemas(f"_row long, doc_id {docs.schema[id_col].dataType.simpleString()}, n_words long, n_hit long, items array<string>, spans {SPANS}")
+    if blocks.count > 1 and not row_col:
+        narrow = stored(narrow, "numbered")  # the blocks' findings meet by number
+    kinds = {c: narrow.schema[c].dataType.simpleString() for c in ("_row", "doc_id")}
+    schema, arrow = schemas(f"_row {kinds['_row']}, doc_id {kinds['doc_id']}, n_words long, n_hit long, items array<string>, spans {SPANS}")
     found, passes = None, 0
-    for block in _blocks(benchmark, item_col, item_text_col, phrase_bytes):
-        shipped = docs.sparkSession.sparkContext.broadcast(Phrases(block))
+    for block in blocks:
+        shipped = docs.sparkSession.sparkContext.broadcast(Phrases(block).parts())
 
         def search(batches, shipped=shipped):
-            phrases = shipped.value
+            phrases = Phrases.of(shipped.value)
             shard, held = Shard(phrases), []
 
             def flush():
@@ -301,6 +327,50 @@ def with_digest(found: DataFrame) -> DataFrame:
     )
 
 
+def _cut(raw: bytes, spans: list[tuple]) -> bytes:
+    """The bytes outside the spans."""
+    ends = [0, *(stop for _, _, _, stop in spans)]
+    starts = [*(start for _, _, start, _ in spans), len(raw)]
+    return b"".join(raw[a:b] for a, b in zip(ends, starts))
+
+
+def _cut_in_tasks(docs: DataFrame, phrases: Phrases, text_col: str) -> DataFrame:
+    """The documents with the spans cut out where they are found."""
+    shipped = docs.sparkSession.sparkContext.broadcast(phrases.parts())
+    schema = docs.schema
+
+    def run(batches):
+        shard, held = Shard(Phrases.of(shipped.value)), []
+
+        def flush():
+            spans, at = shard.result()[3], 0
+            for batch in held:
+                hit = {d - at: spans[d] for d in range(at, at + len(batch)) if d in spans}
+                at += len(batch)
+                if hit:
+                    k = batch.schema.get_field_index(text_col)
+                    texts = batch.column(k)
+                    kind = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()
+                    raw = texts.view(kind)  # a text may have bytes that are not UTF-8
+                    new = [_cut(raw[i].as_py(), hit[i]) if i in hit else None for i in range(len(batch))]
+                    mask = pa.array([i in hit for i in range(len(batch))])
+                    columns = list(batch.columns)
+                    columns[k] = pc.if_else(mask, pa.array(new, kind), raw).view(texts.type)
+                    batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+                yield batch
+            shard.clear()
+            held.clear()
+
+        for batch in batches:
+            shard.add(batch.column(batch.schema.get_field_index(text_col)))
+            held.append(batch)
+            if shard.bytes >= SHARD_BYTES:
+                yield from flush()
+        yield from flush()
+
+    return docs.mapInArrow(run, schema)
+
+
 def without_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text_col: str = "text", phrase_bytes: int = PHRASE_BYTES) -> DataFrame:
     """The documents, all columns, without the bytes of merged hit spans.
 
@@ -308,11 +378,14 @@ def without_passages(docs: DataFrame, benchmark: DataFrame, text_col: str = "tex
     Other columns may have any names and values.
     """
     columns = docs.columns
-    docs, at = pinned(docs)
+    blocks = Blocks(benchmark, item_col, item_text_col, phrase_bytes)
+    if blocks.count == 1:
+        return _cut_in_tasks(docs, Phrases(next(iter(blocks))), text_col)
+    docs, at = known_rows(docs, id_col)
     found = stored(find_passages(docs, benchmark, text_col, id_col, item_col, item_text_col, phrase_bytes, at).where("n_hit > 0").select("_row", "spans"), "spans")
     hit_row, hit = (free_name(docs, c) for c in ("_hit_row", "_hit_spans"))
     found = found.select(F.col("_row").alias(hit_row), F.col("spans").alias(hit))
-    rows = docs.join(found, F.col(at) == F.col(hit_row), "left")
+    rows = docs.join(found, F.col(f"`{at}`") == F.col(hit_row), "left")
     raw, spans = F.col(text_col).cast("binary"), F.col(hit)
     # The parts between spans: from the end of one to the start of the next.
     starts = F.concat(F.array(F.lit(0).cast("long")), spans["stop"])

@@ -16,7 +16,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import BLANKS, numbered, only_rows, pinned, stored, whole_text
+from quillmark.llm.common import BLANKS, known_rows, numbered, only_rows, stored, whole_text
 
 BLOCK_BYTES = 4096
 
@@ -85,7 +85,7 @@ def exact_dedup(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     Texts are equal if identical after each run of ASCII blanks became one space. A null text
     counts as empty. The row with the smallest id stays; null ids come last, rows that share the
     smallest id are told apart by ``_row`` and one of them stays. An empty table gives no rows.
-    Other input columns are not read. ``row_col`` is the number of ``pinned`` documents.
+    Other input columns are not read. ``row_col`` tells the rows of ``known_rows`` documents apart.
     """
     named = stored(document_names(docs, text_col, id_col, block_bytes, row_col), "identities")
     first = F.min(F.struct(F.col("_id").isNull().alias("absent"), F.col("_id").alias("id"), F.col("_row").alias("row")))
@@ -103,5 +103,6 @@ def keep_first(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     Which row of a group stays is as in ``exact_dedup``; all null and empty texts are one group,
     of rows equal in id and text one stays. Other columns may have any names and values.
     """
-    docs, row = pinned(docs)
-    return only_rows(docs, row, exact_dedup(docs, text_col, id_col, row_col=row).where("kept"), "left_semi")
+    columns = docs.columns
+    docs, row = known_rows(docs, id_col)
+    return only_rows(docs, row, exact_dedup(docs, text_col, id_col, row_col=row).where("kept"), "left_semi", columns)

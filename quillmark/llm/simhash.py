@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.common import numbered, schemas, stored
+from quillmark.llm.common import known_rows, numbered, only_rows, schemas, stored
 
 SHINGLE, SEED, BUCKET = 3, 42, 16_384
 
@@ -50,10 +50,10 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(bits.view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = SHINGLE) -> DataFrame:
+def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = SHINGLE, row_col: str | None = None) -> DataFrame:
     """``_row, doc_id, fingerprint`` (a long) for each row; no words, fingerprint 0."""
-    narrow = numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    schema, arrow = schemas(f"_row long, doc_id {docs.schema[id_col].dataType.simpleString()}, fingerprint long")
+    narrow = numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), row_col=row_col)
+    schema, arrow = schemas(f"_row {narrow.schema['_row'].dataType.simpleString()}, doc_id {narrow.schema['doc_id'].dataType.simpleString()}, fingerprint long")
 
     def make(batches):
         for batch in batches:
@@ -125,22 +125,38 @@ def components(pairs: DataFrame) -> DataFrame:
             return roots
 
 
-def near_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
-    """``_row, doc_id, fingerprint`` (hex), ``component_id`` for each row.
+def near_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = SHINGLE, bucket: int = BUCKET, row_col: str | None = None) -> DataFrame:
+    """``_row, doc_id, fingerprint`` (hex), ``component_id, kept`` for each row.
 
     Fingerprints link at two or fewer differing bits; the component's id is the smallest id
-    reachable, its own included. Null texts have no words; texts without words have fingerprint
-    zero and link like any other. Null ids do not name a component unless all its ids are null.
-    Repeated rows are rows like any other; an empty table gives no rows; other columns are not read.
+    reachable, its own included, and one row of that id is ``kept``. Null texts have no words;
+    texts without words have fingerprint zero and link like any other. Null ids do not name a
+    component unless all its ids are null. Repeated rows are rows like any other; an empty table
+    gives no rows; other columns are not read. ``row_col`` tells the rows of ``known_rows``
+    documents apart.
     """
-    rows = stored(fingerprints(docs, text_col, id_col, width), "fingerprints")
-    distinct = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    rows = stored(fingerprints(docs, text_col, id_col, width, row_col), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "_row"))
+    distinct = stored(rows.groupBy("fingerprint").agg(first.alias("first")), "distinct-fingerprints")
     pairs = stored(links(distinct.select("fingerprint"), bucket), "links")
     roots = components(pairs).withColumnRenamed("node", "fingerprint")
     rooted = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     rooted = stored(rooted, "rooted")
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stored(rooted.join(named, "root").select("fingerprint", "component_id"), "components")
+    named = rooted.groupBy("root").agg(F.min("first").alias("stays"))
+    named = stored(rooted.join(named, "root").select("fingerprint", "stays"), "components")
     return rows.join(named, "fingerprint").select(
-        "_row", "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
-    )
+        "_row", "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        F.col("stays.doc_id").alias("component_id"), (F.col("_row") == F.col("stays._row")).alias("kept"),
+    )
+
+
+def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
+    """The documents with one of each component, all columns: the row with the smallest id.
+
+    Null, empty and blank texts are one component. Null ids come last; of repeated rows one
+    stays. Other columns may have any names and values; an empty table stays empty.
+    """
+    columns = docs.columns
+    docs, row = known_rows(docs, id_col)
+    gone = near_groups(docs, text_col, id_col, width, bucket, row).where(~F.col("kept"))
+    return only_rows(docs, row, stored(gone.select("_row"), "gone"), "left_anti", columns)

@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import decontamination, exact_dedup, near_dedup, pieces, quality
-from quillmark.llm.common import read_table
+from quillmark.llm import decontamination, exact_dedup, pieces, quality, simhash
+from quillmark.llm.common import PIECE_MODEL, read_table
 
 REJECT_BELOW = 0.3
-PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +27,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts."""
-    return near_dedup.keep_one(docs)
+    """One document of each component of SimHash fingerprints."""
+    return simhash.keep_one(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

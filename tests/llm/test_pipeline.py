@@ -2,9 +2,11 @@
 
 import random
 
+import pytest
+
 import __spark_entry__
 import corpus_pipeline
-from quillmark.llm import catalogue, decontamination, exact_dedup, near_dedup
+from quillmark.llm import catalogue, decontamination, exact_dedup, simhash
 
 
 def test_stages_take_effect(spark, prose, folder):
@@ -12,9 +14,9 @@ def test_stages_take_effect(spark, prose, folder):
     junk = lambda k: " | ".join(w.upper() + "!!" for w in prose(k, 40).split())
     rows = [(k, prose(3000 + k, 60)) for k in range(200)] + [(1000 + k, junk(k)) for k in range(60)]
     labels = [(i, int(i < 1000), 0) for i, _ in rows if rng.random() < 0.8]
-    base = prose(1, 200)
+    base = prose(1, 3000)
     passage = prose(2, 40)
-    rows += [(2000, base), (2001, base.replace(" ", "  ")), (2002, base.rsplit(" ", 1)[0] + " otherly"), (2003, f"{prose(3, 30)} {passage} {prose(4, 30)}"), (2004, junk(999)), (2005, None)]
+    rows += [(2000, base), (2001, base.replace(" ", "  ")), (2002, base.replace(" ", " ", 1) + " otherly"), (2003, f"{prose(3, 30)} {passage} {prose(4, 30)}"), (2004, junk(999)), (2005, None)]
     docs = spark.createDataFrame([(i, t, "en", "src0", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
@@ -45,19 +47,23 @@ def test_contract_names():
     assert set(catalogue.all_sql()) <= set(__spark_entry__.oracle_sql()) <= names
 
 
-def test_numbers_hold_when_files_are_dealt_anew(spark, prose, folder):
-    """The result is read with other partitions than the search."""
+@pytest.mark.parametrize("repeated", [False, True])
+def test_rows_hold_when_files_are_dealt_anew(spark, prose, folder, repeated):
+    """The result is read with other partitions than the search, with ids of each kind."""
     rows = [(k, prose(k, 40)) for k in range(200)] + [(1000 + k, prose(k, 40)) for k in range(0, 200, 2)]
+    rows += [(5, prose(5, 40)), (None, prose(9, 40)), (None, prose(777, 40))] if repeated else []
     random.Random(6).shuffle(rows)
     spark.createDataFrame(rows, "doc_id long, text string").repartition(8).write.parquet(f"{folder}/rows")
-    spark.createDataFrame([(1, prose(7, 40))], "item_id long, text string").write.parquet(f"{folder}/benchmark")
+    spark.createDataFrame([(1, prose(7, 40)), (1, prose(7000, 40))], "item_id long, text string").write.parquet(f"{folder}/benchmark")
     docs, benchmark = spark.read.parquet(f"{folder}/rows"), spark.read.parquet(f"{folder}/benchmark")
-    results = [exact_dedup.keep_first(docs), near_dedup.keep_one(docs), decontamination.without_passages(docs, benchmark)]
+    cut_apart = decontamination.without_passages(docs, benchmark, phrase_bytes=300)
+    results = [exact_dedup.keep_first(docs), simhash.keep_one(docs), decontamination.without_passages(docs, benchmark), cut_apart]
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
     try:
-        exact, near, cut = [{r.doc_id: r.text for r in x.collect()} for x in results]
+        exact, near, cut, cut_too = [sorted(((r.doc_id or -1, r.text) for r in x.collect())) for x in results]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert exact.keys() == near.keys() == set(range(200))
-    assert {i for i, t in cut.items() if not t} == {7} and len(cut) == 300
+    want = [(-1, prose(777, 40))] * repeated + [(k or -1, prose(k, 40)) for k in range(200)]
+    assert exact == near == sorted(want)
+    assert {i for i, t in cut if not t} == {7} and cut == cut_too and len(cut) == len(rows)

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from quillmark.llm import near_dedup, simhash
+from quillmark.llm import simhash
 from quillmark.llm.anchors import gram_hashes, owners
 from quillmark.llm.substring_dedup import factors, substring_dedup
 from quillmark.llm.suffix_dedup import run_classes, suffix_array, suffix_dedup
@@ -45,7 +45,7 @@ def test_substring_dedup(table, prose, crowd):
                 hit[a : a + 20] = [True] * 20
             seen.add(window)
         want[(rows[k][0], len(words), sum(hit), " ".join(w for w, h in zip(words, hit) if not h).encode())] += 1
-    got = substring_dedup(table(rows).repartition(1), crowd=crowd).collect()
+    got = substring_dedup(table(rows), crowd=crowd).collect()
     ids_once = lambda c: Counter({x: n for x, n in c.items() if x[0] is not None and x[0] != 36})  # noqa: E731 - rows of one id have no order of their own
     have = Counter((r.doc_id, r.n_symbols, r.n_removed, bytes(r.kept)) for r in got)
     assert ids_once(have) == ids_once(want)
@@ -149,61 +149,57 @@ def test_simhash_groups(table, prose, bucket):
     assert len({r.component_id for r in got}) < len(set(prints))
 
 
-@pytest.mark.parametrize("chunk", [1024, 4])
-def test_similar_groups(table, prose, chunk):
-    def edited(number, base, edits):
-        rng, words = random.Random(number), base.split()
-        for _ in range(edits):
-            words[rng.randrange(len(words))] = f"new{rng.random()}"
-        return " ".join(words)
-
-    base = prose(7, 300)
-    rows = [(k, edited(k, base, 3)) for k in range(1, 30)] + [(90, base)] + [(200 + k, prose(200 + k, 80)) for k in range(30)] + [(300, None), (301, " "), (302, "one"), (303, "one")]
+def test_one_of_each_component_stays(table, prose):
+    rows = copies(prose) + [(500 + k, prose(1, 400) + f" w{k}") for k in range(10)]
     docs = table(rows)
-    shingles = {i: {tuple(w[a : a + 5]) for w in [(t or "").lower().split()] for a in range(max(1, len(w) - 4)) if w} for i, t in rows}
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = simhash.near_groups(docs).collect()
+    first = {}
+    for i, t in rows:
+        group = next(r.component_id for r in got if r.doc_id == i and r.fingerprint == f"{brute_fingerprint(t):016x}")
+        first.setdefault(group, []).append(-1 if i is None else i)
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect()) == sorted(min(x for x in g if x >= 0) if max(g) >= 0 else -1 for g in first.values())
 
-    def alike(a, b):
-        x, y = shingles[a], shingles[b]
-        return len(x & y) >= 0.8 * len(x | y)
 
-    root = components(sorted(shingles), alike)
-    kept = {r.doc_id for r in near_dedup.keep_one(docs, "text").collect()}
-    assert kept == set(root.values())
-    assert near_dedup.keep_one(docs).columns == docs.columns
+def test_long_text_has_a_fingerprint(table):
+    long = " ".join(f"w{k % 977}" for k in range(400_000))
+    got = simhash.near_groups(table([(1, long), (2, long + " x"), (3, "short")])).collect()
+    assert {r.doc_id: r.fingerprint for r in got}[1] == f"{brute_fingerprint(long):016x}"
+    assert [r.component_id for r in sorted(got, key=lambda r: r.doc_id)][:2] == [1, 1]
 
 
 def test_groups_of_nothing(table):
     assert simhash.near_groups(table([])).count() == 0
-    assert near_dedup.keep_one(table([])).count() == 0
-
-
-def brute_kept(rows):
-    """The smallest id of each component of texts at a Jaccard similarity of 0.8."""
-    shingles = {i: {tuple(w[a : a + 5]) for w in [(t or "").lower().split()] for a in range(max(1, len(w) - 4)) if w} for i, t in rows}
-    return set(components(sorted(shingles), lambda a, b: len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])).values())
-
-
-def test_similar_reordered_texts(table):
-    """The same words in other order, each with a copy that has one word replaced."""
-    rng, words, rows = random.Random(5), [f"w{k}" for k in range(120)], []
-    for k in range(80):
-        rng.shuffle(words)
-        rows += [(k, " ".join(words)), (1000 + k, " ".join([*words[:60], f"new{k}", *words[61:]]))]
-    got = {r.doc_id for r in near_dedup.keep_one(table(rows)).collect()}
-    assert got == brute_kept(rows) == set(range(80))
-
-
-def test_similar_grown_and_cut_texts(table):
-    """Copies with words added or cut off at one end, from a similarity of 0.95 down to 0.80 and below."""
-    rng, rows = random.Random(8), []
-    for k in range(12):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
-        rows.append((100 * k, " ".join(words)))
-        for j, part in enumerate((0.05, 0.11, 0.17, 0.22, 0.245, 0.26)):
-            rows.append((100 * k + 1 + j, " ".join([*words, *(f"v{rng.randrange(10**6)}" for _ in range(int(400 * part)))])))
-            rows.append((100 * k + 20 + j, " ".join(words[int(400 * part * 0.8) :])))
-    rng.shuffle(rows)
-    assert {r.doc_id for r in near_dedup.keep_one(table(rows)).collect()} == brute_kept(rows)
-    pairs = [r for k in range(12) for r in ((100 * k, 0), (100 * k + 5, 0))]
-    two = [(i, t) for i, t in rows if (i, 0) in pairs]
-    assert {r.doc_id for r in near_dedup.keep_one(table(two)).collect()} == {100 * k for k in range(12)}
+    assert simhash.keep_one(table([])).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["string", "repeated"])
+def test_no_row_is_lost_without_plain_ids(spark, prose, kind):
+    """A table of over 20 MB dealt by its ids, of which some are null or repeated."""
+    rng = random.Random(11)
+    shared = [prose(9000 + k, 30) for k in range(40)]
+    vocabulary = [f"{w}{k}" for k in range(300) for w in ("river", "mill", "grain", "bread", "sack")]
+    texts = [" ".join(rng.choices(vocabulary, k=1600)) + " " + rng.choice(shared) for _ in range(2000)]
+    number = [None if k < 5 else 7 if k < 9 else k for k in range(2000)]
+    ids = [None if n is None else f"d{n:05d}" for n in number] if kind == "string" else number
+    rows = list(zip(ids, texts))
+    docs = spark.createDataFrame(rows, f"doc_id {'string' if kind == 'string' else 'long'}, text string").repartition(32, "doc_id")
+    got = substring_dedup(docs).collect()
+    assert len(got) == len(rows)
+    seen, total = set(), Counter()
+    for k in sorted(range(2000), key=lambda k: (ids[k] is None, ids[k] or 0, k)):
+        words, hit = texts[k].split(), set()
+        for a in range(len(words) - 19):
+            window = hash(tuple(words[a : a + 20]))
+            if window in seen:
+                hit.update(range(a, a + 20))
+            seen.add(window)
+        total[ids[k]] += len(hit)
+    have = Counter()
+    for r in got:
+        have[r.doc_id] += r.n_removed
+    once = [i for i in have if i is not None and i not in (7, "d00007")]
+    assert {i: have[i] for i in once} == {i: total[i] for i in once} and have.total() == total.total()
+    bytes_left = suffix_dedup(docs).select("doc_id", "n_symbols").collect()
+    assert Counter((r.doc_id, r.n_symbols) for r in bytes_left) == Counter((i, len(t.encode())) for i, t in rows)
