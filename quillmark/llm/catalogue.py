@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import PIECE_MODEL, read_table
+from quillmark.llm.oracle import OP11_SQL, OP12_SQL, OP13_SQL
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +78,26 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read_table(spark, sf_dir, "documents")).drop("_row")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmark.llm.prefix_trie import rebuilt, trie, turn_rows
+
+    return trie(rebuilt(turn_rows(read_table(spark, sf_dir, "conversations"))))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmark.llm.spelling import MUTATE, spelling_variants
+
+    return spelling_variants(read_table(spark, sf_dir, "documents"), mutate=MUTATE)
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillmark.llm.mixing import Mix
+
+    return Mix(read_table(spark, sf_dir, "documents")).documents().drop("_row", "source")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_language_id, op3_suffix_array_dedup, op4_substring_dedup, op5_sentencepiece, op6_simhash, op7_decontamination, op8_quality, op9_license_scan, op10_sharding)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_language_id, op3_suffix_array_dedup, op4_substring_dedup, op5_sentencepiece, op6_simhash, op7_decontamination, op8_quality, op9_license_scan, op10_sharding, op11_prefix_trie, op12_spelling, op13_mixing)}
 
 
 OP1_SQL = r"""
@@ -130,4 +149,4 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 def all_sql() -> dict[str, str]:
     from quillmark.llm.licenses import scan_sql
 
-    return {"op1_exact_dedup": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op7_decontamination": OP7_SQL, "op9_license_scan": scan_sql()}
+    return {"op1_exact_dedup": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op7_decontamination": OP7_SQL, "op9_license_scan": scan_sql(), "op11_prefix_trie": OP11_SQL, "op12_spelling": OP12_SQL, "op13_mixing": OP13_SQL}

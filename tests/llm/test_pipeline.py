@@ -43,7 +43,7 @@ def test_stages_take_effect(spark, prose, folder):
 
 def test_contract_names():
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in catalogue.all_queries()} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in catalogue.all_queries()} == {f"op{k}" for k in range(1, 14)}
     assert set(catalogue.all_sql()) <= set(__spark_entry__.oracle_sql()) <= names
 
 
