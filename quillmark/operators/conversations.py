@@ -11,6 +11,8 @@ Turn numbers have to be unique in a conversation; ``repeated_turns`` finds those
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from quillmark.functions.fixed_values import STOP_PHRASES
 
 SEGMENT_TURNS = 256
 BROADCAST_ROWS = 100_000
+SKETCHED = 16_384
 
 
 def segment_of(turn: Column, size: int = SEGMENT_TURNS) -> Column:
@@ -120,6 +123,39 @@ def most_common_contents(turns: DataFrame, content: Column, k: int = 50) -> Data
     return texts.select(F.lower(F.hex("digest")).alias("digest"), "content", "n")
 
 
+def sketched_counts(digests: DataFrame, tracked: int, fan: int = 64) -> DataFrame:
+    """``digest`` of up to ``tracked`` candidates for the most frequent ones, out of mergeable sketches.
+
+    A sketch for each task, merged by ``fan`` tasks and then by one: what is shuffled and what is
+    held is bounded by sketches, however many different digests there are.
+    """
+    dealt = digests.select("digest", F.pmod(F.spark_partition_id(), F.lit(fan)).alias("part"))
+    some = dealt.groupBy("part").agg(F.expr(f"approx_top_k_accumulate(digest, {tracked})").alias("sketch"))
+    one = some.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+    return one.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {tracked})")).alias("item")).select(F.col("item.item").alias("digest"))
+
+
+def frequent_contents(turns: DataFrame, content: Column, k: int = 50, tracked: int = SKETCHED) -> DataFrame:
+    """``most_common_contents`` without a shuffle of all digests, if a few contents are frequent.
+
+    A sketch names candidates, which alone are counted exactly. Its error is at most 3.5 over
+    the size of its map, as a share of all rows, and what it does not name has a count of twice that at most. If the
+    last of the ``k`` has more, no other content can be among them; else all are counted.
+    """
+    keyed = turns.select(content.alias("content")).where(F.col("content").isNotNull())
+    digests = keyed.select(F.md5("content").alias("digest"))
+    candidates = sketched_counts(digests, tracked)
+    counted = digests.join(F.broadcast(candidates), "digest", "left_semi").groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    top = counted.orderBy(F.desc("n"), "digest").limit(k).collect()  # k rows
+    map_size = 1 << math.ceil(math.log2(math.ceil(tracked / 0.75)))
+    unnamed = 2 * 3.5 / map_size * digests.count()
+    if len(top) < k or top[-1]["n"] <= unnamed:
+        return most_common_contents(turns, content, k)
+    winners = F.broadcast(turns.sparkSession.createDataFrame([(r["digest"], r["n"]) for r in top], "digest string, n long"))
+    texts = keyed.withColumn("digest", F.md5("content")).join(winners, "digest")
+    return texts.select("digest", "n", "content").distinct().select("digest", "content", "n")
+
+
 def filter_counts(verdicts: DataFrame, by: str) -> DataFrame:
     """Conversations before and after the usefulness filter."""
     return verdicts.groupBy(by).agg(

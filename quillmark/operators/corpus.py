@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions import fixed_values as V
 from quillmark.functions.text import clean_text, has_any, split_words
+from quillmark.operators.inference import TokenBudget
 
 _MANY_CHUNKS = 32
 
@@ -89,6 +90,17 @@ def truncate_words(text: Column, budget: int) -> Column:
     return F.array_join(F.slice(split_words(text, budget + 1), 1, budget), " ")
 
 
+def within(text: Column, budget: int | TokenBudget | None) -> tuple[Column, TokenBudget | None]:
+    """What a plan puts into its prompt, and the budget that is left to the model hook.
+
+    A number cuts the text to so many words before the prompt is built; a budget in tokens is
+    for the whole prompt, which only a tokenizer can cut.
+    """
+    if isinstance(budget, int):
+        return truncate_words(text, budget), None
+    return text, budget
+
+
 def truncate_tokens(tokens: Column, budget: int) -> Column:
     """First ``budget`` tokens of a tokenizer's output."""
     return F.slice(tokens, 1, budget)

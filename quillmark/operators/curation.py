@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,20 +14,69 @@ PAIR = "array<struct<question: string, answer: string>>"
 RATED_PAIR = "array<struct<question: string, answer: string, rating: string>>"
 
 
+LEVELS = 8
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def _object_pattern(levels: int) -> str:
+    """A whole JSON object with objects in it, ``levels`` deep; braces in strings do not count."""
+    body = rf"[^{{}}\"]++|{_STRING}"
+    found = rf"\{{(?:{body})*+\}}"
+    for _ in range(levels - 1):
+        found = rf"\{{(?:{body}|{found})*+\}}"
+    return found
+
+
+def complete_objects(reply: Column, levels: int = LEVELS) -> Column:
+    """The complete objects at the top level of the first array of objects in a reply, in order, as texts.
+
+    The array need not end. The scan stops at the first object that does not end, or that is
+    more than ``levels`` deep, so nothing inside a broken object is taken for one. Each match starts where the
+    one before ended and nothing is given back, so the scan is linear in the reply. A null reply has none.
+    """
+    array = F.regexp_extract(reply, r"(?s)\A.*?(\[\s*+\{.*)", 1)
+    pattern = rf"(?s)\G(?:[^{{\"]++|{_STRING})*+({_object_pattern(levels)})"
+    return F.regexp_extract_all(F.coalesce(array, F.lit("")), F.lit(pattern), F.lit(1))
+
+
 def parse_array(reply: Column, schema: str) -> Column:
     """The JSON array inside a reply, from the first ``[`` to the last ``]``; null if unreadable."""
     array = F.regexp_extract(reply, r"(?s)\A[^\[]*+(\[.*\])", 1)
     return F.from_json(F.nullif(array, F.lit("")), schema)
 
 
+def salvaged(reply: Column, schema: str) -> Column:
+    """What is complete in a reply whose array is not readable: its objects that have all fields; null if there is none."""
+    struct = schema.removeprefix("array<").removesuffix(">")
+    fields = [f.split(":")[0].strip() for f in struct.removeprefix("struct<").removesuffix(">").split(",")]
+    read = F.transform(complete_objects(reply), lambda o: F.from_json(o, struct))
+
+    kept = F.filter(read, lambda o: reduce(and_, [o[f].isNotNull() for f in fields]))
+    return F.when(F.size(kept) > 0, kept)
+
+
+def _read_or_salvaged(reply: Column, schema: str) -> Column:
+    array = parse_array(reply, schema)
+    return F.coalesce(array, salvaged(reply, schema))
+
+
 def parse_pairs(reply: Column) -> Column:
-    return parse_array(reply, PAIR)
+    """Pairs of a reply; of one that is cut off or broken, those that are complete."""
+    return _read_or_salvaged(reply, PAIR)
+
+
+def with_pairs(replies: DataFrame, reply: str, pairs_col: str = "pairs", salvaged_col: str = "n_salvaged") -> DataFrame:
+    """Replies with their pairs and how many of them come out of an array that is not readable."""
+    read = replies.withColumn("_array", parse_array(F.col(reply), PAIR))
+    read = read.withColumn(pairs_col, F.coalesce("_array", salvaged(F.col(reply), PAIR)))
+    rescued = F.when(F.col("_array").isNull() & F.col(pairs_col).isNotNull(), F.size(pairs_col)).otherwise(0)
+    return read.withColumn(salvaged_col, rescued).drop("_array")
 
 
 def parse_ratings(reply: Column) -> Column:
-    """Rated pairs; a rating may be a number or a quoted number."""
+    """Rated pairs, complete ones of a broken reply; a rating may be a number or a quoted number."""
     return F.transform(
-        parse_array(reply, RATED_PAIR),
+        _read_or_salvaged(reply, RATED_PAIR),
         lambda p: F.struct(
             p["question"].alias("question"), p["answer"].alias("answer"), p["rating"].try_cast("double").alias("rating")
         ),
@@ -45,14 +97,16 @@ def attach_ratings(pairs: Column, rated: Column) -> Column:
     """The pairs that were sent, each with its rating: by question where the reply repeats it, else by place.
 
     A pair is never lost: without a rating in the reply, or without a readable reply, it is null.
-    Pairs that the reply adds or repeats are not taken over.
+    Pairs that the reply adds or repeats are not taken over. Of sent pairs with one question, the
+    first takes the first rating of that question, the second the second.
     """
 
     def rating(p: Column, i: Column) -> Column:
         echoed = F.filter(rated, lambda r: r["question"] == p["question"])
+        same_before = F.size(F.filter(F.slice(pairs, F.lit(1), i), lambda s: s["question"] == p["question"]))
         at_place = F.try_element_at(rated, i + 1)
         placed = F.when(at_place["question"].isNull(), at_place["rating"])
-        return F.when(F.size(echoed) > 0, F.try_element_at(echoed, F.lit(1))["rating"]).otherwise(placed)
+        return F.when(F.size(echoed) > 0, F.try_element_at(echoed, same_before + 1)["rating"]).otherwise(placed)
 
     return F.transform(
         pairs, lambda p, i: F.struct(p["question"].alias("question"), p["answer"].alias("answer"), rating(p, i).alias("rating"))

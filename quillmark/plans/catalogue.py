@@ -163,14 +163,14 @@ def generate_answers(spark, sf_dir):
 def reference_logprobs(spark, sf_dir):
     rows = fixtures.qa_results(spark, sf_dir).select("id", "question", "expected_answer")
     prompted = rows.withColumn("prompt", prompts.answer_prompt(F.col("question")))
-    scored = knowledge.score_references(prompted, standins.word_logprobs, workers(spark))
+    scored = knowledge.score_references(prompted, standins.word_logprobs, partitions=workers(spark))
     return scored.select("id", evaluation.rounded(F.col("perplexity")).alias("perplexity"))
 
 
 @query
 def embed_and_compare(spark, sf_dir):
     rows = fixtures.qa_results(spark, sf_dir).select("id", "expected_answer", "generated_answer")
-    compared = knowledge.compare_embeddings(rows, standins.letter_counts, workers(spark))
+    compared = knowledge.compare_embeddings(rows, standins.letter_counts, partitions=workers(spark))
     return compared.select("id", evaluation.rounded(F.col("semantic_similarity")).alias("similarity"))
 
 
@@ -181,7 +181,33 @@ def knowledge_evaluation(spark, sf_dir):
         standins.parrot, standins.word_logprobs, standins.letter_counts, standins.coin_verdict
     )
     results = knowledge.evaluate(rows, models, run_dir(spark, "knowledge"), SYSTEM_TEXT, 0.7, partitions=workers(spark))
-    return knowledge.report(results)
+    return knowledge.report(results.data)
+
+
+def _moody_models() -> knowledge.Models:
+    """Generator and judge fail on some rows."""
+    return knowledge.Models(standins.moody_parrot, standins.word_logprobs, standins.letter_counts, standins.moody_verdict)
+
+
+@query
+def evaluation_with_failures(spark, sf_dir):
+    """Rows that fail in a stage keep their message and have no verdicts; in parts, of which the second run finds some done."""
+    rows = fixtures.qa_results(spark, sf_dir).select("id", "question", "expected_answer", "difficulty")
+    path = run_dir(spark, "failures")
+
+    def run(some: DataFrame) -> DataFrame:
+        return knowledge.evaluate(some, _moody_models(), path, SYSTEM_TEXT, 0.7, parts=1, error_col="error", partitions=workers(spark)).data
+
+    run(rows.where("id % 3 = 0"))
+    return run(rows).select("id", "is_correct_keyword", "is_correct_semantic", "is_correct_ai_eval", "error")
+
+
+@query
+def evaluation_counts(spark, sf_dir):
+    """What each stage counted while it was written."""
+    rows = fixtures.qa_results(spark, sf_dir).select("id", "question", "expected_answer", "difficulty")
+    path = run_dir(spark, "counted")
+    return knowledge.evaluate(rows, _moody_models(), path, SYSTEM_TEXT, 0.7, partitions=workers(spark), error_col="error").counts
 
 
 # --- corpus -----------------------------------------------------------------
@@ -244,6 +270,14 @@ def token_budget(spark, sf_dir):
     return rows.select("vec_id", F.size("kept").alias("n_kept"), F.array_join(F.transform("kept", lambda x: x.cast("string")), ",").alias("kept"))
 
 
+@query
+def tokenizer_budget(spark, sf_dir):
+    """Documents cut by a tokenizer whose tokens are not words."""
+    docs = fixtures.table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = inference.cut_tokens(docs, "text", inference.TokenBudget(64, standins.short_pieces), "kept", "n_tokens")
+    return cut.select("doc_id", "n_tokens", _md5("kept"))
+
+
 @query
 def category_closure(spark, sf_dir):
     return categories.category_pages(fixtures.edges(spark, sf_dir), [SEED_CATEGORY], max_depth=3)
@@ -314,6 +348,13 @@ def content_top50(spark, sf_dir):
     return top.select("digest", F.length("content").alias("n_chars"), "n")
 
 
+@query
+def content_top50_sketched(spark, sf_dir):
+    rows = fixtures.turns(spark, sf_dir)
+    top = conversations.frequent_contents(rows, F.col("content"), 50)
+    return top.select("digest", F.length("content").alias("n_chars"), "n")
+
+
 @query
 def train_eval_split(spark, sf_dir):
     ids = fixtures.turns(spark, sf_dir).select("conv_id").distinct()
@@ -365,7 +406,7 @@ def conversation_synthesis(spark, sf_dir):
         blocked=BLOCKED,
         partitions=workers(spark),
     )
-    return ready.select("conv_id", "split", _roles(), _contents())
+    return ready.data.select("conv_id", "split", _roles(), _contents())
 
 
 # --- question-answer pairs --------------------------------------------------
@@ -375,7 +416,7 @@ def conversation_synthesis(spark, sf_dir):
 def qa_generate_curate(spark, sf_dir):
     chunks = corpus.chunk_text(fixtures.table(spark, sf_dir, "documents"), "text", ["doc_id"])
     keep = ["doc_id", "chunk_no"]
-    written = synthesis.write_pairs(chunks, keep, standins.pair_writer, workers(spark))
+    written = synthesis.write_pairs(chunks, keep, standins.pair_writer, partitions=workers(spark))
     kept = curation.keep_rated(synthesis.rate_pairs(written, keep, standins.pair_rater))
     return kept.select(*keep, "pair_no", _md5("question"), _md5("answer"), "rating")
 
@@ -385,12 +426,30 @@ def curation_counts(spark, sf_dir):
     chunks = corpus.chunk_text(fixtures.table(spark, sf_dir, "documents"), "text", ["doc_id"])
     keep = ["doc_id", "chunk_no"]
     path = run_dir(spark, "curation")
-    written = inference.materialize(synthesis.write_pairs(chunks, keep, standins.pair_writer, workers(spark)), f"{path}/pairs")
+    written = inference.materialize(synthesis.write_pairs(chunks, keep, standins.pair_writer, partitions=workers(spark)), f"{path}/pairs")
     groups = inference.materialize(synthesis.rate_groups(written, keep, standins.pair_rater), f"{path}/ratings")
     counts = curation.curation_counts(synthesis.rated_pairs(groups, keep))
     return curation.in_one_row(counts, curation.reply_counts(written, groups))
 
 
+@query
+def salvaged_pairs(spark, sf_dir):
+    """Pairs of replies that end somewhere within a pair."""
+    chunks = corpus.chunk_text(fixtures.table(spark, sf_dir, "documents"), "text", ["doc_id"])
+    keep = ["doc_id", "chunk_no"]
+    written = synthesis.write_pairs(chunks, keep, standins.cut_off_writer, partitions=workers(spark), error_col="error")
+    questions = F.md5(F.array_join("pairs.question", "|")).alias("questions_md5")
+    return written.select(*keep, F.size("pairs").alias("n_pairs"), "n_salvaged", questions, "error")
+
+
+@query
+def synthesis_counts(spark, sf_dir):
+    """What became of all chunks and pairs when writer and rater fail and break off, counted by the writing jobs."""
+    chunks = corpus.chunk_text(fixtures.table(spark, sf_dir, "documents"), "text", ["doc_id"])
+    path, keep = run_dir(spark, "counted"), ["doc_id", "chunk_no"]
+    return synthesis.curated(chunks, keep, standins.cut_off_writer, standins.moody_rater, path, partitions=workers(spark), error_col="error").counts
+
+
 @query
 def json_pairs(spark, sf_dir):
     """Replies with a reading, a quoted rating, or no array at all, by event type."""
@@ -549,6 +608,44 @@ def failed_explanations(spark, sf_dir):
     return told.select("doc_id", "explanation", "error")
 
 
+@query
+def retried_explanations(spark, sf_dir):
+    """A teacher with passing and lasting failures: calls per row, errors where waiting did not help."""
+    rows = fixtures.labelled(spark, sf_dir).select(
+        "doc_id", F.col("text").alias("sentence"), labels.label_code(F.col("sentiment_true")).alias("label")
+    )
+    told = sentiment.explain(
+        rows, standins.flaky_text, batch_size=1, error_col="error", attempts_col="attempts", retry=inference.Retry(4, wait=0.0), partitions=workers(spark)
+    )
+    return told.select("doc_id", "explanation", "error", "attempts")
+
+
+@query
+def budgeted_explanations(spark, sf_dir):
+    """Prompts within a budget of tokens, in batches of like length."""
+    rows = fixtures.labelled(spark, sf_dir).select(
+        "doc_id", F.col("text").alias("sentence"), labels.label_code(F.col("sentiment_true")).alias("label")
+    )
+    budget = inference.TokenBudget(300, standins.short_pieces)
+    told = sentiment.explain(rows, standins.digest_text, budget, tokens_col="n_tokens", padded=2400, partitions=workers(spark))
+    return told.select("doc_id", "explanation", "n_tokens")
+
+
+@query
+def resumed_predictions(spark, sf_dir):
+    """Predictions and scores of some rows, then of all, in parts: what is done is not asked again."""
+    rows = fixtures.predictions(spark, sf_dir).select("doc_id", "text", "judge_reply", F.col("raw_output").alias("recorded"))
+    path = run_dir(spark, "resumed")
+
+    def run(some: DataFrame) -> DataFrame:
+        return sentiment.evaluate(
+            some, standins.replay, standins.replay, path, ["doc_id"], "text", ["recorded"], ["judge_reply"], parts=2, partitions=workers(spark)
+        ).data
+
+    run(rows.where("doc_id % 2 = 0"))
+    return run(rows).select("doc_id", "sentiment_pred", F.col("reasoning_score").cast("double").alias("reasoning_score"))
+
+
 @query
 def predict_with_reasoning(spark, sf_dir):
     rows = fixtures.predictions(spark, sf_dir).select("doc_id", "text", F.col("raw_output").alias("recorded"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -12,9 +13,10 @@ from quillmark.functions.chat import ChatTemplate
 from quillmark.functions.fixed_values import SIMILARITY_THRESHOLD
 from quillmark.functions.text import contains_answer, is_yes, strip
 from quillmark.functions.vectors import at_least, cosine, perplexity
-from quillmark.operators.corpus import truncate_words
+from quillmark.operators.corpus import within
 from quillmark.operators.evaluation import grouped_report
-from quillmark.operators.inference import ModelFactory, materialize, run_model
+from quillmark.operators.inference import ModelFactory, TokenBudget, run_model
+from quillmark.operators.stages import Run, Stage, Watch, staged
 
 
 @dataclass(frozen=True)
@@ -32,31 +34,27 @@ def generate_answers(
     generate: ModelFactory,
     system: str | None = None,
     template: ChatTemplate = ChatTemplate(),
-    partitions: int | None = None,
-    error_col: str | None = None,
-    budget: int | None = None,
+    budget: int | TokenBudget | None = None,
+    **hook,
 ) -> DataFrame:
     """``id, question, expected_answer, difficulty`` with the model's answer and its prompt.
 
-    ``budget`` cuts the question to so many words before it is put into the prompt.
+    ``budget`` cuts the question to so many words before it is put into the prompt, or the
+    prompt to so many tokens. ``hook`` are options of ``run_model``, here and below.
     """
-    asked = F.col("question") if budget is None else truncate_words(F.col("question"), budget)
+    asked, cut = within(F.col("question"), budget)
     prompted = questions.withColumn("prompt", prompts.answer_prompt(asked, template, system))
-    answered = run_model(prompted, "prompt", "generated_answer", generate, partitions=partitions, error_col=error_col)
+    answered = run_model(prompted, "prompt", "generated_answer", generate, budget=cut, **hook)
     return answered.withColumn("generated_answer", strip(F.col("generated_answer")))
 
 
-def score_references(
-    answered: DataFrame, score: ModelFactory, partitions: int | None = None, error_col: str | None = None
-) -> DataFrame:
+def score_references(answered: DataFrame, score: ModelFactory, **hook) -> DataFrame:
     """The perplexity of the expected answer.
 
     The scorer gets (prompt, answer) and returns the log-probabilities of the answer's own
     tokens: only it knows how its tokenizer cuts the prompt.
     """
-    scored = run_model(
-        answered, ["prompt", "expected_answer"], "logprobs", score, out_type="array<double>", partitions=partitions, error_col=error_col
-    )
+    scored = run_model(answered, ["prompt", "expected_answer"], "logprobs", score, out_type="array<double>", **hook)
     return scored.withColumn("perplexity", perplexity(F.col("logprobs"), F.lit(0))).drop("logprobs")
 
 
@@ -75,14 +73,9 @@ def _of_pairs(embed: ModelFactory) -> ModelFactory:
     return make
 
 
-def compare_embeddings(
-    answered: DataFrame, embed: ModelFactory, partitions: int | None = None, error_col: str | None = None
-) -> DataFrame:
+def compare_embeddings(answered: DataFrame, embed: ModelFactory, **hook) -> DataFrame:
     """Similarity of expected and generated answer: one row, two vectors, one call, no pair table."""
-    both = run_model(
-        answered, ["expected_answer", "generated_answer"], "_both", _of_pairs(embed), out_type="array<array<float>>",
-        partitions=partitions, error_col=error_col,
-    )
+    both = run_model(answered, ["expected_answer", "generated_answer"], "_both", _of_pairs(embed), out_type="array<array<float>>", **hook)
     return both.withColumn("semantic_similarity", cosine(F.col("_both")[0], F.col("_both")[1])).drop("_both")
 
 
@@ -90,15 +83,18 @@ def judge_answers(
     answered: DataFrame,
     judge: ModelFactory,
     template: ChatTemplate = ChatTemplate(),
-    partitions: int | None = None,
-    error_col: str | None = None,
+    budget: TokenBudget | None = None,
+    **hook,
 ) -> DataFrame:
     question = prompts.judge_prompt(F.col("question"), F.col("expected_answer"), F.col("generated_answer"), template)
     prompted = answered.withColumn("_prompt", question)
-    judged = run_model(prompted, "_prompt", "judge_reply", judge, partitions=partitions, error_col=error_col).drop("_prompt")
+    judged = run_model(prompted, "_prompt", "judge_reply", judge, budget=budget, **hook).drop("_prompt")
     return judged.withColumn("is_correct_ai_eval", is_yes(F.col("judge_reply")))
 
 
+STAGES = ("answers", "perplexity", "similarity", "verdicts")
+
+
 def evaluate(
     questions: DataFrame,
     models: Models,
@@ -107,22 +103,49 @@ def evaluate(
     threshold: float = SIMILARITY_THRESHOLD,
     template: ChatTemplate = ChatTemplate(),
     partitions: int | None = None,
-) -> DataFrame:
-    """Row-level results, written once below ``path``: one model per written stage.
-
-    ``partitions`` deals the questions to so many shares once; later stages keep them.
+    parts: int | None = None,
+    ids: Sequence[str] = ("id",),
+    error_col: str | None = None,
+    budget: int | TokenBudget | None = None,
+    **hook,
+) -> Run:
+    """Row-level results, written once below ``path``, one model per written stage; with counts.
+
+    ``partitions`` deals the questions to so many shares once; later stages keep them. With
+    ``parts`` each stage is resumed after a stop, by ``ids``. With ``error_col`` a row that
+    fails in a stage passes by the later ones, keeps its message and has no verdicts; each
+    stage counts the rows that failed up to its end, in the job that writes it.
     """
-    answered = materialize(generate_answers(questions, models.generate, system, template, partitions), f"{path}/answers")
-    scored = materialize(score_references(answered, models.score).drop("prompt"), f"{path}/perplexity")
-    compared = materialize(compare_embeddings(scored, models.embed), f"{path}/similarity")
-    judged = judge_answers(compared, models.judge, template)
-    flagged = judged.withColumns(
-        {
-            "is_correct_keyword": contains_answer(F.col("expected_answer"), F.col("generated_answer")),
-            "is_correct_semantic": at_least(F.col("semantic_similarity"), threshold),
-        }
-    )
-    return materialize(flagged, f"{path}/results")
+    hook["error_col"] = error_col
+
+    def counted(name: str, stage) -> Stage:
+        def run(some: DataFrame, watch: Watch) -> DataFrame:
+            failed = F.count_if(F.col(error_col).isNotNull()) if error_col else F.sum(F.lit(0))
+            return watch(stage(some), **{f"n_{name}": F.count(F.lit(1)), f"n_failed_by_{name}": failed})
+
+        return run
+
+    def judged(some: DataFrame) -> DataFrame:
+        held = F.lit(True) if error_col is None else F.col(error_col).isNull()
+        return judge_answers(some, models.judge, template, **hook).withColumns(
+            {
+                "is_correct_keyword": F.when(held, contains_answer(F.col("expected_answer"), F.col("generated_answer"))),
+                "is_correct_semantic": F.when(held, at_least(F.col("semantic_similarity"), threshold)),
+                "is_correct_ai_eval": F.when(held, F.col("is_correct_ai_eval")),
+            }
+        )
+
+    steps = [
+        lambda some: generate_answers(some, models.generate, system, template, budget, partitions=partitions, **hook),
+        lambda some: score_references(some, models.score, **hook).drop("prompt"),
+        lambda some: compare_embeddings(some, models.embed, **hook),
+        judged,
+    ]
+    rows, totals = questions, {}
+    for name, step in zip(STAGES, steps):
+        run = staged(rows, ids, counted(name, step), f"{path}/{name}", parts)
+        rows, totals = run.data, totals | run.totals
+    return Run(rows, totals)
 
 
 def report(results: DataFrame) -> DataFrame:

@@ -130,6 +130,19 @@ scored as (select *, case when mood='0' or (mood='1' and pair_no%4=0) then null
   else ((instr('0123456789abcdef', substring(md5(question),1,1))-1)%10+1)::double end as rating from moods)"""
 
 
+def _cut_pair_sql(keep: str) -> str:
+    """Pairs of replies that end within a pair, and their ratings, as the moody stand-ins give them."""
+    return f"""sized as (select *, greatest(1, ceil(length(chunk)/25.0))::bigint as size, md5(chunk) as h from chunks),
+counted as (select *, ceil(length(chunk)/size::double)::bigint as n from sized),
+replies as (select *, case when h >= '2' and h < 'f' then ('0x' || substring(h,2,2))::int % (n+1) end as whole from counted),
+pieces as (select {keep}, chunk_no, i, substring(chunk, i*size+1, size) as piece
+  from (select *, unnest(range(whole)) as i from replies where whole is not null)),
+pairs as (select {keep}, chunk_no, i::int as pair_no, i || ': ' || piece || '?' as question from pieces),
+moods as (select *, substring(md5(first_value(question) over (partition by {keep}, chunk_no, pair_no//4 order by pair_no)),2,1) as mood from pairs),
+scored as (select *, case when mood in ('0','3') or (mood='1' and pair_no%4=0) then null
+  else ((instr('0123456789abcdef', substring(md5(question),1,1))-1)%10+1)::double end as rating from moods)"""
+
+
 EDGES = """
 edges as (select concat('Category:R',r_regionkey) as category, concat('Category:N',n_nationkey) as member
   from region join nation on n_regionkey=r_regionkey
@@ -307,6 +320,18 @@ judged as (select *, {coin(judge_prompt('generated_answer'))} as judge_reply fro
 m as (select difficulty, {KEYWORD} as k, {verdict('judge_reply')} as j, {token_perplexity('expected_answer')} as p,
   {letter_similarity('expected_answer', 'generated_answer')} as s from judged) """ + grouped("m", "difficulty", full)
 
+    unheard = f"""answered as (select * exclude (generated_answer, judge_reply), case when md5({TUNED_PROMPT}) < 'd' then {answer} end as generated_answer from qa),
+asked as (select *, md5({judge_prompt('generated_answer')}) as h from answered),
+judged as (select *, case when generated_answer is null then 'RuntimeError: no answer' when substring(h,2,1) = '0' then 'RuntimeError: no verdict' end as error from asked)"""
+    sql["evaluation_with_failures"] = f"""with {QA_RESULTS}, {unheard}
+select id, case when error is null then {KEYWORD} end as is_correct_keyword,
+  case when error is null then coalesce({letter_similarity('expected_answer', 'generated_answer')} >= 0.7, false) end as is_correct_semantic,
+  case when error is null then h < '8' end as is_correct_ai_eval, error from judged"""
+    sql["evaluation_counts"] = f"""with {QA_RESULTS}, {unheard},
+c as (select count(*) as n, count(*) filter (where generated_answer is null) as lost, count(error) as failed from judged)
+select n as n_answers, lost as n_failed_by_answers, n as n_perplexity, lost as n_failed_by_perplexity, n as n_similarity, lost as n_failed_by_similarity,
+  n as n_verdicts, failed as n_failed_by_verdicts from c"""
+
     sql["clean_pages"] = f"with c as (select page_id, {clean('html')} as text from pages) select page_id, length(text)::int as n_chars, md5(text) as text_md5 from c"
     sql["title_extract"] = f"""with t as (select page_id, {tag('html', 'title')} as title, {tag('html', 'article')} as article,
   {tag('html', 'h3')} as h3 from pages)
@@ -318,6 +343,9 @@ i as (select *, unnest(range(0, greatest(ceil((len(words)-20)/180.0), 1)::bigint
 select doc_id, chunk_no::int as chunk_no, md5(array_to_string(list_slice(words, chunk_no*180+1, chunk_no*180+200), ' ')) as chunk_md5 from i"""
     sql["truncate_tokens"] = f"""with w as (select doc_id, list_slice(string_split({collapse('text')}, ' '), 1, 100) as words from documents)
 select doc_id, len(words)::int as n_words, md5(array_to_string(words, ' ')) as text_md5 from w"""
+    pieces = r"'(?s)[a-z]{1,4}|[^a-z]'"
+    sql["tokenizer_budget"] = f"""with t as (select doc_id, regexp_extract_all(text, {pieces}) as tokens from documents)
+select doc_id, len(tokens)::int as n_tokens, md5(array_to_string(list_slice(tokens, 1, 64), '')) as kept_md5 from t"""
     sql["category_closure"] = f"""with recursive {EDGES},
 reach as (select 'Category:{SEED_CATEGORY}' as node, 0 as depth union select member, depth+1 from reach join edges on category=node where depth < 3)
 select distinct node as page from reach where not contains(node, 'Category:')"""
@@ -347,6 +375,7 @@ r as (select conv_id, string_agg({shown}, '' order by turn) as text from fixed w
 select conv_id, length(text)::int as n_chars, md5(text) as text_md5 from r"""
     sql["content_top50"] = f"""with {TURNS} select md5(content) as digest, length(content)::int as n_chars, count(*) as n
 from turns where content is not null group by content order by n desc, digest limit 50"""
+    sql["content_top50_sketched"] = sql["content_top50"]
     sql["train_eval_split"] = f"with {SPLIT} select conv_id, split from splits"
     sql["turns_with_split"] = f"""with {USEFUL}, {ranked('verdicts', 'conv_id', 0)},
 k as (select *, least(60, n) as k from ranked),
@@ -383,6 +412,21 @@ g as (select count(*) as n_prompts, count(*) filter (where mood='0') as n_unread
   count(*) filter (where mood='2') as n_long, count(*) filter (where mood='2')::bigint as n_extra
 from (select distinct doc_id, chunk_no, pair_no//4, mood from scored))
 select * from p, w, g"""
+    cut = f"with {chunks('documents', 'doc_id')}, {_cut_pair_sql('doc_id')}"
+    sql["salvaged_pairs"] = f"""{cut},
+q as (select doc_id, chunk_no, string_agg(question, '|' order by pair_no) as questions from pairs group by all)
+select doc_id, chunk_no, case when whole > 0 or n = 0 then whole end::int as n_pairs, case when whole < n then whole else 0 end::int as n_salvaged,
+  case when whole > 0 or n = 0 then md5(coalesce(questions, '')) end as questions_md5, case when h >= 'f' then 'RuntimeError: no reply' end as error
+from replies left join q using (doc_id, chunk_no)"""
+    sql["synthesis_counts"] = f"""{cut},
+w as (select count(*) as n_chunks, count(*) filter (where h >= 'f') as n_failed_chunks,
+  count(*) filter (where h < '2' or (whole = 0 and n > 0)) as n_unreadable_chunks, count(*) filter (where whole > 0 and whole < n) as n_cut_replies,
+  coalesce(sum(whole) filter (where whole < n), 0)::bigint as n_salvaged, sum(whole)::bigint as n_written from replies),
+g as (select count(*) as n_prompts, count(*) filter (where mood='3') as n_failed_ratings, count(*) filter (where mood='0') as n_unreadable_ratings,
+  count(*) filter (where mood='1') as n_short, count(*) filter (where mood='2') as n_long from (select distinct doc_id, chunk_no, pair_no//4, mood from scored)),
+p as (select count(*) as n_pairs, count(*) filter (where rating >= 5) as n_kept, count(*) filter (where rating < 5) as n_below,
+  count(*) filter (where rating is null) as n_unrated from scored)
+select * from w, g, p"""
     sql["json_pairs"] = """select event_type, count(*) as n,
   count(*) filter (where event_type not in ('click','view')) as n_unreadable,
   count(*) filter (where event_type = 'click') as n_high,
@@ -433,9 +477,16 @@ select doc_id, md5({user} || {turn('model', answer_tags)}) as train_md5, md5({us
     told = f"md5({explain_prompt('text', 'sentiment_true')})"
     sql["failed_explanations"] = f"""with {LABELLED} select doc_id, case when {told} >= '4' then 'Because ' || {told} end as explanation,
   case when {told} < '4' then 'ValueError: no answer' end as error from labelled"""
+    sql["retried_explanations"] = f"""with {LABELLED}, t as (select doc_id, {told} as h from labelled)
+select doc_id, case when h < 'e' then 'Because ' || h end as explanation,
+  case when h >= 'f' then 'ValueError: not to be answered' when h >= 'e' then 'ConnectionError: try again' end as error,
+  (case when h < '4' then 3 when h >= 'f' then 1 when h >= 'e' then 4 else 1 end)::int as attempts from t"""
+    sql["budgeted_explanations"] = f"""with {LABELLED}, t as (select doc_id, regexp_extract_all({explain_prompt('text', 'sentiment_true')}, {pieces}) as tokens from labelled)
+select doc_id, 'Because ' || md5(array_to_string(list_slice(tokens, 1, 300), '')) as explanation, len(tokens)::int as n_tokens from t"""
     sql["predict_with_reasoning"] = f"with {PARSED} select doc_id, sentiment_pred, md5(reasoning_or_raw) as reasoning_pred_md5 from parsed"
     sql["score_reasoning"] = f"""with {PARSED} select doc_id, sentiment_pred,
   (case when {defaulted} then 1 else {SCORE} end)::double as reasoning_score from parsed"""
+    sql["resumed_predictions"] = sql["score_reasoning"]
     sql["sentiment_evaluation"] = f"""with {PARSED}, {REPORT}, tags as ({INTEGRITY})
 select 'f1 ' || label as metric, round(f1, 6) as value from report
 union all select 'both tags', both_rate from tags

@@ -47,6 +47,33 @@ def moody_text():
     return lambda prompts: [write(p) for p in prompts]
 
 
+def flaky_text():
+    """The same writer, of whose prompts a quarter fails twice before it answers, some always for a passing reason, some for good."""
+    from hashlib import md5
+
+    failures: dict = {}
+
+    def write(prompt):
+        digest = md5(prompt.encode()).hexdigest()
+        if digest >= "f":
+            raise ValueError("not to be answered")
+        if digest >= "e" or (digest < "4" and failures.get(digest, 0) < 2):
+            failures[digest] = failures.get(digest, 0) + 1
+            raise ConnectionError("try again")
+        failures.pop(digest, None)
+        return f" Because {digest}\n"
+
+    return lambda prompts: [write(p) for p in prompts]
+
+
+def short_pieces():
+    """A tokenizer of runs of at most four small letters and of single other characters."""
+    import re
+
+    pieces = re.compile("[a-z]{1,4}|[^a-z]")
+    return lambda texts: [[m.end() for m in pieces.finditer(t)] for t in texts]
+
+
 def letter_counts():
     """An embedder that counts eight letters."""
     return lambda texts: [[float(t.count(c)) for c in "aeionrst"] for t in texts]
@@ -89,6 +116,82 @@ def pair_writer():
     return lambda prompts: [write(p) for p in prompts]
 
 
+def _pairs_of(prompt):
+    import json
+
+    text = prompt.split("Text:\n", 1)[1][:-1]
+    size = max(1, -(-len(text) // 25))
+    pieces = [text[i : i + size] for i in range(0, len(text), size)]
+    pairs = [{"question": f"{i}: {p}?", "answer": p[::2] if i % 2 else "Not specified"} for i, p in enumerate(pieces)]
+    return text, [json.dumps(p, ensure_ascii=False) for p in pairs]
+
+
+def cut_off_writer():
+    """The same pairs, but the reply ends within a pair: its digest says how many are complete.
+
+    Every sixteenth prompt fails, every eighth has no pairs.
+    """
+    from hashlib import md5
+
+    def write(prompt):
+        text, pairs = _pairs_of(prompt)
+        digest = md5(text.encode()).hexdigest()
+        if digest >= "f":
+            raise RuntimeError("no reply")
+        if digest < "2":
+            return "Sorry, I cannot do that."
+        whole = int(digest[1:3], 16) % (len(pairs) + 1)
+        if whole == len(pairs):
+            return "[" + ", ".join(pairs) + "]"
+        return "Sure: [" + ", ".join([*pairs[:whole], pairs[whole][: len(pairs[whole]) // 2]])
+
+    return lambda prompts: [write(p) for p in prompts]
+
+
+def moody_rater():
+    """``pair_rater``, which also fails on some prompts."""
+    import json
+    from hashlib import md5
+
+    rater = pair_rater()
+
+    def reply(prompt):
+        first = json.loads(prompt.split("just return valid JSON:\n\n", 1)[1])[0]["question"]
+        if md5(first.encode()).hexdigest()[1] == "3":
+            raise RuntimeError("no rating")
+        return rater([prompt])[0]
+
+    return lambda prompts: [reply(p) for p in prompts]
+
+
+def moody_parrot():
+    """``parrot``, which fails on some prompts."""
+    from hashlib import md5
+
+    model = parrot()
+
+    def answer(prompt):
+        if md5(prompt.encode()).hexdigest() >= "d":
+            raise RuntimeError("no answer")
+        return model([prompt])[0]
+
+    return lambda prompts: [answer(p) for p in prompts]
+
+
+def moody_verdict():
+    """``coin_verdict``, which fails on some prompts."""
+    from hashlib import md5
+
+    model = coin_verdict()
+
+    def verdict(prompt):
+        if md5(prompt.encode()).hexdigest()[1] == "0":
+            raise RuntimeError("no verdict")
+        return model([prompt])[0]
+
+    return lambda prompts: [verdict(p) for p in prompts]
+
+
 def pair_rater():
     """A rating from 1 to 10 by the digest of the question, quoted or not.
 

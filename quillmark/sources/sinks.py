@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,28 +83,44 @@ def shuffled(df: DataFrame, id_col: str, seed: int, partitions: int | None = Non
     return placed.sortWithinPartitions("_key").drop("_key")
 
 
-def versions(spark: SparkSession, base: str) -> tuple[int, int]:
-    """Highest finished version below ``base`` and highest there is at all; 0 if there is none.
+def _claim(spark: SparkSession, base: str, version: int, name: str) -> bool:
+    """Make the pointer of a version to a folder of files; False if it was there already.
 
-    What a crash left unfinished is never read and never written to again.
+    The pointer comes into being whole and never replaces another: by a link on a file system of
+    this machine, elsewhere by a rename, which must not overwrite, as in HDFS.
     """
     jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return 0, 0
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    numbers = [int(n[8:]) for n in names if n.startswith("version=") and n[8:].isdigit()]
-    done = [n for n in numbers if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/version={n}/_SUCCESS"))]
-    return max(done, default=0), max(numbers, default=0)
+    folder = jvm.org.apache.hadoop.fs.Path(f"{base}/versions")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    made = jvm.org.apache.hadoop.fs.Path(folder, f"_{uuid.uuid4().hex}")
+    out = fs.create(made, True)
+    out.write(bytearray(name.encode()))
+    out.close()
+    if fs.getUri().getScheme() == "file":
+        plain = made.toUri().getPath()
+        try:
+            os.link(plain, os.path.join(os.path.dirname(plain), str(version)))
+            return True
+        except FileExistsError:
+            return False
+    target = jvm.org.apache.hadoop.fs.Path(folder, str(version))
+    return not fs.exists(target) and bool(fs.rename(made, target))
 
 
 def latest_version(spark: SparkSession, base: str) -> int:
-    return versions(spark, base)[0]
+    """The highest published version below ``base``, 0 if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/versions")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return max((int(n) for n in names if n.isdigit()), default=0)
 
 
-def read_published(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/version={latest_version(spark, base)}")
+def read_published(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
+    """The rows of a version, by default of the latest."""
+    number = latest_version(spark, base) if version is None else version
+    pointer = spark.read.text(f"{base}/versions/{number}", wholetext=True).first()["value"]
+    return spark.read.parquet(f"{base}/{pointer.strip()}")
 
 
 def merge(existing: DataFrame | None, new: DataFrame) -> DataFrame:
@@ -109,20 +128,52 @@ def merge(existing: DataFrame | None, new: DataFrame) -> DataFrame:
     return new if existing is None else existing.unionByName(new)
 
 
-def publish(
-    df: DataFrame, base: str, id_col: str, merging: bool = False, seed: int = 42, partitions: int | None = None
-) -> str:
-    """Write the next version: the new rows or, with ``merging``, old and new ones reshuffled.
+def _check_ids(ids: DataFrame, what: str) -> None:
+    """An error if an id is null or occurs twice; only ids are read and shuffled."""
+    odd = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or id is null").limit(5).collect()
+    if odd:
+        raise ValueError(f"ids {what} are null or repeat: {[r['id'] for r in odd]}")
 
-    Ids must be unique over both. A version never overwrites the files it reads, and readers
-    see it once it is complete. ``partitions`` is the number of files of a merged version, which
-    adaptive execution cannot change; by default the session's number of shuffle partitions.
+
+def publish(
+    df: DataFrame, base: str, id_col: str, merging: bool = False, seed: int = 42, partitions: int | None = None, clash: str = "error"
+) -> int:
+    """Write the next version and return its number: the new rows or, with ``merging``, old and new ones reshuffled.
+
+    Rows go to a folder of their own; the version exists once its pointer does, which only one of
+    several publishers can make. The others go on with the next number, with ``merging`` after
+    merging with the version that was first. Old versions stay, and what a crash leaves is never read.
+
+    Ids must be unique and not null. ``clash`` says what happens to an id that the old version has as well:
+    ``error`` publishes nothing, ``new`` replaces the old row, ``old`` leaves the new one out.
+    ``partitions`` is the number of files of a merged version, which adaptive execution cannot
+    change; by default the session's number of shuffle partitions.
     """
+    if clash not in ("error", "new", "old"):
+        raise ValueError(f"unknown rule {clash}")
     spark = df.sparkSession
-    version, present = versions(spark, base)
-    rows = df
-    if merging and version:
-        rows = shuffled(merge(read_published(spark, base), df), id_col, seed, partitions)
-    path = f"{base}/version={present + 1}"
-    rows.write.parquet(path)
-    return path
+    _check_ids(df.select(F.col(id_col).alias("id")), "of the new rows")
+    while True:
+        version = latest_version(spark, base)
+        rows = df
+        if merging and version:
+            old = read_published(spark, base, version)
+            if clash == "error":
+                both = old.select(F.col(id_col).alias("id")).unionByName(df.select(F.col(id_col).alias("id")))
+                _check_ids(both, "of old and new rows")
+                rows = merge(old, df)
+            elif clash == "new":
+                rows = merge(old.join(df.select(id_col), id_col, "left_anti").select(*old.columns), df)
+            else:
+                rows = merge(old, df.join(old.select(id_col), id_col, "left_anti").select(*df.columns))
+            rows = shuffled(rows, id_col, seed, partitions)
+        name = f"files/{uuid.uuid4().hex}"
+        rows.write.parquet(f"{base}/{name}")
+        claimed = version + 1
+        while not _claim(spark, base, claimed, name):
+            if merging:
+                claimed = 0
+                break
+            claimed = latest_version(spark, base) + 1
+        if claimed:
+            return claimed

@@ -79,11 +79,85 @@ def test_publish_adds_versions_and_merges(spark, folder):
 
 def test_publish_goes_on_after_a_crash(spark, folder):
     base = f"{folder}/data"
-    sinks.publish(spark.range(10).toDF("id"), base, "id")
-    os.makedirs(f"{base}/version=2")
+    assert sinks.publish(spark.range(10).toDF("id"), base, "id") == 1
+    spark.range(77).toDF("id").write.parquet(f"{base}/files/left-over")  # rows without a pointer
+    open(f"{base}/versions/_half", "w").close()
     assert sinks.latest_version(spark, base) == 1
-    assert sinks.publish(spark.range(10, 12).toDF("id"), base, "id", merging=True).endswith("version=3")
+    assert sinks.publish(spark.range(10, 12).toDF("id"), base, "id", merging=True) == 2
     assert sorted(r.id for r in sinks.read_published(spark, base).collect()) == list(range(12))
+    assert sinks.read_published(spark, base, 1).count() == 10
+
+
+def test_two_publishers_of_one_version(spark, folder, monkeypatch):
+    """Another publisher is first, between this one's write and its claim."""
+    base, claim, done = f"{folder}/data", sinks._claim, []
+
+    def second(spark_, base_, version, name):
+        if version not in (1, 3, 5) and version not in done:
+            done.append(version)
+            assert sinks.publish(spark.range(100 * version, 100 * version + 3).toDF("id"), base, "id", merging=True) == version
+        return claim(spark_, base_, version, name)
+
+    sinks.publish(spark.range(5).toDF("id"), base, "id")
+    monkeypatch.setattr(sinks, "_claim", second)
+    assert sinks.publish(spark.range(5, 8).toDF("id"), base, "id", merging=True) == 3
+    assert sorted(r.id for r in sinks.read_published(spark, base).collect()) == [*range(8), *range(200, 203)]
+    assert sinks.publish(spark.range(3).toDF("id"), base, "id") == 5
+    assert sinks.read_published(spark, base).count() == 3 and sinks.read_published(spark, base, 4).count() == 11 + 3
+
+
+def test_publishers_in_threads(spark, folder):
+    from concurrent.futures import ThreadPoolExecutor
+
+    base = f"{folder}/data"
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda k: sinks.publish(spark.range(10 * k, 10 * k + 10).toDF("id"), base, "id", merging=True, partitions=2), range(4)))
+    assert sorted(got) == [1, 2, 3, 4]
+    assert sorted(r.id for r in sinks.read_published(spark, base).collect()) == list(range(40))
+
+
+def test_publish_checks_ids(spark, folder):
+    base = f"{folder}/data"
+    rows = lambda pairs: spark.createDataFrame(pairs, "id int, text string")
+    with pytest.raises(ValueError, match="null or repeat"):
+        sinks.publish(rows([(1, "a"), (1, "b")]), base, "id")
+    with pytest.raises(ValueError, match="null or repeat"):
+        sinks.publish(rows([(None, "a")]), base, "id")
+    assert sinks.latest_version(spark, base) == 0
+    sinks.publish(rows([(1, "a"), (2, "b")]), base, "id")
+    with pytest.raises(ValueError, match=r"old and new rows.*\[2\]"):
+        sinks.publish(rows([(2, "c"), (3, "d")]), base, "id", merging=True)
+    assert sinks.latest_version(spark, base) == 1
+    read = lambda: {r.id: r.text for r in sinks.read_published(spark, base).collect()}
+    sinks.publish(rows([(2, "c"), (3, "d")]), base, "id", merging=True, clash="old")
+    assert read() == {1: "a", 2: "b", 3: "d"}
+    sinks.publish(rows([(2, "c"), (4, "e")]), base, "id", merging=True, clash="new")
+    assert read() == {1: "a", 2: "c", 3: "d", 4: "e"}
+
+
+def test_walk_deals_out_what_it_does_not_open(spark, folder):
+    """One deep and one wide tree with links, walked a few entries at a time."""
+    deep = f"{folder}/deep"
+    for k in range(12):
+        deep += f"/d{k}"
+        os.makedirs(deep)
+        with open(f"{deep}/f", "w") as f:
+            f.write("x" * k)
+    os.makedirs(f"{folder}/empty/er")
+    for k in range(40):
+        os.makedirs(f"{folder}/wide/w{k}")
+        for j in range(3):
+            with open(f"{folder}/wide/w{k}/{j}.txt", "w") as f:
+                f.write("yy")
+    os.symlink(f"{folder}/wide", f"{folder}/wide/w1/again")
+    os.symlink(f"{folder}/wide/w1/0.txt", f"{folder}/wide/w2/link.txt")
+    want = {"deep": (12, sum(range(12))), "wide": (120, 240), "empty": (0, 0)}
+    for entries in (1, 7, 10_000):
+        got = files.artifact_sizes(spark, folder, entries=entries).collect()
+        assert {r.artifact: (r.n_files, r.n_bytes) for r in got} == want
+    listed = spark.createDataFrame([("wide", f"{folder}/wide")], "artifact string, path string")
+    first = listed.mapInPandas(files._walker(None, 5), files.WALK).collect()
+    assert sum(r.path is not None for r in first) >= 39 and sum(r.path is None for r in first) == 1
 
 
 def test_shuffled_order_is_the_seeded_order(spark):
