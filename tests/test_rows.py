@@ -80,7 +80,7 @@ def test_reply_json(one):
     good = '{"question": "q", "answer": "a", "rating": %s}'
     rows = [("[]",), (f"```json\n[{good % 8}]\n```",), (f"Here [{good % chr(34)}8{chr(34)}}}]",), ("[" + good % 8,), ("none",), (None,)]
     got = one("x string", rows, lambda c: F.transform(curation.parse_ratings(c("x")), lambda p: p["rating"]))
-    assert got[0] == [] and got[1] == [8.0] and got[3:] == [None, None, None]
+    assert got[0] == [] and got[1] == [8.0] and got[3:] == [[8.0], None, None]  # what is complete in a cut reply stays
     quoted = one("x string", [('[{"question": "q", "answer": "a", "rating": "8.5"}, {"rating": "high"}]',)],
                  lambda c: F.transform(curation.parse_ratings(c("x")), lambda p: p["rating"]))
     assert quoted == [[8.5, None]]
