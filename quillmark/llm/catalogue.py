@@ -39,7 +39,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
     from quillmark.llm.pieces import encode
 
-    return encode(read_table(spark, sf_dir, "documents"), model_path, with_ids=False).drop("_row")
+    return encode(read_table(spark, sf_dir, "documents"), model_path).drop("_row")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,13 +18,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import numbered, schemas, stored
 from quillmark.llm.words import slices
 
-BITS, SAMPLE, LANGUAGES, SMOOTHING = 14, 4000, 256, 0.5
+BITS, PER_LANGUAGE, LANGUAGES, SMOOTHING = 14, 1000, 256, 0.5
 # Trigrams of a text are far from independent: at most so many count as evidence of their own.
 EVIDENCE, HOST_WEIGHT, DOMAIN_WEIGHT, CUE_WEIGHT, FLOOR = 20.0, 5.0, 20.0, 10.0, 1e-4
 
@@ -51,14 +51,20 @@ def trigrams(data: np.ndarray) -> np.ndarray:
     return (grams * np.uint32(2654435761) >> np.uint32(32 - BITS))[letter[:-2] & letter[1:-1] & letter[2:]] if len(d) > 2 else np.zeros(0, np.uint32)
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Languages and the log probability of each trigram in each; from at most ``sample`` texts, those of the smallest id hashes.
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
+    """Languages and the log probability of each trigram in each; from at most ``per_language`` ids of each, those of the smallest hashes.
 
-    Rows without text, language or id teach nothing. More languages than ``LANGUAGES`` are an error.
+    So a rare language is learned as well. Rows without text, language or id teach nothing. More
+    languages than ``LANGUAGES`` are an error.
     """
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    chosen = known.select(F.col(id_col).alias("_chosen")).orderBy(F.xxhash64("_chosen"), "_chosen").limit(sample).distinct()
-    rows = known.select(F.col(id_col).alias("_chosen"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_chosen")
+    if known.select(lang_col).distinct().limit(LANGUAGES + 1).count() > LANGUAGES:
+        raise ValueError(f"over {LANGUAGES} languages")
+    # Ranks are limited in each task before rows are shuffled, so a frequent language is no hot key.
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("_chosen"), "_chosen")
+    ids = known.select(F.col(id_col).alias("_chosen"), F.col(lang_col).alias("lang"))
+    chosen = ids.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= per_language).select("_chosen", "lang").distinct()
+    rows = known.select(F.col(id_col).alias("_chosen"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(chosen), ["_chosen", "lang"])
     schema, arrow = schemas("lang string, counts binary")
 
     def count(batches):
@@ -72,12 +78,10 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
                     grams = np.bincount(trigrams(np.frombuffer(words, np.uint8)), minlength=1 << BITS)
                     lang = langs[first + k]
                     totals[lang] = totals.get(lang, 0) + grams
-        if len(totals) > LANGUAGES:
-            raise ValueError(f"over {LANGUAGES} languages")
         if totals:
             yield pa.RecordBatch.from_arrays([pa.array(list(totals)), pa.array([t.astype(np.int64).tobytes() for t in totals.values()], pa.binary())], schema=arrow)
 
-    # A row for each task with sampled texts and language: at most ``sample`` rows, taken one by one.
+    # A row for each task and language with sampled texts, taken one by one.
     totals: dict[str, np.ndarray] = {}
     for row in rows.select("lang", "text").mapInArrow(count, schema).toLocalIterator():
         totals[row["lang"]] = totals.get(row["lang"], 0) + np.frombuffer(row["counts"], np.int64)

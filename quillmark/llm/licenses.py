@@ -16,6 +16,34 @@ from quillmark.llm.common import numbered, stored, whole_text
 BROADCAST_ROWS = 100_000
 
 # Known licenses and notices, as their authors publish them.
+MIT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, '
+    "copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
+    "is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included "
+    'in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR '
+    "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+    "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+    "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
+    "met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution. "
+)
+BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission. "
+)
+BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+    "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+    "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+    "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 KNOWN = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
@@ -24,17 +52,31 @@ KNOWN = {
         'writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
         "either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     ],
-    "MIT": [
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
-        'The MIT License (MIT) Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
-        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, '
-        "copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
-        "is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included "
-        'in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR '
-        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
-        "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
-        "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "The MIT License (MIT) " + MIT, "MIT License " + MIT, "The MIT License " + MIT, MIT],
+    "BSD-2-Clause": ["BSD 2-Clause License " + BSD_START + BSD_END, "The 2-Clause BSD License " + BSD_START + BSD_END, BSD_START + BSD_END],
+    "BSD-3-Clause": ["BSD 3-Clause License " + BSD_START + BSD_NAMES + BSD_END, "The 3-Clause BSD License " + BSD_START + BSD_NAMES + BSD_END, BSD_START + BSD_NAMES + BSD_END],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+        "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+        "means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in "
+        "the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and "
+        "successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this "
+        'software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE "
+        "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to <https://unlicense.org/>",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages "
+        "arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not "
+        "be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in "
+        "the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must "
+        "not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+        "file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
@@ -44,6 +86,13 @@ KNOWN = {
         "DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE "
         "OR PERFORMANCE OF THIS SOFTWARE.",
     ],
+    "GPL-3.0-or-later": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in "
+        "the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+        "PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public "
+        "License along with this program. If not, see <https://www.gnu.org/licenses/>.",
+    ],
     "GPL-3.0-only": ["This work is licensed under the GNU General Public License, version 3."],
     "GPL-2.0-only": ["This work is licensed under the GNU General Public License, version 2."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
@@ -86,7 +135,7 @@ def known_licenses(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(k, t) for k, texts in KNOWN.items() for t in texts], "license_id string, text string")
 
 
-def scan(docs: DataFrame, licenses: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def scan(docs: DataFrame, licenses: DataFrame, text_col: str = "text", id_col: str = "doc_id", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``_row, doc_id, licenses, n_licenses, is_license, text_digest`` for each row.
 
     ``licenses`` are the ids (sorted) of known texts equal to a passage in canonical form,
@@ -97,7 +146,7 @@ def scan(docs: DataFrame, licenses: DataFrame, text_col: str = "text", id_col: s
     """
     known = licenses.select("license_id", whole(canonical(F.col("text"))).alias("form")).where("form <> '' and license_id is not null")
     known = stored(known.select("license_id", F.sha2("form", 256).alias("digest"), F.length("form").alias("size")).distinct(), "licenses")
-    if known.count() <= BROADCAST_ROWS:
+    if known.count() <= broadcast_rows:
         sizes = [r["size"] for r in known.select("size").distinct().collect()]
         known = F.broadcast(known)
         fits = lambda p: F.length(p).isin(sizes) if sizes else F.lit(False)

@@ -257,7 +257,7 @@ def _digests(found: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "at").select("key", "ends").mapInArrow(run, schema)
 
 
-def trie(sequences: DataFrame, cells: int = CELLS) -> DataFrame:
+def trie(sequences: DataFrame, cells: int = CELLS, broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
     """``conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256`` for each node.
 
     ``sequences`` has ``conv_id, ids, words`` with one row for each conversation, which may be
@@ -271,7 +271,7 @@ def trie(sequences: DataFrame, cells: int = CELLS) -> DataFrame:
     open_ = stored(open_.join(_digests(found), "key", "left").withColumn("ends", F.coalesce("ends", F.lit(NOTHING))), "open-nodes")
     inner = found.where(F.col("kind") == INNER)
     parents = open_.select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
-    parents = F.broadcast(parents) if open_.count() <= BROADCAST_NODES else parents
+    parents = F.broadcast(parents) if open_.count() <= broadcast_nodes else parents
     columns = ["parent", "conv_id", "depth", *FIGURES, "ends"]
     below = inner.where("parent is not null").select(*columns).unionByName(open_.select(*columns)).join(parents, "parent", "left")
     names = ["conv_id", "depth", "parent_conv_id", *FIGURES, "ends"]

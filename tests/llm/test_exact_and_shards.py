@@ -80,3 +80,35 @@ def test_shards(table, prose):
 
 def test_shards_of_nothing(table):
     assert assign_shards(table([])).count() == 0
+
+
+def brute_schedule(sizes, shards):
+    """Loads of the longest-first rule, without a heap."""
+    loads = [0] * shards
+    for size in sorted(sizes, reverse=True):
+        loads[loads.index(min(loads))] += size
+    return sorted(loads)
+
+
+def test_schedule_against_a_plain_one():
+    import random
+
+    rng = random.Random(9)
+    for _ in range(50):
+        sizes, shards = [rng.randrange(1, 60) for _ in range(rng.randrange(1, 40))], rng.randrange(1, 9)
+        loads = [0] * shards
+        for unit, shard in schedule(list(enumerate(sizes)), shards):
+            loads[shard] += sizes[unit]
+        assert sorted(loads) == brute_schedule(sizes, shards)
+
+
+def test_shards_against_the_plain_rule(table, prose):
+    """So few groups that each is a unit of its own."""
+    rows = [(k, prose(k % 70, 5 + k % 23)) for k in range(150)]
+    groups = defaultdict(int)
+    for _, t in rows:
+        groups[t] += len(t.encode()) + 16
+    loads = Counter()
+    for r in assign_shards(table(rows), 6).collect():
+        loads[r.shard] += r.size
+    assert sorted(loads.values()) == brute_schedule(groups.values(), 6)

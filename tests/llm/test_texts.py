@@ -140,6 +140,31 @@ def test_held_out_labels_teach_nothing(table, spark, prose):
     assert (a.weights == b.weights).all() and a.bias == b.bias and a.offset == b.offset
 
 
+@pytest.mark.parametrize("epochs, close", [(400, 1e-3), (quality.EPOCHS, 0.05)])
+def test_hinge_loss_is_at_its_optimum(monkeypatch, epochs, close):
+    """The primal objective against projected gradient ascent on the dual."""
+    monkeypatch.setattr(quality, "EPOCHS", epochs)
+    rng = np.random.default_rng(4)
+    features = [np.sort(rng.choice(30, rng.integers(3, 9), replace=False)).astype(np.int32) for _ in range(60)]
+    labels = np.array([int((f < 12).sum() + rng.normal() > 2) for f in features])
+    ratios = quality.log_count_ratios(features, labels)
+    weights, bias = quality.hinge_fit(features, labels, ratios)
+    x = np.zeros((60, 31))
+    for row, f in zip(x, features):
+        row[f], row[30] = ratios[f] / np.sqrt(len(f)), 1
+    sign = np.where(labels == 1, 1.0, -1.0)
+    cost = np.where(labels == 1, 0.5 / (labels == 1).mean(), 0.5 / (labels == 0).mean())
+    gram = (x * sign[:, None]) @ (x * sign[:, None]).T
+    dual, step = np.zeros(60), 1 / np.linalg.eigvalsh(gram)[-1]
+    for _ in range(200_000):
+        dual = np.clip(dual + step * (1 - gram @ dual), 0, cost)
+    objective = lambda w: 0.5 * w @ w + (cost * np.maximum(0, 1 - sign * (x @ w))).sum()
+    best = objective((dual * sign) @ x)
+    assert abs(best - (dual.sum() - 0.5 * dual @ gram @ dual)) < 1e-3 * best  # no gap: the yardstick is the optimum
+    own = np.append(np.divide(weights[:30], ratios[:30], out=np.zeros(30), where=ratios[:30] != 0), bias)
+    assert objective(own) <= best * (1 + close)
+
+
 def test_quality_without_labels(table, spark, prose):
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.fit(table([(1, "a b c")]), none)
@@ -206,10 +231,32 @@ def test_licenses(table, spark):
         (7, ["Apache-2.0", "CC-BY-NC-4.0"], False), (7, ["CC-BY-NC-4.0"], True), (0, ["MIT"], True), (8, [], False),
     ])
     assert licenses.scan(table([]), licenses.known_licenses(spark)).count() == 0
+    many = licenses.scan(table(rows), licenses.known_licenses(spark), broadcast_rows=0).collect()
+    assert sorted(map(repr, many)) == sorted(map(repr, got))
     none = spark.createDataFrame([(None, "x"), ("y", None), ("z", " ")], "license_id string, text string")
     assert [r.n_licenses for r in licenses.scan(table([(1, "")]), none).collect()] == [0]
 
 
+def test_whole_license_texts(table, spark):
+    """License files as they lie in repositories: heading, copyright lines, wrapped lines."""
+    import textwrap
+
+    def file(heading, text, years="Copyright (c) 2021, Somebody <x@y.z>\nAll rights reserved.\n"):
+        return f"{heading}\n\n{years}\n" + "\n".join(textwrap.wrap(text, 60))
+
+    bsd3 = licenses.BSD_START + licenses.BSD_NAMES + licenses.BSD_END
+    rows = [
+        (1, file("BSD 3-Clause License", bsd3)), (2, file("", licenses.BSD_START + licenses.BSD_END)), (3, file("MIT License", licenses.MIT)),
+        (4, file("", licenses.KNOWN["Unlicense"][0], "")), (5, file("", licenses.KNOWN["Zlib"][0])), (6, file("BSD 3-Clause License", bsd3 + " And more.")),
+        (7, "x = 1\n\n" + file("", licenses.KNOWN["GPL-3.0-or-later"][0]) + "\n\ny = 2"),
+    ]
+    got = {r.doc_id: (r.licenses, r.is_license) for r in licenses.scan(table(rows), licenses.known_licenses(spark)).collect()}
+    assert got == {
+        1: (["BSD-3-Clause"], True), 2: (["BSD-2-Clause"], True), 3: (["MIT"], True), 4: (["Unlicense"], True), 5: (["Zlib"], True), 6: ([], False),
+        7: (["GPL-3.0-or-later"], False),
+    }
+
+
 # ---- languages
 
 
@@ -232,3 +279,33 @@ def test_languages(spark):
     assert all(0.5 <= r.probability <= 1 for r in got)
     assert language.identify(df.where("false"), langs, weights).count() == 0
     assert all(r.language is None for r in language.identify(df, [], weights[:0]).collect())
+
+
+def test_a_rare_language_is_learned(spark):
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.choices(["kalu", "miro", "tane"], k=30)), "aa") for k in range(500)] + [(900 + k, "grschi pflätz krönd " * 9, "bb") for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, weights = language.fit(docs, per_language=20)
+    assert langs == ["aa", "bb"]
+    pages = spark.createDataFrame([(1, "http://x.test", "<p>krönd grschi pflätz grschi</p>")], "page_id long, url string, html string")
+    assert language.identify(pages, langs, weights).first().language == "bb"
+
+
+def test_fusion_beats_each_kind_of_evidence(spark):
+    """Pages with known truth: text that is absent, short or clear, markup and host that mislead now and then."""
+    rng = random.Random(21)
+    words = {"aa": ["kalu", "miro", "tane", "solu", "more"], "bb": ["kalo", "mira", "tano", "sola", "mura"]}
+    docs = spark.createDataFrame([(k, " ".join(rng.choices(words[x], k=40)), x) for k in range(80) for x in words], "doc_id long, text string, lang string")
+    langs, weights = language.fit(docs)
+    rows, truth = [], {}
+    for k in range(600):
+        x = rng.choice(["aa", "bb"])
+        other = "bb" if x == "aa" else "aa"
+        body = " ".join(rng.choice(words[x if rng.random() < 0.85 else other]) for _ in range(rng.choice([0, 0, 1, 3, 12])))
+        declared, host = x if rng.random() < 0.85 else other, x if rng.random() < 0.9 else other
+        truth[k] = (x, declared)
+        rows.append((k, f"http://s{k % 7}.{host}-site.{host}/p", f'<html lang="{declared}"><p>{body}</p></html>'))
+    got = {r.page_id: r for r in language.identify(spark.createDataFrame(rows, "page_id long, url string, html string"), langs, weights).collect()}
+    share = lambda right: sum(map(right, truth)) / len(truth)
+    fused, alone, markup = share(lambda k: got[k].language == truth[k][0]), share(lambda k: got[k].text_language == truth[k][0]), share(lambda k: truth[k][1] == truth[k][0])
+    assert fused > markup and fused > alone + 0.1 and fused > 0.9, (fused, alone, markup)

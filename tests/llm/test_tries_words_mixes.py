@@ -100,7 +100,7 @@ def test_rebuilt_conversations(spark, many_shards):
         new[c] = head[:h] + turns[h:]
     assert any(not t for t in new.values())  # some are without turns
     made = prefix_trie.rebuilt(prefix_trie.turn_rows(conversations(spark, rows)))
-    assert rows_of(prefix_trie.trie(made, cells=64)) == brute_trie(new)
+    assert rows_of(prefix_trie.trie(made, cells=64, broadcast_nodes=0)) == brute_trie(new)
 
 
 def test_trie_of_little(spark):
