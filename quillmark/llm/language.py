@@ -60,10 +60,17 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
     if known.select(lang_col).distinct().limit(LANGUAGES + 1).count() > LANGUAGES:
         raise ValueError(f"over {LANGUAGES} languages")
-    # Ranks are limited in each task before rows are shuffled, so a frequent language is no hot key.
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("_chosen"), "_chosen")
-    ids = known.select(F.col(id_col).alias("_chosen"), F.col(lang_col).alias("lang"))
-    chosen = ids.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= per_language).select("_chosen", "lang").distinct()
+    # Ids of each language are counted by the leading bits of their hashes, at most 65,536 counters
+    # a language; only those below the cut are ranked, so a frequent language is no hot key.
+    ids = known.select(F.col(id_col).alias("_chosen"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("_hash"))
+    ids = ids.withColumn("_lead", F.shiftrightunsigned("_hash", 48))
+    before = Window.partitionBy("lang").orderBy("_lead").rowsBetween(Window.unboundedPreceding, -1)
+    leads = ids.groupBy("lang", "_lead").agg(F.count(F.lit(1)).alias("_n"))
+    leads = leads.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_before") < per_language)
+    cuts = stored(leads.groupBy("lang").agg(F.max("_lead").alias("_cut")), "language-cuts")  # a row for each language
+    first = Window.partitionBy("lang").orderBy("_lead", "_hash", "_chosen")
+    chosen = ids.join(F.broadcast(cuts), "lang").where(F.col("_lead") <= F.col("_cut"))
+    chosen = chosen.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= per_language).select("_chosen", "lang").distinct()
     rows = known.select(F.col(id_col).alias("_chosen"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(chosen), ["_chosen", "lang"])
     schema, arrow = schemas("lang string, counts binary")
 
