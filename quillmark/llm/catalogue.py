@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import PIECE_MODEL, read_table
-from quillmark.llm.oracle import OP11_SQL, OP12_SQL, OP13_SQL
+from quillmark.llm.oracle import OP3_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,4 +149,4 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 def all_sql() -> dict[str, str]:
     from quillmark.llm.licenses import scan_sql
 
-    return {"op1_exact_dedup": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op7_decontamination": OP7_SQL, "op9_license_scan": scan_sql(), "op11_prefix_trie": OP11_SQL, "op12_spelling": OP12_SQL, "op13_mixing": OP13_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op3_suffix_array_dedup": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op7_decontamination": OP7_SQL, "op9_license_scan": scan_sql(), "op11_prefix_trie": OP11_SQL, "op12_spelling": OP12_SQL, "op13_mixing": OP13_SQL}

@@ -10,6 +10,24 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), lambda c, b: {eight}), 4294967295::bigint)"
 
 
+# Byte windows that start at two places, as runs of starts; what lies between the runs is kept.
+OP3_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, i, md5(array_slice(b, i, i + 399)) AS h FROM (SELECT doc_id, b, unnest(range(1, octet_length(b)::bigint - 398)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS c FROM w) WHERE c > 1),
+m AS (SELECT doc_id, i, coalesce(i > lag(i) OVER up + 400, true)::int AS fresh FROM r WINDOW up AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT doc_id, min(i) AS a, max(i) + 399 AS z FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM m) GROUP BY doc_id, k),
+e AS (SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS s, a - 1 AS t FROM g
+      UNION ALL SELECT doc_id, max(z) + 1, NULL FROM g GROUP BY doc_id),
+k AS (SELECT e.doc_id, string_agg(CASE WHEN s <= coalesce(t, octet_length(b)) THEN hex(array_slice(b, s, coalesce(t, octet_length(b)))) ELSE '' END, '' ORDER BY s) AS kept
+      FROM e JOIN d USING (doc_id) GROUP BY e.doc_id),
+n AS (SELECT doc_id, sum(z - a + 1) AS gone, count(*) AS spans FROM g GROUP BY doc_id)
+SELECT d.doc_id, octet_length(b)::bigint AS n_bytes, coalesce(gone, 0)::bigint AS n_removed, coalesce(spans, 0)::bigint AS n_spans,
+       CASE WHEN gone IS NULL THEN sha256(b) ELSE sha256(unhex(kept)) END AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
 # A node's subtree is found by the paths of its nodes' smallest members.
 OP11_SQL = rf"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
