@@ -2,18 +2,23 @@
 
 A text is brought to a canonical form: case, punctuation, white space, copyright lines and
 spellings that mean the same are evened out. Each whole passage (the text, each paragraph, each
-line) is then joined by digest to the canonical digests of known licenses and notices. Passages
+line) is then joined by digest to the canonical digests of known licenses and notices. Texts
+without any of a few words that the known texts have are not cut into passages, and passages
 whose length no known text has are not hashed. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import numbered, stored, whole_text
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS, CUED_ROWS, CUES = 100_000, 1000, 32
 
 # Known licenses and notices, as their authors publish them.
 MIT = (
@@ -135,6 +140,21 @@ def known_licenses(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(k, t) for k, texts in KNOWN.items() for t in texts], "license_id string, text string")
 
 
+def cue_words(forms: list[str], least: int = 6) -> list[str]:
+    """A few words of which each form has one, for a quick test of texts: a passage equal to a form has its words.
+
+    The word of ``least`` letters or more that the most forms have comes first; a form without
+    such a word gives its longest.
+    """
+    left, cues = [set(f.split(" ")) for f in forms], []
+    while left:
+        counts = Counter(w for words in left for w in words if len(w) >= least)
+        cue = max(counts, key=lambda w: (counts[w], len(w), w)) if counts else max(left[0], key=lambda w: (len(w), w))
+        cues.append(cue)
+        left = [words for words in left if cue not in words]
+    return cues
+
+
 def scan(docs: DataFrame, licenses: DataFrame, text_col: str = "text", id_col: str = "doc_id", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``_row, doc_id, licenses, n_licenses, is_license, text_digest`` for each row.
 
@@ -145,17 +165,22 @@ def scan(docs: DataFrame, licenses: DataFrame, text_col: str = "text", id_col: s
     columns are not read.
     """
     known = licenses.select("license_id", whole(canonical(F.col("text"))).alias("form")).where("form <> '' and license_id is not null")
-    known = stored(known.select("license_id", F.sha2("form", 256).alias("digest"), F.length("form").alias("size")).distinct(), "licenses")
-    if known.count() <= broadcast_rows:
+    known = stored(known.select("license_id", "form", F.sha2("form", 256).alias("digest"), F.length("form").alias("size")).distinct(), "licenses")
+    n_known, likely = known.count(), F.lit(True)
+    if 0 < n_known <= CUED_ROWS:
+        cues = cue_words([r["form"] for r in known.select("form").collect()])
+        likely = reduce(or_, [F.contains("c", F.lit(w)) for w in cues[:CUES]]) if len(cues) <= CUES else likely
+    if n_known <= broadcast_rows:
         sizes = [r["size"] for r in known.select("size").distinct().collect()]
-        known = F.broadcast(known)
+        known = F.broadcast(known.drop("form"))
         fits = lambda p: F.length(p).isin(sizes) if sizes else F.lit(False)
     else:
         fits = lambda p: F.length(p) > 0
     forms = numbered(docs, F.col(id_col).alias("doc_id"), canonical(whole_text(text_col)).alias("c"))
     digests = F.flatten(F.transform(F.array("c"), lambda c: F.transform(F.filter(passages(c), fits), lambda p: F.sha2(p, 256))))
+    digests = F.when(likely, digests).otherwise(F.array().cast("array<string>"))
     facts = stored(forms.select("_row", "doc_id", digests.alias("digests"), F.sha2(whole(F.col("c")), 256).alias("text_digest")), "passages")
-    found = facts.select("_row", "text_digest", F.explode("digests").alias("digest")).join(known.drop("size"), "digest")
+    found = facts.select("_row", "text_digest", F.explode("digests").alias("digest")).join(known.select("license_id", "digest"), "digest")
     per_row = found.groupBy("_row").agg(
         F.sort_array(F.collect_set("license_id")).alias("licenses"), F.max(F.col("digest") == F.col("text_digest")).alias("is_license")
     )

@@ -257,6 +257,18 @@ def test_whole_license_texts(table, spark):
     }
 
 
+def test_each_known_text_has_a_cue(monkeypatch, table, spark):
+    forms = ["a license for all", "software license text", "x yy", "the software", "y z"]
+    cues = licenses.cue_words(forms)
+    assert all(set(f.split()) & set(cues) for f in forms) and len(cues) == 4
+    rows = [(k, f"Some words.\n{t}\nMore.") for k, t in enumerate(t for texts in licenses.KNOWN.values() for t in texts)]
+    got = licenses.scan(table(rows), licenses.known_licenses(spark)).collect()
+    assert all(r.n_licenses == 1 for r in got)
+    monkeypatch.setattr(licenses, "CUES", 0)
+    plain = licenses.scan(table(rows), licenses.known_licenses(spark)).collect()
+    assert sorted(map(repr, plain)) == sorted(map(repr, got))
+
+
 # ---- languages
 
 
