@@ -753,6 +753,16 @@ def json_arrays_roundtrip(spark, sf_dir):
     return back.select("conv_id", _roles(), _contents())
 
 
+@query
+def json_array_lines(spark, sf_dir):
+    """The same files, split across tasks by their lines."""
+    path = run_dir(spark, "json-arrays")
+    whole = conversations.whole_conversations(_packed(spark, sf_dir))
+    sinks.write_json_arrays(whole.repartition(2, "conv_id"), path)
+    back = tables.read_array_lines(spark, path, keys="conv_id bigint")
+    return back.select("conv_id", _roles(), _contents())
+
+
 @query
 def records_roundtrip(spark, sf_dir):
     path = run_dir(spark, "records")

@@ -507,6 +507,7 @@ from documents group by lang"""
   md5(reasoning_pred) as reasoning_md5 from parsed"""
     sql["jsonl_roundtrip"] = f"with {TURNS} select conv_id, {roles}, {contents} from turns group by 1"
     sql["json_arrays_roundtrip"] = sql["jsonl_roundtrip"]
+    sql["json_array_lines"] = sql["jsonl_roundtrip"]
     sql["records_roundtrip"] = "select 'doc_' || doc_id || '.txt' as source, md5(text) as text_md5 from documents"
     sql["split_roundtrip"] = f"""with {ranked('documents', 'doc_id', 3)}
 select doc_id, upper(lang) as lang from ranked where rank > n - floor(n*0.1::double)"""

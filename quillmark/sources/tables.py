@@ -31,3 +31,17 @@ def read_conversations(spark: SparkSession, path: str, keys: str = "", multiline
     """
     schema = ", ".join(part for part in (keys, f"messages {MESSAGES}") if part)
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
+
+
+def read_array_lines(spark: SparkSession, path: str, keys: str = "") -> DataFrame:
+    """``read_conversations`` for JSON arrays with an object on each line, as ``write_json_arrays`` writes them.
+
+    So a large file is split across tasks like JSON lines. Lines may begin with a bracket or a comma and
+    end with one; a line with anything else but one whole object is an error, as its file has another layout.
+    """
+    schema = ", ".join(part for part in (keys, f"messages {MESSAGES}") if part)
+    lines = spark.read.text(path).select(F.regexp_replace("value", r"^\s*+[\[,]?\s*+", "").alias("line"))
+    rows = lines.where(~F.col("line").rlike(r"^[\],\s]*$")).select("line", F.regexp_extract("line", r"^(\{.*\})[\],\s]*$", 1).alias("object"))
+    read = F.from_json("object", schema, {"mode": "FAILFAST"})
+    whole = F.when(F.col("object") == "", F.raise_error(F.concat(F.lit("not a whole object: "), F.substring("line", 1, 80)))).otherwise(read)
+    return rows.select(whole.alias("row")).select("row.*")

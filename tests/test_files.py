@@ -64,6 +64,29 @@ def test_conversation_files_of_both_layouts(spark, folder):
     assert sorted(r.messages[0].content for r in back.where(F.size("messages") > 0).collect()) == ["q0", "q1", "q2"]
 
 
+def test_arrays_by_lines(spark, folder):
+    rows = [(k, [("user", f'q{k} "}}]\n{{'), ("assistant", "],")]) for k in range(300)]
+    df = spark.createDataFrame(rows, "conv_id bigint, messages array<struct<role string, content string>>")
+    sinks.write_json_arrays(df.repartition(2), f"{folder}/a")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        back = tables.read_array_lines(spark, f"{folder}/a", "conv_id bigint")
+        assert back.rdd.getNumPartitions() > 4
+        got = back.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.conv_id, [tuple(m) for m in r.messages]) for r in got) == rows
+    os.makedirs(f"{folder}/b")
+    with open(f"{folder}/b/x.json", "w") as f:
+        f.write('[ {"conv_id": 1, "messages": []} ,\n {"conv_id": 2, "messages": null}\n, {"conv_id": 3}]\n')
+    assert sorted(r.conv_id for r in tables.read_array_lines(spark, f"{folder}/b", "conv_id bigint").collect()) == [1, 2, 3]
+    with open(f"{folder}/b/y.json", "w") as f:
+        f.write('[\n{"conv_id": 1,\n "messages": []}]')
+    with pytest.raises(Exception, match="not a whole object"):
+        tables.read_array_lines(spark, f"{folder}/b", "conv_id bigint").collect()
+
+
 def test_publish_adds_versions_and_merges(spark, folder):
     base = f"{folder}/data"
     assert sinks.latest_version(spark, base) == 0
