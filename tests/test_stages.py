@@ -10,6 +10,7 @@ from hashlib import md5
 import pytest
 from pyspark.sql import functions as F
 
+from quillmark import session
 from quillmark.operators import conversations, curation, inference, stages
 from quillmark.plans import conversation_synthesis as synthesis
 from quillmark.plans import knowledge_evaluation as knowledge
@@ -329,3 +330,42 @@ def test_sketches_bound_the_shuffle(spark):
     assert "hot" in names and len(names) <= 256
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(digest" not in plan and "hashpartitioning(part" in plan
+
+
+# ---- scratch
+
+
+def _folders(spark):
+    base = os.path.join(session.shared_dir(spark).removeprefix("file:"), "quillmark")
+    return set(os.listdir(base)) if os.path.isdir(base) else set()
+
+
+def test_scratch_drops_its_own_folders_only(spark):
+    before = _folders(spark)
+    kept = session.run_dir(spark, "kept")
+    with session.scratch(spark):
+        spark.range(3).write.parquet(session.run_dir(spark, "outer"))
+        with pytest.raises(ValueError), session.scratch(spark):
+            spark.range(3).write.parquet(session.run_dir(spark, "inner"))
+            session.run_dir(spark, "never-written")
+            raise ValueError
+        assert sorted(f.split("-")[0] for f in _folders(spark) - before) == ["outer"]
+        spark.range(4).write.parquet(kept)
+    assert _folders(spark) - before == {os.path.basename(kept)} and spark.read.parquet(kept).count() == 4
+
+
+def test_input_of_parts_is_read_once(spark, folder):
+    """Rows of the input are computed once however many parts there are, over several tasks, and nothing is left behind."""
+    before, seen = _folders(spark), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(0, 4000, 1, 4).selectExpr("cast(id as string) as id", "id % 7 as _part").mapInArrow(count, "id string, _part long")
+    run = stages.staged(rows, ["id"], lambda some, watch: watch(some, n=F.count(F.lit(1))), f"{folder}/s", parts=5)
+    assert seen.value == 4000 and run.totals == {"n": 4000} and _folders(spark) == before
+    assert sorted((int(r.id), r._part) for r in run.data.collect()) == [(k, k % 7) for k in range(4000)]
+    again = stages.staged(rows, ["id"], lambda some, watch: watch(some, n=F.count(F.lit(1))), f"{folder}/s", parts=5)
+    assert seen.value == 8000 and again.totals == {"n": 4000} and len(stages.committed(spark, f"{folder}/s")) == 5
