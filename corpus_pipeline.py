@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillmark.llm import stages
-from quillmark.llm.common import read_table, stored
+from quillmark.llm.common import read_table
+from quillmark.operators.inference import materialize
+from quillmark.session import drop_dir, run_dir, scratch
 
 STAGES = stages.STAGES
 
@@ -15,10 +17,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written and read by the next one."""
-    docs = read_table(spark, sf_dir, "documents")
-    for number, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number + 1 < len(STAGES):
-            docs = stored(docs, f"pipeline-{name}")
-    return docs
+    """All stages over ``documents``; what a stage returns is written and read by the next one.
+
+    A stage's own folders, and the output of the stage before it, are dropped once its output is written, so
+    the shared folder holds two stages at most. The result reads the output of the last stage but one.
+    """
+    docs, before = read_table(spark, sf_dir, "documents"), None
+    *inner, (_, last) = STAGES
+    for name, stage in inner:
+        path = run_dir(spark, f"pipeline-{name.replace(' ', '-')}")
+        with scratch(spark):
+            docs = materialize(stage(spark, docs, sf_dir), path)
+        if before:
+            drop_dir(spark, before)
+        before = path
+    return last(spark, docs, sf_dir)
