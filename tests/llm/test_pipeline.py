@@ -1,5 +1,6 @@
 """The pipeline's stages one after the other on a small corpus, and its place in the contract."""
 
+import os
 import random
 
 import pytest
@@ -7,6 +8,7 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from quillmark.llm import catalogue, decontamination, exact_dedup, simhash
+from quillmark.session import shared_dir
 
 
 def test_stages_take_effect(spark, prose, folder):
@@ -37,8 +39,12 @@ def test_stages_take_effect(spark, prose, folder):
     assert {i: t for i, t in texts["near dedup"].items() if i != 2003} == {i: t for i, t in texts["decontamination"].items() if i != 2003}
     last = {r.doc_id: r for r in now.collect()}
     assert last.keys() == texts["decontamination"].keys() and all(r.round_trip for r in last.values())
+    scratch = os.path.join(shared_dir(spark).removeprefix("file:"), "quillmark")
+    before = set(os.listdir(scratch))
     ran = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, folder).collect()}
     assert ran == {i: r.ids for i, r in last.items()}
+    left = set(os.listdir(scratch)) - before
+    assert [f.rsplit("-", 1)[0] for f in left] == ["pipeline-decontamination"]
 
 
 def test_contract_names():
