@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from quillmark.llm.common import schemas, stored
 from quillmark.llm.words import ragged
 
-CELLS, FAMILY, BROADCAST_NODES = 1 << 22, 20, 100_000
+CELLS, FAMILY, BROADCAST_NODES, BATCH_NODES = 1 << 22, 20, 100_000, 1 << 16
 INNER, PARTIAL, ENDS, BORDER = range(4)
 FIGURES = ("n_convs", "n_children", "n_leaves", "saved_tokens")
 DDL = "kind int, key binary, parent binary, conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends string, at long, ids array<long>, words array<int>"
@@ -112,6 +112,10 @@ def block_nodes(conv: np.ndarray, matrix: np.ndarray, words: np.ndarray, lengths
     ``before`` is the common prefix of the first row with the row before the block, -1 if that
     is not known: then what the first row adds by it is left out, as always what the last row
     adds by the row after it.
+
+    Between two depths at which a row ends or leaves the row before, each depth has the same
+    nodes; only their keys and saved words differ. Such stretches are written as one, so a very
+    long conversation costs no round for each of its turns.
     """
     n_rows, width = matrix.shape
     changed = np.logical_or.accumulate(matrix[1:] != matrix[:-1], axis=1)
@@ -125,7 +129,9 @@ def block_nodes(conv: np.ndarray, matrix: np.ndarray, words: np.ndarray, lengths
     known[0] = before >= 0
     first_keys, last_keys = prefix_keys(matrix[0, : lengths[0]]), prefix_keys(matrix[-1, : lengths[-1]])
     above_of, above_conv, above_key = None, None, None
-    for depth in range(width + 1):
+    turning = np.unique(np.concatenate((lengths, common[common >= 0], [0])))
+    depths = np.unique(np.concatenate((turning, turning + 1)))
+    for depth, following in zip(depths.tolist(), [*depths[1:].tolist(), width + 1]):
         rows = np.flatnonzero(lengths >= depth)
         if not len(rows):
             return
@@ -139,11 +145,12 @@ def block_nodes(conv: np.ndarray, matrix: np.ndarray, words: np.ndarray, lengths
         saved = np.add.reduceat(np.where(common[rows] >= depth, shared[rows] - inside, 0), cut)
         ended = np.add.reduceat((lengths[rows] == depth).astype(np.int64), cut)
         count = np.diff(np.append(cut, len(rows)))
-        keys: list = [None] * len(cut)
+        paths: list = [None] * len(cut)
         if depth <= lengths[0]:
-            keys[0] = first_keys[depth]
+            paths[0] = first_keys
         if depth <= lengths[-1]:
-            keys[-1] = last_keys[depth]
+            paths[-1] = last_keys
+        keys = [p and p[depth] for p in paths]
         parent_conv = parent_key = [None] * len(cut)
         if depth:
             above = above_of[rows[cut]]
@@ -163,7 +170,22 @@ def block_nodes(conv: np.ndarray, matrix: np.ndarray, words: np.ndarray, lengths
             yield _rows({"kind": [ENDS] * len(open_ends), "key": [k for k, _ in open_ends], "ends": [t for _, t in open_ends], "at": [at] * len(open_ends)}, schema)
         above_of = np.zeros(n_rows, np.int64)
         above_of[rows] = np.cumsum(start) - 1
-        above_conv, above_key = least, keys
+        # The depths up to the next turning one have the same nodes, each the only child of the one above.
+        going_on = np.add.reduceat((common[rows] >= depth).astype(np.int64), cut)
+        step = max(1, BATCH_NODES // len(cut))
+        for a in range(depth + 1, following, step):
+            some = np.arange(a, min(a + step, following))
+            inner = np.tile(np.array(whole), len(some))
+            columns = {
+                "kind": np.where(inner, INNER, PARTIAL), "key": [p and p[d] for d in some.tolist() for p in paths], "parent": [p and p[d - 1] for d in some.tolist() for p in paths],
+                "conv_id": np.tile(least, len(some)), "depth": np.repeat(some, len(cut)), "parent_conv_id": pa.array(np.tile(least, len(some)), pa.int64(), mask=~inner),
+                "n_convs": np.tile(count, len(some)), "n_children": np.tile(children, len(some)), "n_leaves": np.tile(leaves, len(some)),
+                "saved_tokens": (saved - going_on * (sums[rows[cut], some[:, None] - 1] - (sums[rows[cut], depth - 1] if depth else 0))).ravel(),
+                "ends": [NOTHING if w else None for w in inner.tolist()],
+            }
+            yield _rows(columns, schema)
+        above_conv = least
+        above_key = [p and p[following - 1] for p in paths]
 
 
 def _added(keys: list[bytes], schema: pa.Schema, leaves: int = 0, children=None, saved=None) -> pa.RecordBatch:

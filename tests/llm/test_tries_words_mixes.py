@@ -117,6 +117,29 @@ def test_a_crowd_of_copies_is_dealt_out(spark, many_shards):
     assert rows_of(prefix_trie.trie(sequences, 3000)) == brute_trie(grouped(rows))
 
 
+@pytest.mark.parametrize("nodes", [1, 7])
+def test_depths_with_equal_nodes_in_small_batches(spark, many_shards, monkeypatch, nodes):
+    monkeypatch.setattr(prefix_trie, "BATCH_NODES", nodes)
+    rows = some_conversations()
+    assert rows_of(prefix_trie.conversation_trie(conversations(spark, rows), cells=5000)) == brute_trie(grouped(rows))
+
+
+def test_one_conversation_with_most_turns(spark, many_shards):
+    n, copied = 20_000, 15_000
+    turns = [(t, "user", f"turn {t % 7} " + "more " * (t % 3)) for t in range(n)]
+    rows = [(7, *t) for t in turns] + [(9, *t) for t in turns[:copied]] + [(c, 0, "user", f"other {c}") for c in range(20, 40)]
+    got = prefix_trie.conversation_trie(conversations(spark, rows)).where("conv_id = 7").collect()
+    assert len(got) == n + 1 and {r.depth for r in got} == set(range(n + 1))
+    saved = list(itertools.accumulate((word_count(x) for _, _, x in reversed(turns[:copied])), initial=0))[::-1]
+    ends = {copied: "9", n: "7"}
+    for r in got:
+        assert r.n_convs == (22 if not r.depth else 2 if r.depth <= copied else 1)
+        assert (r.n_children, r.n_leaves) == ((21, 21) if not r.depth else (int(r.depth < n), 1))
+        assert r.saved_tokens == (saved[max(r.depth, 1) - 1] if r.depth <= copied else 0)
+        assert r.parent_conv_id == (7 if r.depth else None)
+        assert r.ends_sha256 == hashlib.sha256(ends.get(r.depth, "").encode()).hexdigest()
+
+
 # ---- spelling
 
 
