@@ -9,14 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from typing import Any
+from typing import TYPE_CHECKING, Any
 
 from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 ModelFactory = Callable[[], Callable[[list], list]]
 TokenizerFactory = Callable[[], Callable[[list], list]]
+SHARE_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -61,6 +65,20 @@ class TokenBudget:
         return kept, counts
 
 
+def shares(batch: pa.RecordBatch, limit: int = SHARE_BYTES) -> Iterator[pa.RecordBatch]:
+    """An Arrow batch in parts of neighbouring rows of at most so many bytes; a larger row comes alone.
+
+    Arrow batches are bounded in rows, not in bytes. What a task holds as Python objects, prompts, tokens
+    and results, is that of one part, whatever the length of the texts.
+    """
+    if len(batch) < 2 or batch.nbytes <= limit:
+        yield batch
+    else:
+        half = len(batch) // 2
+        yield from shares(batch.slice(0, half), limit)
+        yield from shares(batch.slice(half), limit)
+
+
 def length_batches(lengths: list[int], batch_size: int, padded: int | None) -> Iterator[list[int]]:
     """Places of the inputs of each batch.
 
@@ -102,7 +120,7 @@ def run_model(
     """Add ``out_col`` with the model's result for each row.
 
     One input column gives the model plain values, several give tuples. Columns are handed
-    through as Arrow; only the inputs become Python objects.
+    through as Arrow; only the inputs become Python objects, a few MB of a batch at a time (``shares``).
 
     * ``error_col`` keeps rows whose call fails, alone and after its batch failed, with the
       message; without it the task fails and Spark retries it. If the table has the column
@@ -111,7 +129,7 @@ def run_model(
       calls a row was in.
     * ``budget`` cuts the (first) input to a number of tokens; ``tokens_col`` is how many it had.
     * ``padded`` makes batches of inputs of like length, in tokens with a budget and in
-      characters without, within an Arrow batch, which bounds the rows held. The order of rows stays.
+      characters without, within a share of an Arrow batch. The order of rows stays.
     * ``partitions`` deals the rows to so many shares of model workers; None keeps the
       input's partitions and shuffles nothing. ``profile`` asks for executors of another kind.
     * With ``skip_null`` rows whose (first) input is null are not shown to the model and get null.
@@ -160,7 +178,7 @@ def run_model(
                     alone = 1 if passing else allowed
                     return [(r, e, tries + n) for v in values for r, e, n in ask([v], alone)]
 
-        for batch in batches:
+        for batch in (share for whole in batches for share in shares(whole)):
             lists = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns]
             counts = None
             if budget:
@@ -201,7 +219,7 @@ def cut_tokens(df: DataFrame, text_col: str, budget: TokenBudget, out_col: str,
         import pyarrow as pa
 
         ends_of = budget.tokenizer()
-        for batch in batches:
+        for batch in (share for whole in batches for share in shares(whole)):
             kept, counts = budget.cut(batch.column(batch.schema.get_field_index(text_col)).to_pylist(), ends_of)
             arrays = [*batch.columns, pa.array(kept, pa.string()), pa.array(counts, pa.int32())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, out_col, count_col])

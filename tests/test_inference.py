@@ -114,6 +114,24 @@ def test_null_prompts_pass_by_the_model(spark):
     assert {r.id: (r.o, r.e) for r in got} == {1: ("A", None), 2: (None, None), 3: ("B", None)}
 
 
+def test_what_is_held_is_bounded_in_bytes(spark):
+    """Long texts in one Arrow batch: tokenizer and model see a few of them at a time, each once."""
+
+    def how_many():
+        return lambda texts: [[1] * len(texts) for _ in texts]
+
+    def how_long():
+        return lambda texts: [str(sum(map(len, texts))) for _ in texts]
+
+    rows = spark.range(40).select("id", F.expr("repeat(cast(id % 10 as string), 400000)").alias("p")).coalesce(1)
+    cut = inference.cut_tokens(rows, "p", inference.TokenBudget(1, how_many), "kept", "n").select("id", "kept", "n").collect()
+    assert sorted((r.id, r.kept) for r in cut) == [(k, str(k % 10)) for k in range(40)]
+    assert max(r.n for r in cut) <= 5
+    told = inference.run_model(rows, "p", "out", how_long, batch_size=100).select("id", F.length("p").alias("size"), F.col("out").cast("int").alias("n")).collect()
+    assert [(r.id, r["size"]) for r in told] == [(k, 400_000) for k in range(40)]
+    assert max(r.n for r in told) <= 2_100_000
+
+
 def test_perplexity_is_of_the_answer_whatever_the_tokenizer(spark):
     df = spark.createDataFrame([("a long prompt of many words", "yes no")], "prompt string, expected_answer string")
     make = lambda: lambda pairs: [[-1.0] * (2 * len(a.split())) for _, a in pairs]
