@@ -69,6 +69,25 @@ def test_suffix_dedup(table, prose, crowd):
     assert Counter((r.doc_id, r.n_symbols, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in got) == want
 
 
+def twins(a, b, middle):
+    """Two texts around one middle that differ by the Thue-Morse sequence of two letters on both sides."""
+    rng = random.Random(0)
+    fill = "".join(rng.choice("cdefghijklm ") for _ in range(224))
+    one = "".join(b if i.bit_count() % 2 else a for i in range(256))
+    other = "".join(a if i.bit_count() % 2 else b for i in range(256))
+    return [x + fill[:112] + middle + fill[112:] + y for x, y in ((one, other), (other, one))]
+
+
+@pytest.mark.parametrize("letters,middle", [("qs", "inighpfhaak ickddfdlllgf ohhecig"), ("9v", "led kkclggj nmmbeocje gpleenigdf")])
+@pytest.mark.parametrize("crowd", [2048, 1])
+def test_texts_that_differ_by_thue_morse_do_not_repeat(table, letters, middle, crowd):
+    """Sums of powers modulo 2^64 took such texts for equal."""
+    texts = twins(*letters, middle)
+    got = suffix_dedup(table(list(enumerate([*texts, texts[0][:400] + "z"]))), crowd=crowd).collect()
+    want = {0: (400, 1), 1: (0, 0), 2: (400, 1)}
+    assert {r.doc_id: (r.n_removed, r.n_spans) for r in got} == want
+
+
 def test_repeats_of_nothing(table):
     assert substring_dedup(table([])).count() == 0
     assert suffix_dedup(table([])).count() == 0
