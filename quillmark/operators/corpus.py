@@ -11,7 +11,7 @@ from quillmark.functions import fixed_values as V
 from quillmark.functions.text import clean_text, has_any, split_words
 from quillmark.operators.inference import TokenBudget
 
-_MANY_CHUNKS = 32
+_MANY_CHUNKS = 8
 
 
 def page_records(
@@ -40,19 +40,25 @@ def _count(length: Column, size: int, overlap: int) -> Column:
 
 def _char_chunks(df: DataFrame, text_col: str, keep: Sequence[str], size: int, overlap: int) -> DataFrame:
     stride = size - overlap
-    text, cut = F.col(text_col), F.col("_strides")
-    numbers = F.sequence(F.lit(0), _count(F.length(text), size, overlap) - 1)
+    text, length, cut = F.col(text_col), F.col("_length"), F.col("_strides")
+    measured = df.select(*keep, text_col, F.length(text).alias("_length"))
+    numbers = F.sequence(F.lit(0), _count(length, size, overlap) - 1)
+    # Substring counts from the start each time, which is quadratic in the length. A text of one byte a
+    # character is cut at bytes, which counts nothing.
+    plain = F.octet_length(text) == length
+    raw = text.cast("binary")
+    bytewise = F.transform(numbers, lambda i: F.substring(raw, i * stride + 1, F.lit(size)).cast("string"))
     short = F.transform(numbers, lambda i: F.substring(text, i * stride + 1, F.lit(size)))
-    # Substring counts from the start each time, which is quadratic in the length. A text of many
-    # chunks is cut into strides in one go; a chunk is the head of the few strides it covers.
+    # Another text of many chunks is cut into strides in one go; a chunk is the head of the few strides it covers.
     strides = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
-    is_long = F.length(text) > _MANY_CHUNKS * stride
-    staged = df.select(*keep, text_col, F.when(is_long, strides).alias("_strides"))
+    is_long = ~plain & (length > _MANY_CHUNKS * stride)
+    staged = measured.select(*keep, text_col, "_length", plain.alias("_plain"), F.when(is_long, strides).alias("_strides"))
     covered = -(-size // stride)
     long = F.transform(
         numbers, lambda i: F.substring(F.array_join(F.slice(cut, i + 1, F.lit(covered)), ""), 1, size)
     )
-    return staged.select(*keep, F.when(cut.isNotNull(), long).otherwise(short).alias("_chunks"))
+    chunks = F.when(F.col("_plain"), bytewise).when(cut.isNotNull(), long).otherwise(short)
+    return staged.select(*keep, chunks.alias("_chunks"))
 
 
 def _word_chunks(df: DataFrame, text_col: str, keep: Sequence[str], size: int, overlap: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -41,7 +42,10 @@ def complete_objects(reply: Column, levels: int = LEVELS) -> Column:
 
 def parse_array(reply: Column, schema: str) -> Column:
     """The JSON array inside a reply, from the first ``[`` to the last ``]``; null if unreadable."""
-    array = F.regexp_extract(reply, r"(?s)\A[^\[]*+(\[.*\])", 1)
+    # Places in bytes: both searches end at their bracket, and no character of the array is counted. Without a
+    # bracket, or with the last one before the first, the length is below 1 and the text empty.
+    before, after = F.octet_length(F.substring_index(reply, "[", 1)), F.octet_length(F.substring_index(reply, "]", -1))
+    array = F.substring(reply.cast("binary"), before + 1, F.octet_length(reply) - before - after).cast("string")
     return F.from_json(F.nullif(array, F.lit("")), schema)
 
 
@@ -101,16 +105,22 @@ def attach_ratings(pairs: Column, rated: Column) -> Column:
     first takes the first rating of that question, the second the second.
     """
 
-    def rating(p: Column, i: Column) -> Column:
+    def looked_up(p: Column, i: Column) -> Column:
         echoed = F.filter(rated, lambda r: r["question"] == p["question"])
         same_before = F.size(F.filter(F.slice(pairs, F.lit(1), i), lambda s: s["question"] == p["question"]))
         at_place = F.try_element_at(rated, i + 1)
         placed = F.when(at_place["question"].isNull(), at_place["rating"])
         return F.when(F.size(echoed) > 0, F.try_element_at(echoed, same_before + 1)["rating"]).otherwise(placed)
 
-    return F.transform(
-        pairs, lambda p, i: F.struct(p["question"].alias("question"), p["answer"].alias("answer"), rating(p, i).alias("rating"))
-    )
+    def attached(rating: Callable[[Column, Column], Column]) -> Column:
+        return F.transform(
+            pairs, lambda p, i: F.struct(p["question"].alias("question"), p["answer"].alias("answer"), rating(p, i).alias("rating"))
+        )
+
+    # A reply with the sent questions in their order has each rating at its pair's place, also of equal and
+    # of null questions, so nothing is looked up.
+    in_order = pairs["question"] == rated["question"]
+    return F.when(in_order, attached(lambda p, i: rated[i]["rating"])).otherwise(attached(looked_up))
 
 
 def explode_pairs(df: DataFrame, pairs_col: str, keep: list[str]) -> DataFrame:
@@ -125,15 +135,42 @@ def keep_rated(df: DataFrame, rating: str = "rating", threshold: float = RATING_
     return df.where(F.col(rating) >= F.lit(threshold))
 
 
+def pair_counts(rating: str = "rating", threshold: float = RATING_THRESHOLD) -> dict[str, Column]:
+    """What the threshold keeps and drops, over a row per pair."""
+    value = F.col(rating)
+    return {
+        "n_pairs": F.count(F.lit(1)),
+        "n_kept": F.count_if(value >= threshold),
+        "n_below": F.count_if(value < threshold),
+        "n_unrated": F.count_if(value.isNull()),
+    }
+
+
+def chunk_counts(pairs_col: str = "pairs") -> dict[str, Column]:
+    """Chunks and their pairs, over a row per chunk, its pairs null where the reply was unreadable."""
+    pairs = F.col(pairs_col)
+    return {
+        "n_chunks": F.count(F.lit(1)),
+        "n_unreadable_chunks": F.count_if(pairs.isNull()),
+        "n_written": F.coalesce(F.sum(F.when(pairs.isNotNull(), F.size(pairs))), F.lit(0)),
+    }
+
+
+def prompt_counts() -> dict[str, Column]:
+    """Rating prompts and how many ratings came back, over a row per prompt with ``pairs`` and ``rated``."""
+    sent, back = F.size("pairs"), F.when(F.col("rated").isNotNull(), F.size("rated"))
+    return {
+        "n_prompts": F.count(F.lit(1)),
+        "n_unreadable_ratings": F.count_if(back.isNull()),
+        "n_short": F.count_if(back < sent),
+        "n_long": F.count_if(back > sent),
+        "n_extra": F.coalesce(F.sum(F.greatest(back - sent, F.lit(0))), F.lit(0)),
+    }
+
+
 def curation_counts(df: DataFrame, rating: str = "rating", threshold: float = RATING_THRESHOLD) -> DataFrame:
     """What the threshold keeps and drops."""
-    value = F.col(rating)
-    return df.agg(
-        F.count(F.lit(1)).alias("n_pairs"),
-        F.count_if(value >= threshold).alias("n_kept"),
-        F.count_if(value < threshold).alias("n_below"),
-        F.count_if(value.isNull()).alias("n_unrated"),
-    )
+    return df.agg(*[count.alias(name) for name, count in pair_counts(rating, threshold).items()])
 
 
 def in_one_row(*reports: DataFrame) -> DataFrame:
@@ -151,18 +188,6 @@ def reply_counts(written: DataFrame, rated_groups: DataFrame, pairs_col: str = "
     ``rated_groups`` a row per rating prompt with ``pairs`` and ``rated``. Beside the replies,
     pairs sent, ratings that came back and how many replies had fewer or more than were sent.
     """
-    pairs = F.col(pairs_col)
-    chunks = written.agg(
-        F.count(F.lit(1)).alias("n_chunks"),
-        F.count_if(pairs.isNull()).alias("n_unreadable_chunks"),
-        F.coalesce(F.sum(F.when(pairs.isNotNull(), F.size(pairs))), F.lit(0)).alias("n_written"),
-    )
-    sent, back = F.size("pairs"), F.when(F.col("rated").isNotNull(), F.size("rated"))
-    groups = rated_groups.agg(
-        F.count(F.lit(1)).alias("n_prompts"),
-        F.count_if(back.isNull()).alias("n_unreadable_ratings"),
-        F.count_if(back < sent).alias("n_short"),
-        F.count_if(back > sent).alias("n_long"),
-        F.coalesce(F.sum(F.greatest(back - sent, F.lit(0))), F.lit(0)).alias("n_extra"),
-    )
+    chunks = written.agg(*[count.alias(name) for name, count in chunk_counts(pairs_col).items()])
+    groups = rated_groups.agg(*[count.alias(name) for name, count in prompt_counts().items()])
     return in_one_row(chunks, groups)

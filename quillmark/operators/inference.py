@@ -115,6 +115,7 @@ def run_model(
     budget: TokenBudget | None = None,
     tokens_col: str | None = None,
     padded: int | None = None,
+    keep_inputs: bool = True,
     profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Add ``out_col`` with the model's result for each row.
@@ -130,6 +131,7 @@ def run_model(
     * ``budget`` cuts the (first) input to a number of tokens; ``tokens_col`` is how many it had.
     * ``padded`` makes batches of inputs of like length, in tokens with a budget and in
       characters without, within a share of an Arrow batch. The order of rows stays.
+    * Without ``keep_inputs`` the input columns end in the hook: prompts that nobody reads again need not come back.
     * ``partitions`` deals the rows to so many shares of model workers; None keeps the
       input's partitions and shuffles nothing. ``profile`` asks for executors of another kind.
     * With ``skip_null`` rows whose (first) input is null are not shown to the model and get null.
@@ -137,7 +139,7 @@ def run_model(
     columns = [inputs] if isinstance(inputs, str) else list(inputs)
     single = isinstance(inputs, str)
     result_type = T.StructType.fromDDL(f"v {out_type}")["v"].dataType
-    schema = T.StructType(list(df.schema.fields)).add(out_col, result_type)
+    schema = T.StructType([f for f in df.schema.fields if keep_inputs or f.name not in columns]).add(out_col, result_type)
     keep_errors = error_col is not None
     carried = keep_errors and error_col in df.columns
     if keep_errors and not carried:
@@ -204,7 +206,9 @@ def run_model(
             for name, values, kind in more:
                 arrays.append(pa.array(values, kind))
                 names.append(name)
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            if not keep_inputs:
+                arrays, names = zip(*[(a, n) for a, n in zip(arrays, names) if n not in columns])
+            yield pa.RecordBatch.from_arrays(list(arrays), names=list(names))
 
     if partitions:
         df = df.repartition(partitions)

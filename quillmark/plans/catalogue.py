@@ -18,6 +18,7 @@ from quillmark.operators import (
     evaluation,
     inference,
     sampling,
+    stages,
     training_logs,
 )
 from quillmark.plans import conversation_synthesis as synthesis
@@ -423,13 +424,19 @@ def qa_generate_curate(spark, sf_dir):
 
 @query
 def curation_counts(spark, sf_dir):
+    """What became of all chunks and pairs, counted by the one job that writes the ratings."""
     chunks = corpus.chunk_text(fixtures.table(spark, sf_dir, "documents"), "text", ["doc_id"])
     keep = ["doc_id", "chunk_no"]
-    path = run_dir(spark, "curation")
-    written = inference.materialize(synthesis.write_pairs(chunks, keep, standins.pair_writer, partitions=workers(spark)), f"{path}/pairs")
-    groups = inference.materialize(synthesis.rate_groups(written, keep, standins.pair_rater), f"{path}/ratings")
-    counts = curation.curation_counts(synthesis.rated_pairs(groups, keep))
-    return curation.in_one_row(counts, curation.reply_counts(written, groups))
+
+    def rate(some: DataFrame, watch: stages.Watch) -> DataFrame:
+        written = watch(synthesis.write_pairs(some, keep, standins.pair_writer, partitions=workers(spark)), **curation.chunk_counts())
+        groups = watch(synthesis.rate_groups(written, keep, standins.pair_rater), **curation.prompt_counts())
+        pairs = synthesis.rated_pairs(groups, keep).select(*keep, "pair_no", "rating")
+        return watch(pairs, **curation.pair_counts())
+
+    counted = stages.staged(chunks, keep, rate, f"{run_dir(spark, 'curation')}/ratings").counts
+    made = [*curation.pair_counts(), *curation.chunk_counts(), *curation.prompt_counts()]
+    return counted.select(*made)
 
 
 @query

@@ -20,11 +20,13 @@ def write_pairs(chunks: DataFrame, keep: list[str], writer: ModelFactory, budget
     """Chunks with the pairs read from the writer's reply, null where it was unreadable, and ``n_salvaged`` of them.
 
     ``budget`` cuts the chunk to so many words, or the prompt to so many tokens. ``hook`` are
-    options of ``run_model``.
+    options of ``run_model``; with ``partitions`` the chunks are dealt, not their longer prompts.
     """
     shown, cut = within(F.col("chunk"), budget)
-    prompted = chunks.select(*keep, prompts.qa_prompt(shown).alias("_prompt"))
-    replied = run_model(prompted, "_prompt", "_reply", writer, budget=cut, **hook).drop("_prompt")
+    partitions = hook.pop("partitions", None)
+    dealt = chunks.select(*keep, "chunk").repartition(partitions) if partitions else chunks
+    prompted = dealt.select(*keep, prompts.qa_prompt(shown).alias("_prompt"))
+    replied = run_model(prompted, "_prompt", "_reply", writer, budget=cut, keep_inputs=False, **hook)
     return curation.with_pairs(replied, "_reply").drop("_reply")
 
 
@@ -37,7 +39,7 @@ def rate_groups(
     """
     groups = curation.rating_batches(written, "pairs", keep, batch)
     prompted = groups.select(*keep, "group_no", "pairs", prompts.rating_prompt(F.col("pairs_json")).alias("_prompt"))
-    replied = run_model(prompted, "_prompt", "_reply", rater, budget=budget, **hook).drop("_prompt")
+    replied = run_model(prompted, "_prompt", "_reply", rater, budget=budget, keep_inputs=False, **hook)
     return replied.withColumn("rated", curation.parse_ratings(F.col("_reply"))).drop("_reply")
 
 

@@ -23,6 +23,21 @@ def test_batches_keep_rows_and_order_of_columns(spark):
     assert all(r.nested[0].id == r.id for r in got)
 
 
+def test_prompts_need_not_come_back(spark, sf_dir):
+    def make():
+        return lambda pairs: [f"{p}{q}" for p, q in pairs]
+
+    df = spark.range(20).select("id", F.lit("p").alias("p"), F.col("id").cast("string").alias("q"), F.array("id").alias("kept"))
+    got = inference.run_model(df, ["p", "q"], "out", make, error_col="error", attempts_col="n", keep_inputs=False)
+    assert got.columns == ["id", "kept", "out", "error", "n"]
+    assert sorted(tuple(r) for r in got.collect()) == [(i, [i], f"p{i}", None, 1) for i in range(20)]
+    from quillmark.plans import catalogue
+
+    plan = catalogue.qa_generate_curate(spark, sf_dir)._jdf.queryExecution().analyzed().toString()
+    hooks = [line for line in plan.splitlines() if "MapInArrow" in line]
+    assert len(hooks) == 2 and not any("_prompt" in line.split(")#", 1)[1].split("[", 1)[1] for line in hooks)
+
+
 def test_several_inputs_and_array_results(spark):
     df = spark.createDataFrame([("a b", "cc d")], "p string, a string")
     got = inference.run_model(df, ["p", "a"], "lp", standins.word_logprobs, out_type="array<double>").first()

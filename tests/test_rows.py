@@ -86,6 +86,15 @@ def test_reply_json(one):
     assert quoted == [[8.5, None]]
 
 
+def test_array_is_cut_at_its_outer_brackets(one):
+    pair = '{"question": "qé]😀", "answer": "[a"}'
+    whole = [f"[{pair}]", f"é😀 \n[{pair}] é", f"] [{pair}]", f"[{pair}] and ] more", f"{'x' * 5000}[{pair}]{'é' * 5000}"]
+    broken = ["", "]", "[", "][", "no ] before [", f"[{pair}", f"{pair}]", None]
+    got = one("t string", [(t,) for t in whole + broken], lambda c: curation.parse_array(c("t"), curation.PAIR))
+    assert [[tuple(p) for p in a] for a in got[: len(whole)]] == [[("qé]😀", "[a")]] * len(whole)
+    assert got[len(whole) :] == [None] * len(broken)
+
+
 def test_rating_batches(spark):
     pairs = [("q%d" % i, "a") for i in range(9)]
     df = spark.createDataFrame([(1, pairs), (2, []), (3, None)], f"id int, pairs {curation.PAIR}")

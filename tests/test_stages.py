@@ -82,6 +82,23 @@ def test_equal_questions_take_a_rating_each(spark):
     assert [[p.rating for p in r.p] for r in got] == [[3.0, 5.0, 9.0], [7.0, None]]
 
 
+def test_ratings_in_the_order_of_the_pairs(spark):
+    """Equal, null and missing questions: the same ratings as when each is looked up."""
+    schema = "pairs array<struct<question string, answer string>>, rated array<struct<question string, answer string, rating double>>"
+    rows = [
+        ([("q", "1"), ("q", "2"), ("r", "3")], [("q", "x", 1.0), ("q", "y", None), ("r", "z", 3.0)]),
+        ([(None, "1"), ("q", "2"), None], [(None, "x", 4.0), ("q", "y", 5.0), None]),
+        ([("q", "1"), ("r", "2")], [("r", "x", 6.0), ("q", "y", 7.0)]),
+        ([("q", "1")], [("q", "x", 8.0), ("r", "y", 9.0)]),
+        ([], []),
+    ]
+    got = spark.createDataFrame(rows, schema).select(curation.attach_ratings(F.col("pairs"), F.col("rated")).alias("p")).collect()
+    assert [[tuple(p) for p in r.p] for r in got] == [
+        [("q", "1", 1.0), ("q", "2", None), ("r", "3", 3.0)], [(None, "1", 4.0), ("q", "2", 5.0), (None, None, None)],
+        [("q", "1", 7.0), ("r", "2", 6.0)], [("q", "1", 8.0)], [],
+    ]
+
+
 def test_ratings_of_a_cut_reply(one):
     rows = [('[{"question": "a", "answer": "b", "rating": "8"}, {"question": "c", "answer": "d", "rat',)]
     assert [[tuple(p) for p in g] for g in one("t string", rows, lambda c: curation.parse_ratings(c("t")))] == [[("a", "b", 8.0)]]
@@ -277,6 +294,21 @@ def test_counts_are_made_by_the_writing_job(spark, sf_dir, folder):
     assert t["n_kept"] + t["n_below"] + t["n_unrated"] == t["n_pairs"] and t["n_salvaged"] > 0 and t["n_failed_chunks"] > 0
 
 
+def test_curation_is_counted_without_writing_texts(spark, sf_dir, folder):
+    """One job asks both models and writes ratings; nothing is read again to be counted."""
+    from quillmark.plans import catalogue
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(catalogue, "run_dir", lambda _, label: f"{folder}/{label}")
+        patch.setattr(inference, "materialize", None)
+        counts = catalogue.curation_counts(spark, sf_dir).first()
+    written = [os.path.relpath(at, folder) for at, _, names in os.walk(folder) if any(n.endswith(".parquet") for n in names)]
+    assert written == ["curation/ratings/data"]
+    rows = spark.read.parquet(f"{folder}/{written[0]}")
+    assert rows.columns == ["doc_id", "chunk_no", "pair_no", "rating"]
+    assert rows.count() == counts.n_pairs == counts.n_written > 0 and rows.where("rating >= 5").count() == counts.n_kept
+
+
 def test_all_jobs_are_resumed(spark, folder):
     """Each job twice over its parts: the second run calls no model."""
     calls = [tempfile.mkdtemp(prefix="run-", dir="/tmp") for _ in range(8)]

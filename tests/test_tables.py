@@ -120,6 +120,19 @@ def test_chunks_of_short_and_long_texts(spark, size, overlap):
     assert got == {i: brute_chunks(t, size, overlap) for i, t in enumerate(texts)}
 
 
+def test_chunks_of_texts_of_one_byte_a_character(spark):
+    """Cut at bytes, with one other character at characters, however many chunks."""
+    texts = ["".join(random.Random(n).choice("ab \n") for _ in range(n)) for n in (0, 1, 9, 10, 11, 55, 56, 57, 58, 64, 2000)]
+    texts += [t + "é" for t in texts] + ["😀" + t for t in texts]
+    df = spark.createDataFrame([*enumerate(texts)], "id int, t string")
+    chunked = corpus.chunk_text(df, "t", ["id"], 10, 3)
+    got = {}
+    for r in chunked.orderBy("id", "chunk_no").collect():
+        got.setdefault(r.id, []).append(r.chunk)
+    assert got == {i: brute_chunks(t, 10, 3) for i, t in enumerate(texts)}
+    assert "octet_length" in chunked._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_word_chunks_and_truncation(spark):
     words = [f"w{i}" for i in range(25)]
     df = spark.createDataFrame([(1, "  " + "\n".join(words) + " "), (2, "one")], "id int, t string")
