@@ -45,9 +45,12 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
 
-def workers(spark: SparkSession) -> int:
-    """Shares for model calls: the tables here are a scan task each."""
-    return spark.sparkContext.defaultParallelism
+def workers(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Shares for model calls: one for each core, or for each scan task of the table if these are more.
+
+    The tables here are a scan task each; with larger ones the shares become more, not longer.
+    """
+    return max(spark.sparkContext.defaultParallelism, fixtures.table(spark, sf_dir, name).rdd.getNumPartitions())
 
 
 def _md5(name: str) -> Column:
@@ -155,7 +158,7 @@ def judge_prompts(spark, sf_dir):
 @query
 def generate_answers(spark, sf_dir):
     rows = fixtures.qa_results(spark, sf_dir).select("id", "question", "expected_answer", "difficulty")
-    answered = knowledge.generate_answers(rows, standins.parrot, partitions=workers(spark))
+    answered = knowledge.generate_answers(rows, standins.parrot, partitions=workers(spark, sf_dir, "conversations"))
     judged = knowledge.judge_answers(answered, standins.coin_verdict)
     return judged.select("id", "generated_answer", "judge_reply", "is_correct_ai_eval")
 
@@ -164,14 +167,14 @@ def generate_answers(spark, sf_dir):
 def reference_logprobs(spark, sf_dir):
     rows = fixtures.qa_results(spark, sf_dir).select("id", "question", "expected_answer")
     prompted = rows.withColumn("prompt", prompts.answer_prompt(F.col("question")))
-    scored = knowledge.score_references(prompted, standins.word_logprobs, partitions=workers(spark))
+    scored = knowledge.score_references(prompted, standins.word_logprobs, partitions=workers(spark, sf_dir, "conversations"))
     return scored.select("id", evaluation.rounded(F.col("perplexity")).alias("perplexity"))
 
 
 @query
 def embed_and_compare(spark, sf_dir):
     rows = fixtures.qa_results(spark, sf_dir).select("id", "expected_answer", "generated_answer")
-    compared = knowledge.compare_embeddings(rows, standins.letter_counts, partitions=workers(spark))
+    compared = knowledge.compare_embeddings(rows, standins.letter_counts, partitions=workers(spark, sf_dir, "conversations"))
     return compared.select("id", evaluation.rounded(F.col("semantic_similarity")).alias("similarity"))
 
 
@@ -181,7 +184,7 @@ def knowledge_evaluation(spark, sf_dir):
     models = knowledge.Models(
         standins.parrot, standins.word_logprobs, standins.letter_counts, standins.coin_verdict
     )
-    results = knowledge.evaluate(rows, models, run_dir(spark, "knowledge"), SYSTEM_TEXT, 0.7, partitions=workers(spark))
+    results = knowledge.evaluate(rows, models, run_dir(spark, "knowledge"), SYSTEM_TEXT, 0.7, partitions=workers(spark, sf_dir, "conversations"))
     return knowledge.report(results.data)
 
 
@@ -197,7 +200,7 @@ def evaluation_with_failures(spark, sf_dir):
     path = run_dir(spark, "failures")
 
     def run(some: DataFrame) -> DataFrame:
-        return knowledge.evaluate(some, _moody_models(), path, SYSTEM_TEXT, 0.7, parts=1, error_col="error", partitions=workers(spark)).data
+        return knowledge.evaluate(some, _moody_models(), path, SYSTEM_TEXT, 0.7, parts=1, error_col="error", partitions=workers(spark, sf_dir, "conversations")).data
 
     run(rows.where("id % 3 = 0"))
     return run(rows).select("id", "is_correct_keyword", "is_correct_semantic", "is_correct_ai_eval", "error")
@@ -208,7 +211,7 @@ def evaluation_counts(spark, sf_dir):
     """What each stage counted while it was written."""
     rows = fixtures.qa_results(spark, sf_dir).select("id", "question", "expected_answer", "difficulty")
     path = run_dir(spark, "counted")
-    return knowledge.evaluate(rows, _moody_models(), path, SYSTEM_TEXT, 0.7, partitions=workers(spark), error_col="error").counts
+    return knowledge.evaluate(rows, _moody_models(), path, SYSTEM_TEXT, 0.7, partitions=workers(spark, sf_dir, "conversations"), error_col="error").counts
 
 
 # --- corpus -----------------------------------------------------------------
@@ -405,7 +408,7 @@ def conversation_synthesis(spark, sf_dir):
         SYSTEM_TEXT,
         run_dir(spark, "synthesis"),
         blocked=BLOCKED,
-        partitions=workers(spark),
+        partitions=workers(spark, sf_dir, "pages"),
     )
     return ready.data.select("conv_id", "split", _roles(), _contents())
 
@@ -417,7 +420,7 @@ def conversation_synthesis(spark, sf_dir):
 def qa_generate_curate(spark, sf_dir):
     chunks = corpus.chunk_text(fixtures.table(spark, sf_dir, "documents"), "text", ["doc_id"])
     keep = ["doc_id", "chunk_no"]
-    written = synthesis.write_pairs(chunks, keep, standins.pair_writer, partitions=workers(spark))
+    written = synthesis.write_pairs(chunks, keep, standins.pair_writer, partitions=workers(spark, sf_dir, "documents"))
     kept = curation.keep_rated(synthesis.rate_pairs(written, keep, standins.pair_rater))
     return kept.select(*keep, "pair_no", _md5("question"), _md5("answer"), "rating")
 
@@ -429,7 +432,7 @@ def curation_counts(spark, sf_dir):
     keep = ["doc_id", "chunk_no"]
 
     def rate(some: DataFrame, watch: stages.Watch) -> DataFrame:
-        written = watch(synthesis.write_pairs(some, keep, standins.pair_writer, partitions=workers(spark)), **curation.chunk_counts())
+        written = watch(synthesis.write_pairs(some, keep, standins.pair_writer, partitions=workers(spark, sf_dir, "documents")), **curation.chunk_counts())
         groups = watch(synthesis.rate_groups(written, keep, standins.pair_rater), **curation.prompt_counts())
         pairs = synthesis.rated_pairs(groups, keep).select(*keep, "pair_no", "rating")
         return watch(pairs, **curation.pair_counts())
@@ -444,7 +447,7 @@ def salvaged_pairs(spark, sf_dir):
     """Pairs of replies that end somewhere within a pair."""
     chunks = corpus.chunk_text(fixtures.table(spark, sf_dir, "documents"), "text", ["doc_id"])
     keep = ["doc_id", "chunk_no"]
-    written = synthesis.write_pairs(chunks, keep, standins.cut_off_writer, partitions=workers(spark), error_col="error")
+    written = synthesis.write_pairs(chunks, keep, standins.cut_off_writer, partitions=workers(spark, sf_dir, "documents"), error_col="error")
     questions = F.md5(F.array_join("pairs.question", "|")).alias("questions_md5")
     return written.select(*keep, F.size("pairs").alias("n_pairs"), "n_salvaged", questions, "error")
 
@@ -454,7 +457,7 @@ def synthesis_counts(spark, sf_dir):
     """What became of all chunks and pairs when writer and rater fail and break off, counted by the writing jobs."""
     chunks = corpus.chunk_text(fixtures.table(spark, sf_dir, "documents"), "text", ["doc_id"])
     path, keep = run_dir(spark, "counted"), ["doc_id", "chunk_no"]
-    return synthesis.curated(chunks, keep, standins.cut_off_writer, standins.moody_rater, path, partitions=workers(spark), error_col="error").counts
+    return synthesis.curated(chunks, keep, standins.cut_off_writer, standins.moody_rater, path, partitions=workers(spark, sf_dir, "documents"), error_col="error").counts
 
 
 @query
@@ -600,7 +603,7 @@ def explanations(spark, sf_dir):
         F.when(F.col("doc_id") % 10 == 0, "test").when(F.col("doc_id") % 10 == 1, "validation").otherwise("train").alias("split"),
     )
     path = run_dir(spark, "explained")
-    sinks.write_splits(sentiment.explain(rows, standins.digest_text, error_col="error", partitions=workers(spark)), path)
+    sinks.write_splits(sentiment.explain(rows, standins.digest_text, error_col="error", partitions=workers(spark, sf_dir, "documents")), path)
     loaded = tables.load_splits(spark, path).where(F.col("error").isNull())
     return loaded.select("doc_id", "label", "sentiment", F.col("split").cast("string").alias("split"), "explanation")
 
@@ -611,7 +614,7 @@ def failed_explanations(spark, sf_dir):
     rows = fixtures.labelled(spark, sf_dir).select(
         "doc_id", F.col("text").alias("sentence"), labels.label_code(F.col("sentiment_true")).alias("label")
     )
-    told = sentiment.explain(rows, standins.moody_text, error_col="error", partitions=workers(spark))
+    told = sentiment.explain(rows, standins.moody_text, error_col="error", partitions=workers(spark, sf_dir, "documents"))
     return told.select("doc_id", "explanation", "error")
 
 
@@ -622,7 +625,7 @@ def retried_explanations(spark, sf_dir):
         "doc_id", F.col("text").alias("sentence"), labels.label_code(F.col("sentiment_true")).alias("label")
     )
     told = sentiment.explain(
-        rows, standins.flaky_text, batch_size=1, error_col="error", attempts_col="attempts", retry=inference.Retry(4, wait=0.0), partitions=workers(spark)
+        rows, standins.flaky_text, batch_size=1, error_col="error", attempts_col="attempts", retry=inference.Retry(4, wait=0.0), partitions=workers(spark, sf_dir, "documents")
     )
     return told.select("doc_id", "explanation", "error", "attempts")
 
@@ -634,7 +637,7 @@ def budgeted_explanations(spark, sf_dir):
         "doc_id", F.col("text").alias("sentence"), labels.label_code(F.col("sentiment_true")).alias("label")
     )
     budget = inference.TokenBudget(300, standins.short_pieces)
-    told = sentiment.explain(rows, standins.digest_text, budget, tokens_col="n_tokens", padded=2400, partitions=workers(spark))
+    told = sentiment.explain(rows, standins.digest_text, budget, tokens_col="n_tokens", padded=2400, partitions=workers(spark, sf_dir, "documents"))
     return told.select("doc_id", "explanation", "n_tokens")
 
 
@@ -646,7 +649,7 @@ def resumed_predictions(spark, sf_dir):
 
     def run(some: DataFrame) -> DataFrame:
         return sentiment.evaluate(
-            some, standins.replay, standins.replay, path, ["doc_id"], "text", ["recorded"], ["judge_reply"], parts=2, partitions=workers(spark)
+            some, standins.replay, standins.replay, path, ["doc_id"], "text", ["recorded"], ["judge_reply"], parts=2, partitions=workers(spark, sf_dir, "documents")
         ).data
 
     run(rows.where("doc_id % 2 = 0"))
@@ -656,14 +659,14 @@ def resumed_predictions(spark, sf_dir):
 @query
 def predict_with_reasoning(spark, sf_dir):
     rows = fixtures.predictions(spark, sf_dir).select("doc_id", "text", F.col("raw_output").alias("recorded"))
-    predicted = sentiment.predict(rows, standins.replay, "text", extra_inputs=["recorded"], fallback="raw", partitions=workers(spark))
+    predicted = sentiment.predict(rows, standins.replay, "text", extra_inputs=["recorded"], fallback="raw", partitions=workers(spark, sf_dir, "documents"))
     return predicted.select("doc_id", "sentiment_pred", _md5("reasoning_pred"))
 
 
 @query
 def score_reasoning(spark, sf_dir):
     parsed = _parsed(spark, sf_dir)
-    scored = sentiment.score_reasoning(parsed, standins.replay, "text", extra_inputs=["judge_reply"], partitions=workers(spark))
+    scored = sentiment.score_reasoning(parsed, standins.replay, "text", extra_inputs=["judge_reply"], partitions=workers(spark, sf_dir, "documents"))
     return scored.select("doc_id", "sentiment_pred", F.col("reasoning_score").cast("double").alias("reasoning_score"))
 
 
@@ -673,7 +676,7 @@ def sentiment_evaluation(spark, sf_dir):
     rows = fixtures.predictions(spark, sf_dir).select(
         "doc_id", "text", "sentiment_true", "judge_reply", F.col("raw_output").alias("recorded")
     )
-    predicted = sentiment.predict(rows, standins.replay, "text", extra_inputs=["recorded"], partitions=workers(spark)).drop("recorded")
+    predicted = sentiment.predict(rows, standins.replay, "text", extra_inputs=["recorded"], partitions=workers(spark, sf_dir, "documents")).drop("recorded")
     path = run_dir(spark, "sentiment")
     done = inference.materialize(predicted, f"{path}/predictions")
     scored = sentiment.score_reasoning(done, standins.replay, "text", extra_inputs=["judge_reply"])

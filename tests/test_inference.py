@@ -116,6 +116,21 @@ def test_partitions_are_the_callers(spark):
     assert "Exchange" not in kept._jdf.queryExecution().toString() and kept.rdd.getNumPartitions() == 1
 
 
+def test_shares_grow_with_the_table(spark, sf_dir, folder):
+    from quillmark.plans import catalogue
+
+    spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(11).write.parquet(f"{folder}/documents.parquet")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert catalogue.workers(spark, sf_dir, "documents") == spark.sparkContext.defaultParallelism
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        assert catalogue.workers(spark, folder, "documents") == 11
+        plan = catalogue.qa_generate_curate(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Repartition 11, true" in plan
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_null_prompts_pass_by_the_model(spark):
     def make():
         def model(prompts):
